@@ -3,27 +3,30 @@
 from pyspark.sql import functions as F
 
 
-def strict_document(text):
-    """The parsed document, NULL unless the text is exactly one JSON value.
+def sealed_document(text):
+    """The text and a seal, its own 64-bit hash, parsed together as a two-element array.
 
     The VARIANT parser refuses duplicate keys at every depth but stops after the first value.
-    Wrapped as an object member the value must be followed by the closing brace, wrapped as an
-    array it must be the only element: text that passes both has nothing after the value.
+    Behind anything but exactly one value the seal is not the second element: see `is_sealed`.
     """
-    member = F.try_parse_json(F.concat(F.lit('{"e":'), text, F.lit("}")))
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    return F.when(alone, F.try_variant_get(member, "$.e", "variant"))
+    seal = F.xxhash64(text).cast("string")
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), seal, F.lit("]")))
 
 
-def member(document, name, kind="variant"):
-    return F.try_variant_get(document, f"$.{name}", kind)
+def is_sealed(document, text):
+    """Whether the text is exactly one JSON value, with nothing before or after it."""
+    return F.try_variant_get(document, "$[1]", "bigint") == F.xxhash64(text)
+
+
+def member(document, path, kind="variant"):
+    """A member of a sealed document, by dotted path."""
+    return F.try_variant_get(document, f"$[0].{path}", kind)
+
+
+def value_of(document):
+    return F.try_variant_get(document, "$[0]", "variant")
 
 
 def kind_of(value):
     """BIGINT, STRING, BOOLEAN, DOUBLE, DECIMAL(p,s), VOID, OBJECT<..> or ARRAY<..>; NULL when absent."""
     return F.schema_of_variant(value)
-
-
-def key_set(document):
-    """Sorted member names of an object; NULL for anything else."""
-    return F.array_sort(F.map_keys(F.try_variant_get(document, "$", "map<string,variant>")))

@@ -16,7 +16,7 @@ from tablemart.contracts import (
     SCHEMA_VERSION,
     SOURCE_SCHEMA,
 )
-from tablemart.functions.json_docs import key_set, kind_of, member, strict_document
+from tablemart.functions.json_docs import is_sealed, kind_of, member, sealed_document, value_of
 from tablemart.functions.settle import settle
 from tablemart.functions.times import canonical_iso
 from tablemart.functions.values import canonical_uuid, first_reason, integer_text
@@ -32,10 +32,11 @@ _WHOLE = "BIGINT|STRING"
 _NUMBER = r"BIGINT|STRING|DOUBLE|FLOAT|DECIMAL\([0-9]+,[0-9]+\)"
 
 
+# All members as text, and both row images as maps, so that unknown members show.
 _ENVELOPE = (
-    "struct<schema_version: string, capture_method: string, source_system: string,"
-    " source_schema: string, source_table: string, operation: string, event_id: string,"
-    " event_sequence: string, captured_at: string, record_data: variant, record_key: variant>"
+    "schema_version string, capture_method string, source_system string, source_schema string,"
+    " source_table string, operation string, event_id string, event_sequence string,"
+    " captured_at string, record_data map<string,string>, record_key map<string,string>"
 )
 
 
@@ -72,79 +73,97 @@ def _money(text):
     ).when(fits & ~long_tail, exact.try_cast("decimal(12,2)"))
 
 
-def _shape(contract):
-    """Pattern of the VARIANT schema of a row image with exactly the contracted members."""
-    members = [f"{name}: ({_arrives_as(contract.fields[name])})" for name in sorted(contract.fields)]
-    return "^OBJECT<" + ", ".join(members) + ">$"
+def _complete(contract):
+    """The row image has exactly the contracted members and none is null."""
+    values = [F.col(f"_text_{name}").isNotNull() for name in contract.fields]
+    return reduce(lambda a, b: a & b, values, F.size("_data") == len(contract.fields))
+
+
+def _text(name, kind):
+    """Text of a field.
+
+    That of the map is enough but for amounts: a bare number there has gone through a double,
+    so amounts come from the document, which keeps decimals exact.
+    """
+    if kind.startswith("decimal"):
+        return member(F.col("_document"), f"record_data.{name}", "string")
+    return F.try_element_at("_data", F.lit(name))
 
 
 def _value(name, kind):
-    """Normalised value of a field from its text, NULL when it breaks its kind."""
-    text = F.col(f"_d.{name}")
-    if kind == "bigint":
-        return integer_text(text)
+    """Normalised value of a field, NULL when it breaks its kind."""
+    text = F.col(f"_text_{name}")
     if kind.startswith("decimal"):
         return _money(text)
+    if kind == "bigint":
+        return integer_text(text)
     if kind == "timestamp":
         return canonical_iso(text)
     return text
 
 
 def _field_rules(contract):
-    """`_kind_*` is only set where the image has not the contracted shape, so for a well-shaped
-    image the kind rules are NULL, which counts as unbroken."""
+    """The value decides whether a field is good; the kind it came as only names the fault, so
+    it is looked up behind a fault."""
     for name, kind in contract.fields.items():
-        given, value = F.col(f"_kind_{name}"), F.col(f"_value_{name}")
+        value = F.col(f"_value_{name}")
+        given = kind_of(member(F.col("_document"), f"record_data.{name}"))
         odd_kind = ~given.rlike(f"^({_arrives_as(kind)})$")
-        yield f"{name} cannot be null", given == "VOID"
+        yield f"{name} cannot be null", F.col(f"_text_{name}").isNull()
         if kind == "bigint":
-            yield "bigint must be an integer", odd_kind
+            yield "bigint must be an integer", value.isNull() & odd_kind
             yield "invalid bigint", value.isNull()
         elif kind.startswith("decimal"):
-            yield f"{name} must be decimal", odd_kind
+            yield f"{name} must be decimal", value.isNull() & odd_kind
             yield f"{name} exceeds {kind}", value.isNull()
         elif kind == "timestamp":
-            yield "timestamp must be a timezone-aware string", odd_kind | value.isNull()
+            yield "timestamp must be a timezone-aware string", value.isNull()
+        elif name in contract.enums:
+            known = value.isin(*contract.enums[name])
+            yield f"{name} must be string", ~known & odd_kind
+            yield f"unsupported {name}", ~known
+        elif name == "currency":
+            known = value.rlike(r"^[A-Z]{3}\z")
+            yield f"{name} must be string", ~known & odd_kind
+            yield "currency must be three uppercase letters", ~known
         else:
-            yield f"{name} must be string", odd_kind | value.isNull()
+            yield f"{name} must be string", odd_kind
         if name in contract.positive:
             yield f"{name} must be positive", value <= 0
-        if name in contract.enums:
-            yield f"unsupported {name}", ~value.isin(*contract.enums[name])
-        if name == "currency":
-            yield "currency must be three uppercase letters", ~value.rlike(r"^[A-Z]{3}\z")
 
 
 def _record_rules(contract):
     """Rules of the row image and of its key, in order."""
     names = F.array(*[F.lit(name) for name in sorted(contract.fields)])
-    same_members = F.col("_well_shaped") | (key_set(F.col("_data")) == names)
+    same_members = _complete(contract) | (F.array_sort(F.map_keys("_data")) == names)
     yield "record_data fields do not match contract", _not(same_members)
     yield from _field_rules(contract)
-    same_key = F.col("_key_shape").isin(
-        f"OBJECT<{contract.key}: BIGINT>", f"OBJECT<{contract.key}: STRING>"
-    ) & (F.col("_key_value") == F.col(f"_value_{contract.key}"))
+    same_key = (F.size("_key") == 1) & (
+        integer_text(F.col("_key")[contract.key]) == F.col(f"_value_{contract.key}")
+    )
     yield "record_key does not match record_data", _not(same_key)
 
 
 def _envelope_rules(source):
-    yield "invalid JSON", F.col("_document").isNull()
+    document = F.col("_document")
+    yield "invalid JSON", document.isNull()
     yield "envelope must be an object", F.col("_version").isNull() & ~F.startswith(
-        kind_of(F.col("_document")), F.lit("OBJECT")
-    )
-    yield "unsupported schema_version", _not(
-        (F.col("_version_kind") == "BIGINT") & (F.col("_version") == str(SCHEMA_VERSION))
+        kind_of(value_of(document)), F.lit("OBJECT")
     )
+    # The text '1' is also that of the string "1".
+    whole = kind_of(member(document, "schema_version")) == "BIGINT"
+    yield "unsupported schema_version", _not((F.col("_version") == str(SCHEMA_VERSION)) & whole)
     yield "unsupported capture_method", _not(F.col("_method") == CAPTURE_METHOD)
     yield "unexpected source_system", _not(F.col("_source") == source)
     yield "unsupported source_schema", _not(F.col("_schema") == SOURCE_SCHEMA)
     yield "unsupported source_table", _not(F.col("_table").isin(*CDC_TABLES))
-    dashed = F.length("_id_text") == 36
-    text_id = dashed | (kind_of(member(F.col("_document"), "event_id")) == "STRING")
+    # A number of 32 digits reads like a UUID without dashes.
+    text_id = F.contains("_id_text", F.lit("-")) | (kind_of(member(document, "event_id")) == "STRING")
     yield "event_id must be a UUID string", _not(text_id)
     yield "badly formed hexadecimal UUID string", F.col("_id").isNull()
-    yield "missing event_sequence", F.col("_sequence_kind").isNull()
-    yield "bigint must be an integer", ~F.col("_sequence_kind").isin("STRING", "BIGINT")
+    given = kind_of(member(document, "event_sequence"))
+    yield "missing event_sequence", F.col("_sequence").isNull() & given.isNull()
+    yield "bigint must be an integer", F.col("_sequence").isNull() & ~given.isin("STRING", "BIGINT")
     yield "invalid bigint", F.col("_sequence").isNull()
     yield "event_sequence must be positive", F.col("_sequence") <= 0
     yield "unsupported operation", _not(F.col("_operation").isin(*OPERATIONS))
@@ -173,45 +192,33 @@ def decode_events(raw, source=DEFAULT_SOURCE, text="value"):
     kinds = _fields()
     keep = [F.col(name) for name in raw.columns]
 
-    documents = raw.select(*keep, strict_document(F.col(text)).alias("_document"))
-    document = F.col("_document")
-    envelope = documents.select(
-        *keep, "_document", F.try_variant_get(document, "$", _ENVELOPE).alias("_e")
+    parsed = raw.select(
+        *keep,
+        sealed_document(F.col(text)).alias("_parsed"),
+        F.from_json(F.col(text), _ENVELOPE).alias("_e"),
     )
-    # Kinds are asked for only where text alone cannot tell them apart: a number renders as the
-    # same text as the string of its digits, but never as a dashed UUID or as a time.
-    opened = envelope.select(
+    opened = parsed.select(
         *keep,
-        "_document",
+        F.when(is_sealed(F.col("_parsed"), F.col(text)), F.col("_parsed")).alias("_document"),
         F.col("_e.schema_version").alias("_version"),
-        kind_of(member(document, "schema_version")).alias("_version_kind"),
         F.col("_e.capture_method").alias("_method"),
         F.col("_e.source_system").alias("_source"),
         F.col("_e.source_schema").alias("_schema"),
         F.col("_e.source_table").alias("_table"),
         F.col("_e.operation").alias("_operation"),
         F.col("_e.event_id").alias("_id_text"),
-        kind_of(member(document, "event_sequence")).alias("_sequence_kind"),
         F.col("_e.event_sequence").alias("_sequence_text"),
         F.col("_e.captured_at").alias("_captured_text"),
         F.col("_e.record_data").alias("_data"),
         F.col("_e.record_key").alias("_key"),
     )
-    data, key = F.col("_data"), F.col("_key")
-    members = opened.select(
+    # A stage of its own: the value rules name each text several times.
+    texts = opened.select("*", *[_text(name, kind).alias(f"_text_{name}") for name, kind in kinds.items()])
+    values = texts.select(
         "*",
         canonical_uuid(F.col("_id_text")).alias("_id"),
         integer_text(F.col("_sequence_text")).alias("_sequence"),
         canonical_iso(F.col("_captured_text")).alias("_captured"),
-        _per_table(lambda contract: kind_of(data).rlike(_shape(contract))).alias("_well_shaped"),
-        kind_of(key).alias("_key_shape"),
-        _per_table(lambda contract: integer_text(member(key, contract.key, "string"))).alias("_key_value"),
-        F.try_variant_get(data, "$", ", ".join(f"{name}: string" for name in kinds).join(["struct<", ">"])).alias("_d"),
-    )
-    odd = _not(F.col("_well_shaped"))
-    values = members.select(
-        "*",
-        *[F.when(odd, kind_of(member(data, name))).alias(f"_kind_{name}") for name in kinds],
         *[_value(name, kind).alias(f"_value_{name}") for name, kind in kinds.items()],
     )
     judged = values.select(
