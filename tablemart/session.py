@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # The JVM never compiles a method above 8000 bytes of bytecode; the wide rule projections
+    # are faster as many small generated methods than as one large interpreted one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -23,3 +26,10 @@ def build_session(app="tablemart", zone="UTC", master=None, **settings):
     for name, value in {**SETTINGS, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def apply_settings(spark):
+    """The library settings on a session somebody else built; all of them can change at run time."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
