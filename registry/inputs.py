@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from tablemart.contracts import CAPTURE_METHOD, DEFAULT_SOURCE, SOURCE_SCHEMA
+from tablemart.operators.layout import spread
 from tablemart.plans import enrichment, trips
 from tablemart.plans.outbox import derived_event_id
 
@@ -66,7 +67,7 @@ def trip_text(events, faults=False):
 
 def raw_trips(spark, folder, faults=False):
     """(trip_id, payload JSON)."""
-    text = trip_text(load(spark, folder, "events"), faults)
+    text = trip_text(spread(load(spark, folder, "events")), faults)
     return text.select("trip_id", F.to_json(F.struct(*text.columns)).alias("payload"))
 
 
@@ -130,7 +131,7 @@ def hours(spark, folder):
 
 def change_event_text(spark, folder, faults=False):
     """(value JSON, source_file): events as loan and transaction changes."""
-    events = load(spark, folder, "events")
+    events = spread(load(spark, folder, "events"))
     number, user = F.col("event_id"), F.col("user_id")
     is_loan = number % 3 == 0
     transaction = user * 10 + number % 10

@@ -7,12 +7,18 @@ from pyspark.sql.types import StructType
 
 @dataclass(frozen=True)
 class TableContract:
-    schema: StructType
+    """A published table; the DDL becomes a StructType once a session exists."""
+
+    ddl: str
     primary_key: tuple
     partition_by: tuple = ()
     upstream: tuple = ()
     version: int = 1
 
+    @property
+    def schema(self):
+        return StructType.fromDDL(self.ddl)
+
     @property
     def types(self):
         return {column.name: column.dataType.simpleString() for column in self.schema}
@@ -23,10 +29,10 @@ class TableContract:
 
 
 def table(ddl, key, partition=(), upstream=()):
-    return TableContract(StructType.fromDDL(ddl), tuple(key), tuple(partition), tuple(upstream))
+    return TableContract(ddl, tuple(key), tuple(partition), tuple(upstream))
 
 
-RAW_ENVELOPE = StructType.fromDDL(
+RAW_ENVELOPE = (
     "record_id string not null, payload string not null, ingested_at_utc string not null,"
     " run_id string not null, sequence bigint not null"
 )
@@ -36,15 +42,9 @@ TRIP_MEMBERS = (
     "trip_id", "taxi_id", "trip_start_timestamp", "trip_seconds", "trip_miles", "fare", "tips",
     "trip_total", "payment_type", "company", "pickup_community_area", "dropoff_community_area",
 )
-TRIP_PAYLOAD = StructType.fromDDL(
-    ", ".join(f"{name} string" for name in TRIP_MEMBERS if name != "trip_id")
-)
+TRIP_PAYLOAD = ", ".join(f"{name} string" for name in TRIP_MEMBERS if name != "trip_id")
 
 # The published tables, their columns and their keys.
-_RAW_DDL = (
-    "record_id string not null, payload string not null, ingested_at_utc string not null,"
-    " run_id string not null, sequence bigint not null"
-)
 _FACT_DDL = (
     "dropoff_community_area string, pickup_community_area string, company string,"
     " payment_type string, taxi_id string, trip_id string not null,"
@@ -55,9 +55,9 @@ _FACT_DDL = (
     " company_key string, pickup_area_key string not null, dropoff_area_key string not null"
 )
 TABLES = {
-    "bronze.taxi_trip_raw": table(_RAW_DDL, ["record_id"], upstream=["source.trips"]),
-    "bronze.community_area_raw": table(_RAW_DDL, ["record_id"], upstream=["source.areas"]),
-    "bronze.weather_hour_raw": table(_RAW_DDL, ["record_id"], upstream=["source.weather"]),
+    "bronze.taxi_trip_raw": table(RAW_ENVELOPE, ["record_id"], upstream=["source.trips"]),
+    "bronze.community_area_raw": table(RAW_ENVELOPE, ["record_id"], upstream=["source.areas"]),
+    "bronze.weather_hour_raw": table(RAW_ENVELOPE, ["record_id"], upstream=["source.weather"]),
     "silver.fact_taxi_trip": table(
         _FACT_DDL, ["trip_id"], ["trip_date"], ["bronze.taxi_trip_raw"]
     ),
@@ -222,19 +222,17 @@ CDC_TABLES = {
     ),
 }
 
-LEDGER = StructType.fromDDL(
+LEDGER = (
     "event_id string, event_sequence bigint, source_system string, source_table string,"
     " record_id bigint, operation string, captured_at timestamp, payload_json string,"
     " event_hash string"
 )
-QUARANTINE = StructType.fromDDL(
-    "rejection_id string, source_file string, raw_json string, reason string"
-)
+QUARANTINE = "rejection_id string, source_file string, raw_json string, reason string"
 
 
 def state_schema(name):
     """Columns of the latest-state table of one captured table."""
-    return StructType.fromDDL(
+    return (
         f"source_system string, {CDC_TABLES[name].ddl}, event_sequence bigint, event_id string,"
         " event_hash string, captured_at timestamp, is_deleted boolean"
     )

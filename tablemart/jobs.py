@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tablemart.contracts import CDC_TABLES, DEFAULT_SOURCE, LEDGER, QUARANTINE, RAW_ENVELOPE, TABLES, state_schema
 from tablemart.operators.latest import consolidate
+from tablemart.operators.layout import spread
 from tablemart.operators.merge import absent_rows
 from tablemart.operators.ranking import bounded
 from tablemart.plans import cdc, quality, trips
@@ -172,7 +173,7 @@ def cdc_lake(spark, raw, root, source=DEFAULT_SOURCE, scope="history", run_id=No
     records of this batch only, which is enough when every earlier batch ran to its end.
     """
     run_id = run_id or _run_id()
-    decoded = via_table(decode_events(raw, source), "decoded")
+    decoded = via_table(decode_events(spread(raw), source), "decoded")
     counts = cdc.input_counts(decoded).first()
     report = {"input": counts["input"], "quarantined": counts["invalid"]}
     if counts["invalid"]:
@@ -234,7 +235,7 @@ def cdc_refresh(spark, path, root, source=DEFAULT_SOURCE, apply=False, limit=Non
     tagged = known.select("event_json", F.lit(True).alias("in_ledger")).unionByName(
         raw.select("event_json", F.lit(False).alias("in_ledger"))
     )
-    decoded = via_table(decode_events(tagged, source, "event_json"), "refresh")
+    decoded = via_table(decode_events(spread(tagged), source, "event_json"), "refresh")
     bad = decoded.filter(F.col("error").isNotNull()).select("in_ledger", "error").first()
     if bad:
         raise RefreshError(f"Invalid {'ledger' if bad['in_ledger'] else 'raw'} event: {bad['error']}")

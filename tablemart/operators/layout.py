@@ -1,0 +1,13 @@
+"""Spreading work over the cluster."""
+
+
+def spread(frame):
+    """The frame over at least as many partitions as the cluster has cores.
+
+    Parsing is work per row, so a scan of a few unsplittable files would leave most cores idle.
+    A scan with enough splits, which is every large table, is returned as it is: no shuffle.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() >= cores:
+        return frame
+    return frame.repartition(cores)

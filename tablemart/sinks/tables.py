@@ -56,7 +56,6 @@ def create_cdc_tables(spark, database):
     schemas = {"event_ledger": LEDGER, "quarantine": QUARANTINE}
     schemas.update({f"{name}_state": state_schema(name) for name in CDC_TABLES})
     for name, schema in schemas.items():
-        columns = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in schema)
         partition = " PARTITIONED BY (source_table)" if name == "event_ledger" else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet{partition}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({schema}) USING parquet{partition}")
     return [f"{database}.{name}" for name in schemas]

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from tablemart.contracts import RAW_ENVELOPE
 from tablemart.operators.ranking import number_rows
 
 
@@ -32,12 +31,4 @@ def wrap_rows(frame, key, run_id, ingested_at, start=0, payload=None):
         F.lit(ingested_at).alias("ingested_at_utc"),
         F.lit(run_id).alias("run_id"),
         F.col("sequence").cast("bigint").alias("sequence"),
-    ).to(_relaxed())
-
-
-def _relaxed():
-    """Envelope columns and types; nullability is checked on the data, not on the schema."""
-    relaxed = type(RAW_ENVELOPE)()
-    for column in RAW_ENVELOPE:
-        relaxed.add(column.name, column.dataType, True)
-    return relaxed
+    )

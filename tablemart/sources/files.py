@@ -3,7 +3,6 @@
 import re
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tablemart.contracts import RAW_ENVELOPE
 
@@ -39,7 +38,7 @@ def read_parquet(spark, path, schema=None):
     """A Parquet table; Hive-style partition folders become columns and prune the scan."""
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(schema if isinstance(schema, StructType) else StructType.fromDDL(schema))
+        reader = reader.schema(schema)
     return reader.parquet(path)
 
 
