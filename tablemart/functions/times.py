@@ -38,8 +38,10 @@ def local_wall_clock(column, zone=LOCAL_ZONE):
 
 def utc_from_iso(column):
     """UTC wall-clock time of extended ISO-8601 text that names its zone; NULL otherwise."""
-    dotted = F.translate(column, ",", ".")
-    return F.when(column.rlike(_ZONED_ISO), utc_wall_clock(dotted.try_cast("timestamp")))
+    full = F.regexp_replace(
+        F.translate(column, ",", "."), "^(.{10}[ T][0-9]{2}:[0-9]{2})([Z+-])", "$1:00$2"
+    )
+    return F.when(column.rlike(_ZONED_ISO), utc_wall_clock(full.try_cast("timestamp")))
 
 
 def iso_utc_text(stamp):
