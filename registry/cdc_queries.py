@@ -128,8 +128,8 @@ def cdc_conflicts(spark, folder):
 @query(f"""WITH {EVENTS}, moved AS (
     SELECT event_id, CASE WHEN number % 200 = 1 THEN event_sequence + 1 ELSE event_sequence END AS event_sequence, payload_json AS body FROM decoded
     UNION ALL SELECT event_id, event_sequence, payload_json || ' ' FROM decoded WHERE number % 300 = 0)
-  SELECT 'Conflicting event ID' AS conflict, event_id AS subject FROM moved GROUP BY event_id HAVING count(DISTINCT body) > 1
-  UNION ALL SELECT 'Conflicting source sequence', CAST(event_sequence AS VARCHAR) FROM moved GROUP BY event_sequence HAVING count(DISTINCT event_id) > 1""")
+  SELECT 'event id with different bytes' AS conflict, event_id AS subject FROM moved GROUP BY event_id HAVING count(DISTINCT body) > 1
+  UNION ALL SELECT 'source sequence used twice', CAST(event_sequence AS VARCHAR) FROM moved GROUP BY event_sequence HAVING count(DISTINCT event_id) > 1""")
 def cdc_raw_conflicts(spark, folder):
     """The fail-fast gate: changed bytes for one event id, one sequence for two events."""
     events = _ledger(spark, folder).select(

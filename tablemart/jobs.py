@@ -7,9 +7,19 @@ the tasks it ran and nothing is kept in executor memory between stages.
 from datetime import datetime, timezone
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tablemart.contracts import CDC_TABLES, DEFAULT_SOURCE, LEDGER, QUARANTINE, RAW_ENVELOPE, TABLES, state_schema
+from tablemart.contracts import (
+    CDC_TABLES,
+    DEFAULT_SOURCE,
+    LEDGER,
+    PUBLISHED_FIELDS,
+    QUARANTINE,
+    RAW_ENVELOPE,
+    TABLES,
+    state_schema,
+)
 from tablemart.operators.latest import consolidate
 from tablemart.operators.layout import spread
 from tablemart.operators.merge import absent_rows
@@ -18,7 +28,7 @@ from tablemart.plans import cdc, quality, trips
 from tablemart.plans.enrichment import area_dimension, area_demand, enriched_trips, weather_demand, weather_dimension
 from tablemart.plans.event_decode import decode_events
 from tablemart.plans.marts import trip_marts
-from tablemart.plans.naming import published, published_name, published_tables
+from tablemart.plans.naming import published, published_name
 from tablemart.sinks import snapshots
 from tablemart.sinks.tables import write_new, write_partitioned
 from tablemart.sources.files import read_lines
@@ -72,8 +82,6 @@ def build_trip_tables(bronze, write):
 
 def working(frame):
     """Working column names of a published table."""
-    from tablemart.contracts import PUBLISHED_FIELDS
-
     names = {theirs: ours for ours, theirs in PUBLISHED_FIELDS.items()}
     return frame.withColumnsRenamed({k: v for k, v in names.items() if k in frame.columns})
 
@@ -129,8 +137,6 @@ def trip_lake(spark, root, incoming, run_id=None, contracts=TABLES):
 
 def _stored(spark, path, schema):
     """An append-only Parquet table, empty before its first write."""
-    from pyspark.errors import AnalysisException
-
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -204,7 +210,10 @@ def cdc_lake(spark, raw, root, source=DEFAULT_SOURCE, scope="history", run_id=No
 
 
 def _fold_state(spark, root, table, history, run_id):
-    merged = cdc.merge_state(state(spark, root, table), cdc.fold(history, table), table)
+    """Fold the history and merge it. The merge names the fold several times, so it is stored
+    first; its real size then also decides whether it is broadcast."""
+    folded = via_table(cdc.fold(history, table), "fold")
+    merged = cdc.merge_state(state(spark, root, table), folded, table)
     _swap(spark, root, f"{table}_state", merged, run_id)
 
 
@@ -238,24 +247,24 @@ def cdc_refresh(spark, path, root, source=DEFAULT_SOURCE, apply=False, limit=Non
     decoded = via_table(decode_events(spread(tagged), source, "event_json"), "refresh")
     bad = decoded.filter(F.col("error").isNotNull()).select("in_ledger", "error").first()
     if bad:
-        raise RefreshError(f"Invalid {'ledger' if bad['in_ledger'] else 'raw'} event: {bad['error']}")
+        raise RefreshError(f"{'ledger' if bad['in_ledger'] else 'raw'} event refused: {bad['error']}")
     if not cdc.ledger_mismatches(known, decoded.filter("in_ledger")).isEmpty():
-        raise RefreshError("Ledger metadata does not match the payload")
+        raise RefreshError("a ledger row disagrees with its own event")
     conflict = cdc.raw_conflicts(decoded).first()
     if conflict:
         raise RefreshError(f"{conflict['conflict']}: {conflict['subject']}")
     repeated = known.groupBy(*cdc.EVENT_KEY).count().filter("count > 1").first()
     if repeated:
-        raise RefreshError(f"Duplicate event ID in ledger: {repeated['event_id']}")
+        raise RefreshError(f"event stored twice: {repeated['event_id']}")
     history = via_table(cdc.one_per_event(decoded), "history")
     if limit:
         bounded(history, limit)
     events = cdc.valid_events(history)
     expected = cdc.expected_counts(events).first().asDict()
     if not expected["ledger_events"]:
-        raise RefreshError("No outbox events found in raw data or the ledger")
+        raise RefreshError("neither raw rows nor ledger rows")
     if expected["orphan_transactions"]:
-        raise RefreshError("Latest events contain orphan transactions")
+        raise RefreshError("current transactions without a current loan")
     additions = absent_rows(known, history.filter(~F.col("in_ledger")), cdc.EVENT_KEY).select(*known.columns)
     report = {"status": "validated", "raw_rows": raw.count(), "new_events": additions.count(), "expected": expected}
     if not apply:
@@ -271,5 +280,5 @@ def cdc_refresh(spark, path, root, source=DEFAULT_SOURCE, apply=False, limit=Non
         refresh_ledger(spark, root), loans, transactions, loan_portfolio(spark, root)
     ).first().asDict()
     if actual != expected:
-        raise RefreshError(f"Reconciliation failed: expected {expected}, observed {actual}")
+        raise RefreshError(f"tables do not reconcile: {actual} instead of {expected}")
     return {**report, "status": "refreshed", "actual": actual}

@@ -83,18 +83,18 @@ def touched_history(ledger, events):
 
 def require_consistent(events):
     if not content_conflicts(events).isEmpty():
-        raise ConflictError("Conflicting event identity or per-key sequence; no state tables were merged")
+        raise ConflictError("an event id or a record sequence occurs with different content; states are unchanged")
 
 
 def raw_conflicts(history):
     """The fail-fast gate over raw and ledger rows (`event_json` is the exact text): an event id
     with different bytes, or a sequence that one source uses for different events."""
     by_event = conflicting_groups(history, EVENT_KEY, "event_json").select(
-        F.lit("Conflicting event ID").alias("conflict"), "source_system",
+        F.lit("event id with different bytes").alias("conflict"), "source_system",
         F.col("event_id").alias("subject"),
     )
     by_sequence = conflicting_groups(history, ["source_system", SEQUENCE], "event_id").select(
-        F.lit("Conflicting source sequence").alias("conflict"), "source_system",
+        F.lit("source sequence used twice").alias("conflict"), "source_system",
         F.col(SEQUENCE).cast("string").alias("subject"),
     )
     return by_event.unionByName(by_sequence)

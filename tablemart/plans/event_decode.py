@@ -1,7 +1,8 @@
 """Strict decoding of change events with column expressions only.
 
-The rules run in a fixed order and the first broken one is the reason of the rejection. Members
-are taken out of the document once, in stages, so that later rules refer to finished columns.
+The rules run in a fixed order and the first broken one is the reason of the rejection; order and
+texts of the reasons are fixed values. Members are taken out of the document once, in stages, so
+that later rules refer to finished columns.
 """
 
 from functools import reduce

@@ -47,6 +47,8 @@ def register_location(spark, name, path, schema_ddl=None):
     columns = f"({schema_ddl})" if schema_ddl else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} {columns} USING parquet LOCATION '{path}'")
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
 
 
 def create_cdc_tables(spark, database):

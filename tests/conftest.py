@@ -9,11 +9,12 @@ from tablemart.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests", master="local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
-           "spark.ui.showConsoleProgress": "false"},
+           "spark.ui.showConsoleProgress": "false",
+           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
