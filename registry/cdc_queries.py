@@ -7,6 +7,7 @@ from tablemart.contracts import DEFAULT_SOURCE
 from tablemart.operators import grain, latest, merge
 from tablemart.plans import cdc, outbox
 from tablemart.plans.event_decode import decode_events
+from tablemart.storage import via_table
 
 QUERIES, ORACLES = {}, {}
 
@@ -81,6 +82,11 @@ def _ledger(spark, folder):
     return cdc.valid_events(_decoded(spark, folder))
 
 
+def _stored_ledger(spark, folder):
+    """The ledger as a stored table, for queries that read it more than once."""
+    return via_table(_ledger(spark, folder), "ledger")
+
+
 # --- decoding ---------------------------------------------------------------------------
 
 
@@ -122,7 +128,7 @@ def cdc_dedupe(spark, folder):
 @query(f"""WITH {EVENTS} SELECT 'event' AS conflict, event_id AS subject FROM decoded WHERE number % 100 = 0
   UNION ALL SELECT 'sequence', source_table || '/' || record_id FROM decoded WHERE number % 100 = 0""")
 def cdc_conflicts(spark, folder):
-    return cdc.content_conflicts(_with_copies(_ledger(spark, folder))).select("conflict", "subject")
+    return cdc.content_conflicts(_with_copies(_stored_ledger(spark, folder))).select("conflict", "subject")
 
 
 @query(f"""WITH {EVENTS}, moved AS (
@@ -132,7 +138,7 @@ def cdc_conflicts(spark, folder):
   UNION ALL SELECT 'source sequence used twice', CAST(event_sequence AS VARCHAR) FROM moved GROUP BY event_sequence HAVING count(DISTINCT event_id) > 1""")
 def cdc_raw_conflicts(spark, folder):
     """The fail-fast gate: changed bytes for one event id, one sequence for two events."""
-    events = _ledger(spark, folder).select(
+    events = _stored_ledger(spark, folder).select(
         "source_system", "event_id", cdc.SEQUENCE, F.col("payload_json").alias("event_json")
     )
     number = F.col(cdc.SEQUENCE) - 1
@@ -185,7 +191,7 @@ def cdc_tombstones(spark, folder):
   FROM loans l LEFT JOIN early e USING (loan_id)""")
 def cdc_merge_state(spark, folder):
     """State of the first half merged with the fold of the whole ledger."""
-    ledger = _ledger(spark, folder)
+    ledger = _stored_ledger(spark, folder)
     middle = ledger.agg(F.avg(cdc.SEQUENCE).alias("middle")).scalar()
     early = cdc.fold(ledger.filter(F.col(cdc.SEQUENCE) <= middle), "loans")
     merged = cdc.merge_state(early, cdc.fold(ledger, "loans"), "loans")
@@ -208,7 +214,7 @@ def cdc_merge_state(spark, folder):
   (SELECT count(*) FROM loans WHERE NOT is_deleted) AS portfolio_loans,
   (SELECT count(*) FROM transactions t WHERE NOT is_deleted AND EXISTS (SELECT 1 FROM loans l WHERE NOT l.is_deleted AND l.loan_id = t.loan_id)) AS portfolio_transactions""")
 def expected_counts(spark, folder):
-    return cdc.expected_counts(_ledger(spark, folder))
+    return cdc.expected_counts(_stored_ledger(spark, folder))
 
 
 # --- portfolio over customers and orders ------------------------------------------------
