@@ -1,9 +1,11 @@
 """One query for each operator, over its whole table, and the SQL twins where SQL can say it."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from tablemart.llm.near_vectors import near_duplicate_vectors
 from tablemart.llm.tables import read
+from tablemart.llm.token_counts import count_tokens
 from tablemart.llm.topk import top_k
 
 QUERIES, ORACLES = {}, {}
@@ -41,3 +43,8 @@ WHERE rank <= 5
 def op10_exact_top_k(spark, folder):
     vectors = read(spark, folder, "embeddings")
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+@query()
+def op6_token_counts(spark, folder):
+    return count_tokens(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
