@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from tablemart.llm.mixing import mix_sources, mix_sql
 from tablemart.llm.near_vectors import near_duplicate_vectors
 from tablemart.llm.tables import read
 from tablemart.llm.token_counts import count_tokens
@@ -48,3 +49,8 @@ def op10_exact_top_k(spark, folder):
 @query()
 def op6_token_counts(spark, folder):
     return count_tokens(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(mix_sql())
+def op5_source_mixing(spark, folder):
+    return mix_sources(read(spark, folder, "documents"))
