@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from tablemart.llm.mixing import mix_sources, mix_sql
 from tablemart.llm.near_vectors import near_duplicate_vectors
+from tablemart.llm.packing import pack_documents
 from tablemart.llm.tables import read
 from tablemart.llm.token_counts import count_tokens
+from tablemart.llm.token_files import token_file_digest
 from tablemart.llm.topk import top_k
 
 QUERIES, ORACLES = {}, {}
@@ -54,3 +56,13 @@ def op6_token_counts(spark, folder):
 @query(mix_sql())
 def op5_source_mixing(spark, folder):
     return mix_sources(read(spark, folder, "documents"))
+
+
+@query()
+def op8_token_files(spark, folder):
+    return token_file_digest(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op9_best_fit_packing(spark, folder):
+    return pack_documents(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
