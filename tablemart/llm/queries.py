@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tablemart.llm.mixing import mix_sources, mix_sql
 from tablemart.llm.near_vectors import near_duplicate_vectors
 from tablemart.llm.packing import pack_documents
+from tablemart.llm.quality import score_quality
 from tablemart.llm.tables import read
 from tablemart.llm.token_counts import count_tokens
 from tablemart.llm.token_files import token_file_digest
@@ -66,3 +67,8 @@ def op8_token_files(spark, folder):
 @query()
 def op9_best_fit_packing(spark, folder):
     return pack_documents(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op3_quality_classifier(spark, folder):
+    return score_quality(read(spark, folder, "documents"), read(spark, folder, "labels"))
