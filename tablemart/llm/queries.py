@@ -7,6 +7,8 @@ from tablemart.llm.mixing import mix_sources, mix_sql
 from tablemart.llm.near_vectors import near_duplicate_vectors
 from tablemart.llm.packing import pack_documents
 from tablemart.llm.quality import score_quality
+from tablemart.llm.substring_dedup import remove_repeated_words
+from tablemart.llm.suffix_dedup import remove_repeated_bytes
 from tablemart.llm.tables import read
 from tablemart.llm.token_counts import count_tokens
 from tablemart.llm.token_files import token_file_digest
@@ -72,3 +74,13 @@ def op9_best_fit_packing(spark, folder):
 @query()
 def op3_quality_classifier(spark, folder):
     return score_quality(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query()
+def op1_suffix_array_dedup(spark, folder):
+    return remove_repeated_bytes(read(spark, folder, "documents"))
+
+
+@query()
+def op2_substring_dedup(spark, folder):
+    return remove_repeated_words(read(spark, folder, "documents"))
