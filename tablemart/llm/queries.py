@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from tablemart.llm.jaccard_join import ngram_components
 from tablemart.llm.mixing import mix_sources, mix_sql
 from tablemart.llm.near_vectors import near_duplicate_vectors
 from tablemart.llm.packing import pack_documents
@@ -84,3 +85,8 @@ def op1_suffix_array_dedup(spark, folder):
 @query()
 def op2_substring_dedup(spark, folder):
     return remove_repeated_words(read(spark, folder, "documents"))
+
+
+@query()
+def op7_ngram_jaccard_join(spark, folder):
+    return ngram_components(read(spark, folder, "documents"))
