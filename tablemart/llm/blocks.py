@@ -67,9 +67,9 @@ def _make_blocks(size):
             return pd.DataFrame({"block": [task << 32 | number], "checksum": [checksum], "blob": [blob]})
 
         for batch in batches:
-            for doc, text, extra, task in zip(batch["doc_id"], batch["text"], batch["extra"], batch["task"]):
-                unknown, data = pd.isna(doc), text.encode()
-                held.append((LAST if unknown else int(doc), not unknown, data, (extra or "").encode()))
+            for doc, known, text, extra, task in zip(*[batch[c] for c in batch.columns]):
+                data = text.encode()
+                held.append((doc, known, data, (extra or "").encode()))
                 weight += len(data)
                 if weight >= size:
                     yield close()
@@ -84,8 +84,10 @@ def text_blocks(documents, keep=(), size=BLOCK_BYTES):
     """block, checksum, blob: the documents of each input task in blocks of about `size` bytes; the
     columns to keep go along as one JSON text."""
     extra = F.to_json(F.struct(*keep)) if keep else F.lit("")
+    # Null ids have a flag of their own: pandas would turn a column with nulls into floats.
     rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), extra.alias("extra"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))).alias("doc_id"),
+        F.col("doc_id").isNotNull().alias("known"), F.coalesce("text", F.lit("")).alias("text"), extra.alias("extra"),
         # The index of the input split, which stays the same whatever stands above it in a plan.
         F.spark_partition_id().cast("long").alias("task"),
     )

@@ -166,8 +166,9 @@ def _finish(kind, buckets, within, with_text):
                         hashlib.sha256(kept).hexdigest(), kept if with_text else None,
                         block.extras[n].decode() if with_text else None,
                     ))
-                frame = pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")])
-                yield frame.astype({"doc_id": "Int64"})
+                ids, *others = zip(*rows)
+                names = [c.split()[0] for c in RESULT.split(", ")]
+                yield pd.DataFrame(dict(zip(names, [pd.array(ids, dtype="Int64"), *others])))
 
     return finish
 
