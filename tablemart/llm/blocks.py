@@ -14,9 +14,9 @@ import zstandard
 from pyspark.sql import functions as F
 
 from tablemart.llm.tables import blocks_for
-from tablemart.storage import via_table
+from tablemart.storage import pin, via_table
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 32 << 20
 #: Buckets of the smallest corpus: enough to keep many tasks at work.
 LEAST_BUCKETS = 64
@@ -36,11 +36,23 @@ class Block:
         self.sizes = np.array([len(t) for t in texts], dtype=np.int64)
         self.marks = np.array([zlib.crc32(t) for t in texts], dtype=np.int64)
 
-    def packed(self):
+    def part(self, rows):
+        """The block of these rows (a mask)."""
+        at = np.flatnonzero(rows).tolist()
+        return Block(self.keys[rows], self.known[rows], [self.texts[n] for n in at], [self.extras[n] for n in at])
+
+    def _body(self):
         head = np.array([len(self.keys)], dtype=np.int64).tobytes()
         more = np.array([len(e) for e in self.extras], dtype=np.int64)
         table = [self.keys, self.known.astype(np.int64), self.sizes, more]
         body = b"".join([head, *[t.tobytes() for t in table], *self.texts, *self.extras])
+        return body
+
+    def checksum(self):
+        return zlib.crc32(self._body())
+
+    def packed(self):
+        body = self._body()
         return zlib.crc32(body), zstandard.ZstdCompressor(level=LEVEL).compress(body)
 
     @staticmethod
@@ -54,44 +66,62 @@ class Block:
         return Block(keys, known.astype(bool), parts[:count], parts[count:])
 
 
-def _make_blocks(size):
-    def make(batches):
-        task, number, held, weight = 0, 0, [], 0
+def _cut(batches, size):
+    """(id, Block) of the rows of one input task."""
+    task, number, held, weight = 0, 0, [], 0
+
+    def close():
+        held.sort(key=lambda d: (d[0], zlib.crc32(d[2])))
+        keys, known, texts, extras = zip(*held)
+        block = Block(np.array(keys, dtype=np.int64), np.array(known, dtype=bool), list(texts), list(extras))
+        return task << 32 | number, block
+
+    for batch in batches:
+        for doc, known, text, extra, task in zip(*[batch[c] for c in batch.columns]):
+            data = text.encode()
+            held.append((doc, known, data, (extra or "").encode()))
+            weight += len(data)
+            if weight >= size:
+                yield close()
+                number, held, weight = number + 1, [], 0
+    if held:
+        yield close()
+
+
+class TextBlocks:
+    """The documents of each input task in blocks of about `size` bytes; the columns to keep go along
+    as one JSON text. Blocks are made anew in each pass, always from the same input split."""
+
+    def __init__(self, documents, keep=(), size=None):
+        self.size, self.pinned = size or BLOCK_BYTES, None
+        extra = F.to_json(F.struct(*keep)) if keep else F.lit("")
+        # Null ids have a flag of their own: pandas would turn a column with nulls into floats.
+        self.rows = documents.select(
+            F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))).alias("doc_id"),
+            F.col("doc_id").isNotNull().alias("known"), F.coalesce("text", F.lit("")).alias("text"),
+            extra.alias("extra"),
+            # The index of the input split, which stays the same whatever stands above it in a plan.
+            F.spark_partition_id().cast("long").alias("task"),
+        )
 
-        def close():
-            held.sort(key=lambda d: (d[0], zlib.crc32(d[2])))
-            keys = np.array([d[0] for d in held], dtype=np.int64)
-            known = np.array([d[1] for d in held], dtype=bool)
-            block = Block(keys, known, [d[2] for d in held], [d[3] for d in held])
-            checksum, blob = block.packed()
-            return pd.DataFrame({"block": [task << 32 | number], "checksum": [checksum], "blob": [blob]})
+    def packed(self):
+        """block, checksum, blob rows, to be joined with answers."""
+        if self.pinned is not None:
+            return self.pinned
+        size = self.size
 
-        for batch in batches:
-            for doc, known, text, extra, task in zip(*[batch[c] for c in batch.columns]):
-                data = text.encode()
-                held.append((doc, known, data, (extra or "").encode()))
-                weight += len(data)
-                if weight >= size:
-                    yield close()
-                    number, held, weight = number + 1, [], 0
-        if held:
-            yield close()
-
-    return make
-
-
-def text_blocks(documents, keep=(), size=BLOCK_BYTES):
-    """block, checksum, blob: the documents of each input task in blocks of about `size` bytes; the
-    columns to keep go along as one JSON text."""
-    extra = F.to_json(F.struct(*keep)) if keep else F.lit("")
-    # Null ids have a flag of their own: pandas would turn a column with nulls into floats.
-    rows = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))).alias("doc_id"),
-        F.col("doc_id").isNotNull().alias("known"), F.coalesce("text", F.lit("")).alias("text"), extra.alias("extra"),
-        # The index of the input split, which stays the same whatever stands above it in a plan.
-        F.spark_partition_id().cast("long").alias("task"),
-    )
-    return rows.mapInPandas(_make_blocks(size), BLOCK)
+        def make(batches):
+            for number, block in _cut(batches, size):
+                checksum, blob = block.packed()
+                yield pd.DataFrame({"block": [number], "checksum": [checksum], "blob": [blob]})
+
+        return self.rows.mapInPandas(make, BLOCK)
+
+
+    def pin(self, buckets):
+        """Store the packed blocks once, dealt by block, so that each later pass reads them there and
+        joins its answers without moving a text again."""
+        self.pinned = pin(self.packed().repartition(max(buckets // 2, 1), "block"))
 
 
 def bucket_count(documents):
@@ -115,36 +145,48 @@ def unpack_sorted(data):
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
+def _questions(question, number, block, checksum, answers):
+    found = list(question(block, answers))
+    found.append((-1 - number % SPREAD, np.array([checksum], dtype=np.int64).tobytes()))
+    buckets, payloads = zip(*found)
+    return pd.DataFrame({"block": [number] * len(found), "bucket": buckets, "payload": payloads})
+
+
 def asked(blocks, question, *replies):
     """(block, bucket, payload) rows: question(Block, answers) yields bucket and payload.
 
     Answers come with the block: one list of (bucket, bits) per reply table. A block without its
     answers means that the input gave other blocks than before, which must not pass unseen.
     """
-    names = [f"answer{n}" for n in range(len(replies))]
-    joined = with_answers(blocks, *replies)
+    names, size = [f"answer{n}" for n in range(len(replies))], blocks.size
+
+    def ask_first(batches):
+        for number, block in _cut(batches, size):
+            yield _questions(question, number, block, block.checksum(), [])
 
     def ask(batches):
         for batch in batches:
             for r in batch.itertuples():
-                answers = [_answers(r, n) for n in names]
-                found = list(question(Block.unpacked(r.blob), r.block, answers))
-                found.append((-1 - r.block % SPREAD, np.array([r.checksum], dtype=np.int64).tobytes()))
-                yield pd.DataFrame(
-                    {"block": [r.block] * len(found), "bucket": [b for b, _ in found],
-                     "payload": [p for _, p in found]}
-                )
+                answers = [answers_of(r, n) for n in names]
+                yield _questions(question, r.block, Block.unpacked(r.blob), r.checksum, answers)
 
-    return joined.mapInPandas(ask, MESSAGE)
+    if not replies and blocks.pinned is None:
+        return blocks.rows.mapInPandas(ask_first, MESSAGE)
+    return with_answers(blocks, *replies).mapInPandas(ask, MESSAGE)
 
 
 def with_answers(blocks, *replies):
-    for n, reply in enumerate(replies):
-        blocks = blocks.join(reply.withColumnRenamed("answer", f"answer{n}"), "block", "left")
-    return blocks
+    """Blocks with the answers of each reply table. Answers grow with the corpus, so they are never
+    broadcast, not even where they are small; they are joined to each other before the blocks move."""
+    if not replies:
+        return blocks.packed()
+    answers = replies[0].withColumnRenamed("answer", "answer0")
+    for n, reply in enumerate(replies[1:], 1):
+        answers = answers.join(reply.withColumnRenamed("answer", f"answer{n}").hint("merge"), "block", "full")
+    return blocks.packed().join(answers.hint("merge"), "block", "left")
 
 
-def _answers(row, name):
+def answers_of(row, name):
     answer = getattr(row, name)
     found = {} if answer is None else {a["bucket"]: a["payload"] for a in answer}
     checksum = [found.pop(b) for b in list(found) if b < 0]

@@ -11,7 +11,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import functions as F
 
-from tablemart.llm.blocks import Block, _answers, answered, asked, bucket_count, pack_sorted, text_blocks
+from tablemart.llm.blocks import Block, TextBlocks, answered, answers_of, asked, bucket_count, pack_sorted
 from tablemart.llm.blocks import unpack_sorted, with_answers
 from tablemart.llm.components import components
 from tablemart.llm.hashing import mix, windows, word_names
@@ -65,7 +65,7 @@ def _keys(sets, buckets):
 
 
 def _ask_frequency(words, buckets):
-    def question(block, number, answers):
+    def question(block, answers):
         keys, _, _, cuts = _keys(Sets(block, words), buckets)
         for bucket in np.flatnonzero(np.diff(cuts)):
             yield int(bucket), pack_sorted(keys[cuts[bucket] : cuts[bucket + 1]] & np.uint64(0xFFFFFFFF))
@@ -90,7 +90,7 @@ def _candidate_rows(words, percent, buckets):
         unpacker, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for r in batch.itertuples():
-                answer, block = _answers(r, "answer0"), Block.unpacked(r.blob)
+                answer, block = answers_of(r, "answer0"), Block.unpacked(r.blob)
                 sets, rows = Sets(block, words), []
                 keys, inverse, counts, cuts = _keys(sets, buckets)
                 grade = np.zeros(len(keys), dtype=np.uint8)
@@ -311,7 +311,7 @@ def ngram_components(documents, words=WORDS, percent=PERCENT):
     N-grams are 64-bit names. Their frequency comes from all blocks of the corpus, one grade per
     n-gram going back; only n-grams that occur elsewhere are sent on, as few as the threshold needs.
     """
-    blocks, buckets = text_blocks(documents), bucket_count(documents)
+    blocks, buckets = TextBlocks(documents), bucket_count(documents)
     grades = answered(asked(blocks, _ask_frequency(words, buckets)), _frequency, "frequency")
     rows = via_table(
         with_answers(blocks, grades).mapInPandas(_candidate_rows(words, percent, buckets), ROWS), "sets"

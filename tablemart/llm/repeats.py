@@ -1,6 +1,8 @@
-"""Repeated windows of documents: sampled names first, then the windows around repeated samples.
+"""Repeated windows of documents: whole copies first, then sampled names, then the windows around
+repeated samples.
 
-Both substring operators share this exchange; they differ in their units (bytes or words) and in the
+A copy of a whole earlier text has no other result than to go, and nothing else can be found in it that
+is not found in that text, so copies are folded before anything is sampled. Both substring operators share this exchange; they differ in their units (bytes or words) and in the
 places they sample. Every window that occurs twice must hold samples of equal name at equal places,
 which a difference cover guarantees for bytes and a minimal seed for words.
 """
@@ -11,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tablemart.llm.blocks import Block, _answers, answered, asked, bucket_count, pack_sorted, text_blocks
+from tablemart.llm.blocks import Block, TextBlocks, answered, answers_of, asked, bucket_count, pack_sorted
 from tablemart.llm.blocks import unpack_sorted, with_answers
 
 RESULT = "doc_id long, units long, n_removed long, n_spans long, kept_sha256 string, kept binary, extra string"
@@ -59,9 +61,50 @@ def _repeated(units, buckets, answer):
     return found[inverse]
 
 
+def _table(block, rows, counts):
+    """The documents of a message: id, hash of text, row, number of names."""
+    head = np.array([len(rows)], dtype=np.int64)
+    return head.tobytes() + np.stack([block.keys[rows], block.marks[rows], rows, counts]).astype(np.int64).tobytes()
+
+
+def _text_names(block):
+    names = [hashlib.blake2b(t, digest_size=16).digest() for t in block.texts]
+    both = np.frombuffer(b"".join(names), dtype=np.uint64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def _copy_order(block, buckets):
+    """The first row of every text of the block, by bucket; rows of each text; bucket bounds."""
+    names, other = _text_names(block)
+    _, first, inverse = np.unique(names, return_index=True, return_inverse=True)
+    bucket = (other[first] % np.uint64(buckets)).astype(np.int64)
+    turn = np.lexsort((first, bucket))
+    return names, first, inverse, turn, np.searchsorted(bucket[turn], np.arange(buckets + 1))
+
+
+def _ask_copies(buckets):
+    def question(block, answers):
+        names, first, _, turn, cuts = _copy_order(block, buckets)
+        for bucket in np.flatnonzero(np.diff(cuts)):
+            rows = first[turn[cuts[bucket] : cuts[bucket + 1]]]
+            yield int(bucket), _table(block, rows, np.ones(len(rows))) + names[rows].tobytes()
+
+    return question
+
+
+def _copies(block, buckets, answer):
+    """Which rows of the block copy an earlier document, here or elsewhere."""
+    _, first, inverse, turn, cuts = _copy_order(block, buckets)
+    found = np.zeros(len(first), dtype=bool)
+    for bucket, bits in answer.items():
+        low, high = cuts[bucket], cuts[bucket + 1]
+        found[turn[low:high]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=high - low)
+    return found[inverse] | (first[inverse] != np.arange(len(inverse)))
+
+
 def _ask_samples(kind, buckets):
-    def question(block, number, answers):
-        keys, _, _, cuts = _sample_keys(kind(block), buckets)
+    def question(block, answers):
+        keys, _, _, cuts = _sample_keys(kind(block.part(~_copies(block, buckets, answers[0]))), buckets)
         for bucket in np.flatnonzero(np.diff(cuts)):
             part = keys[cuts[bucket] : cuts[bucket + 1]] & np.uint64(0xFFFFFFFF)
             yield int(bucket), pack_sorted(part)
@@ -97,15 +140,14 @@ def _ask_windows(kind, buckets):
     """Each window name once per block, in order of its first document there, with a table of these
     documents (id, hash of text, row, number of names)."""
 
-    def question(block, number, answers):
-        windows = Windows(kind(block), buckets, answers[0])
+    def question(block, answers):
+        block = block.part(~_copies(block, buckets, answers[0]))
+        windows = Windows(kind(block), buckets, answers[1])
         owner = windows.units.owner[windows.starts[windows.first[windows.order]]]
         for bucket in np.flatnonzero(np.diff(windows.cuts)):
             part = slice(windows.cuts[bucket], windows.cuts[bucket + 1])
             rows, counts = np.unique(owner[part], return_counts=True)
-            table = np.stack([block.keys[rows], block.marks[rows], rows, counts]).astype(np.int64)
-            head = np.array([len(rows)], dtype=np.int64)
-            yield int(bucket), head.tobytes() + table.tobytes() + windows.sent[part].tobytes()
+            yield int(bucket), _table(block, rows, counts) + windows.sent[part].tobytes()
 
     return question
 
@@ -140,8 +182,10 @@ def _finish(kind, buckets, within, with_text):
     def finish(batches):
         for batch in batches:
             for r in batch.itertuples():
-                samples, earlier = _answers(r, "answer0"), _answers(r, "answer1")
-                block = Block.unpacked(r.blob)
+                copied, samples, earlier = [answers_of(r, f"answer{n}") for n in range(3)]
+                every = Block.unpacked(r.blob)
+                copies = _copies(every, buckets, copied)
+                block = every.part(~copies)
                 windows = Windows(kind(block), buckets, samples)
                 units, found = windows.units, np.zeros(len(windows.order), dtype=bool)
                 for bucket, bits in earlier.items():
@@ -166,6 +210,15 @@ def _finish(kind, buckets, within, with_text):
                         hashlib.sha256(kept).hexdigest(), kept if with_text else None,
                         block.extras[n].decode() if with_text else None,
                     ))
+                for n in np.flatnonzero(copies).tolist():
+                    alone = kind(every.part(np.arange(len(copies)) == n))
+                    size = len(alone.owner)
+                    kept = alone.whole(0) if size < alone.window else b""
+                    rows.append((
+                        int(every.keys[n]) if every.known[n] else None, size, size if size >= alone.window else 0,
+                        int(size >= alone.window), hashlib.sha256(kept).hexdigest(), kept if with_text else None,
+                        every.extras[n].decode() if with_text else None,
+                    ))
                 ids, *others = zip(*rows)
                 names = [c.split()[0] for c in RESULT.split(", ")]
                 yield pd.DataFrame(dict(zip(names, [pd.array(ids, dtype="Int64"), *others])))
@@ -173,16 +226,18 @@ def _finish(kind, buckets, within, with_text):
     return finish
 
 
-def without_repeats(documents, kind, within, keep=(), with_text=False):
+def without_repeats(documents, kind, within, keep=(), with_text=False, size=None):
     """RESULT rows: every document without the units of windows that start earlier as well.
 
     kind makes the Units of a block; within: earlier starts in the same document count too. keep:
     columns that come back as JSON in `extra`, with the kept bytes, if with_text is set.
     """
-    blocks, buckets = text_blocks(documents, keep), bucket_count(documents)
-    samples = answered(asked(blocks, _ask_samples(kind, buckets)), _compare_samples, "samples")
-    windows = answered(asked(blocks, _ask_windows(kind, buckets), samples), _compare_windows, "windows")
-    return with_answers(blocks, samples, windows).mapInPandas(
+    blocks, buckets = TextBlocks(documents, keep, size), bucket_count(documents)
+    blocks.pin(buckets)
+    copies = answered(asked(blocks, _ask_copies(buckets)), _compare_windows, "copies")
+    samples = answered(asked(blocks, _ask_samples(kind, buckets), copies), _compare_samples, "samples")
+    windows = answered(asked(blocks, _ask_windows(kind, buckets), copies, samples), _compare_windows, "windows")
+    return with_answers(blocks, copies, samples, windows).mapInPandas(
         _finish(kind, buckets, within, with_text), RESULT
     )
 

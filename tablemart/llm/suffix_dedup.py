@@ -20,6 +20,8 @@ from tablemart.llm.repeats import Units, without_repeats
 PERIOD = 31
 COVER = (0, 1, 3, 8, 12, 18)
 SEGMENT = 1 << 17
+#: Bytes of a block: a byte may be a window of its own, so blocks are smaller than those of words.
+BLOCK_BYTES = 1 << 20
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -89,7 +91,7 @@ class Bytes(Units):
         return np.frombuffer(self.block.texts[document], dtype=np.uint8)[~removed].tobytes()
 
 
-def remove_repeated_bytes(documents, window=100, with_text=False):
+def remove_repeated_bytes(documents, window=100, with_text=False, size=None):
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and with with_text the
     remaining bytes as `kept`.
 
@@ -99,5 +101,7 @@ def remove_repeated_bytes(documents, window=100, with_text=False):
     Null doc_ids come after all others; rows of a repeated doc_id are ordered by a hash of their text
     and are different documents. An empty table gives no rows; other columns are not looked at.
     """
-    rows = without_repeats(documents, lambda block: Bytes(block, window), within=True, with_text=with_text)
+    rows = without_repeats(
+        documents, lambda block: Bytes(block, window), within=True, with_text=with_text, size=size or BLOCK_BYTES
+    )
     return rows.withColumnRenamed("units", "n_bytes").drop("extra", *([] if with_text else ["kept"]))
