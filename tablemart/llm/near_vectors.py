@@ -161,13 +161,15 @@ def near_duplicate_vectors(frame, key="vec_id", vector="embedding", label="label
     that it is the row's own. Rows with null label, with a vector that is null, empty, zero or holds
     null, NaN or infinity, and rows without key link with nothing: n_links 0, own key. Equal vectors
     are folded into one before the search and all link; rows of one repeated key share their links.
-    An empty frame gives no rows. Other columns are not looked at.
+    Only vectors of equal length meet. An empty frame gives no rows. Other columns are not looked at.
 
     Pairs come from common filters, so a pair can be missed (the share is measured in the tests);
     none below the threshold is kept. Filters are the same for every input; no data is fitted.
     """
     named = whole_vectors(frame.select(key, vector, label), key, vector, F.col(label).cast("string").alias("area"))
-    named = named.filter(F.col("area").isNotNull() & F.exists("vector", lambda x: x != 0))
+    named = named.filter(F.col("area").isNotNull() & F.exists("vector", lambda x: x != 0)).withColumn(
+        "area", F.concat_ws(":", F.size("vector").cast("string"), "area")
+    )
     groups = via_table(
         named.groupBy("area", "vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "groups"
     )

@@ -119,9 +119,9 @@ def _searcher(k):
     def search(batches):
         kept, tree = None, None
         for batch in batches:
-            for number, queries, shard in zip(batch["shard"], batch["queries"], batch["blob"]):
-                if number != kept:
-                    kept, tree = number, dict(unpack(shard))
+            for number, width, queries, shard in zip(*[batch[c] for c in batch.columns]):
+                if (number, width) != kept:
+                    kept, tree = (number, width), dict(unpack(shard))
                 rows = search_block(dict(unpack(queries)), tree, k)
                 yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 
@@ -134,7 +134,7 @@ def _best(found, k):
 
 
 def _searched(blocks, shards, k):
-    pairs = blocks.join(shards, ["shard", "width"]).select("shard", "queries", "blob")
+    pairs = blocks.join(shards, ["shard", "width"]).select("shard", "width", "queries", "blob")
     return pairs.mapInPandas(_searcher(k), FOUND)
 
 
