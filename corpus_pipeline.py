@@ -9,6 +9,7 @@ from tablemart.llm.packing import pack_documents
 from tablemart.llm.quality import score_quality
 from tablemart.llm.substring_dedup import deduplicated_documents
 from tablemart.llm.tables import read
+from tablemart.session import apply_settings
 from tablemart.storage import via_table
 
 #: SQL can say neither a trained classifier nor token ids.
@@ -55,12 +56,17 @@ def packed(spark, docs, sf_dir):
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _settled(stage):
+    """The stage with the library's session settings."""
+    return lambda spark, docs, sf_dir: stage(apply_settings(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("quality classifier", quality),
-    ("n-gram Jaccard join", near_duplicates),
-    ("substring dedup", substrings),
-    ("mixing sources", mixed),
-    ("best-fit packing", packed),
+    ("quality classifier", _settled(quality)),
+    ("n-gram Jaccard join", _settled(near_duplicates)),
+    ("substring dedup", _settled(substrings)),
+    ("mixing sources", _settled(mixed)),
+    ("best-fit packing", _settled(packed)),
 ]
 
 
