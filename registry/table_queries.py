@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from registry.inputs import areas, change_event_text, fact, hours, load, plain, raw_areas, raw_trips, raw_weather, typed_trips
-from registry.trip_queries import FACT, WEATHER
+from registry.trip_queries import FACT, WEATHER_DEMAND
 from registry.cdc_queries import LATEST
 from tablemart import jobs
 from tablemart.contracts import TABLES
@@ -155,7 +155,8 @@ def raw_by_date(spark, folder):
     return stored.groupBy(F.col("trip_date").cast("string").alias("trip_date")).agg(F.count("*").alias("rows"))
 
 
-@query(f"""WITH {FACT}, {WEATHER} SELECT trip_date, trip_hour, count(*) AS trips FROM fact GROUP BY 1, 2""")
+@query(f"""{WEATHER_DEMAND} SELECT trip_date, trip_hour, weather_condition, trips, reported_total_usd, average_trip_seconds,
+  temperature_2m AS temperature_c, precipitation AS precipitation_mm, snowfall AS snowfall_cm FROM demand""")
 def csv_roundtrip(spark, folder):
     """The weather mart exported under its working names and read back."""
     mart = published(enrichment.weather_demand(fact(spark, folder), hours(spark, folder)))
@@ -167,7 +168,8 @@ def csv_roundtrip(spark, folder):
          "precipitation double", "snowfall double"]
     )
     renamed = schema.replace("temperature_2m", "temperature_c").replace("precipitation", "precipitation_mm").replace("snowfall", "snowfall_cm")
-    return spark.read.schema(renamed).option("header", True).csv(path).select("trip_date", "trip_hour", "trips")
+    stored = spark.read.schema(renamed).option("header", True).csv(path)
+    return stored.withColumn("average_trip_seconds", F.round("average_trip_seconds", 6))
 
 
 @query("""SELECT CAST(n_nationkey AS VARCHAR) AS area_id, n_name AS name, 'Polygon' AS kind FROM nation""")
@@ -179,13 +181,20 @@ def geojson_features(spark, folder):
     )
 
 
-@query("""SELECT 'FeatureCollection' AS kind, CAST(count(*) AS INTEGER) AS features FROM nation""")
+@query("""SELECT * FROM (
+  SELECT 1 AS part, CAST(c_custkey AS VARCHAR) AS area_id, '{"type":"Feature","properties":{"area_id":"' || c_custkey
+    || '","area_name":"' || c_name || '"},"geometry":{"coordinates":[[[0,0],[1,1],[0,0]]],"type":"Polygon"}}'
+    || CASE WHEN CAST(c_custkey AS VARCHAR) < (SELECT max(CAST(c_custkey AS VARCHAR)) FROM customer) THEN ',' ELSE '' END AS line
+  FROM customer
+  UNION ALL SELECT 0, NULL, '{"type":"FeatureCollection","features":['
+  UNION ALL SELECT 2, NULL, ']}')""")
 def geojson_collection(spark, folder):
-    document = exports.feature_collection(areas(spark, folder))
-    return document.select(
-        F.get_json_object("collection", "$.type").alias("kind"),
-        F.json_array_length(F.get_json_object("collection", "$.features")).alias("features"),
+    """A document of one area per customer, line by line."""
+    rows = load(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("area_id"), F.col("c_name").alias("area_name"),
+        F.lit('{"type":"Polygon","coordinates":[[[0,0],[1,1],[0,0]]]}').alias("geometry_geojson"),
     )
+    return exports.feature_collection(rows)
 
 
 @query("""SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1""")
@@ -201,15 +210,15 @@ def publish_pointer(spark, folder):
     return current.groupBy("o_orderstatus").agg(F.count("*").alias("orders"))
 
 
-@query("""SELECT 'success' AS status, count(*) AS extracted_rows FROM events UNION ALL SELECT 'failed', 0 UNION ALL SELECT 'running', 0""")
+@query("""SELECT 'success' AS status, count(*) AS extracted_rows, CAST(NULL AS INTEGER) AS error_length FROM events
+  UNION ALL SELECT 'failed', NULL, 5000 UNION ALL SELECT 'running', NULL, NULL""")
 def run_audit(spark, folder):
     root = shared_folder(spark, "audit")
     rows = load(spark, folder, "events").count()
     snapshots.record_run(spark, root, "run_1", "running", "2024-01-01")
     snapshots.record_run(spark, root, "run_1", "success", "2024-01-01", "2024-01-02", rows)
     snapshots.record_run(spark, root, "run_2", "failed", "2024-01-02", "2024-01-02", error="x" * 5000)
-    records = snapshots.run_records(spark, root).filter(F.coalesce(F.length("error"), F.lit(0)) <= 1000)
-    return records.select("status", F.coalesce("extracted_rows", F.lit(0)).alias("extracted_rows"))
+    return snapshots.run_records(spark, root).select("status", "extracted_rows", F.length("error").alias("error_length"))
 
 
 # --- quality ----------------------------------------------------------------------------
@@ -313,7 +322,10 @@ STATES = f"""WITH {LATEST} SELECT loan_id, status, CAST(principal_amount AS DOUB
 
 
 
-@query(STATES)
+CDC_JOB = STATES
+
+
+@query(CDC_JOB)
 def cdc_job(spark, folder):
     """The batch job over all change events; its stored loan state."""
     root = shared_folder(spark, "cdc")
@@ -334,6 +346,18 @@ def cdc_job_portfolio(spark, folder):
     return jobs.loan_portfolio(spark, root).select("loan_id", "transaction_count", "repaid_amount")
 
 
+@query(CDC_JOB)
+def cdc_stream(spark, folder):
+    """The events as files, taken by the stream in several micro-batches; its stored loan state."""
+    root = shared_folder(spark, "stream")
+    text = change_event_text(spark, folder).select(F.to_json(F.struct("value")).alias("line"))
+    text.repartition(4).select(F.get_json_object("line", "$.value").alias("value")).write.text(f"{root}/raw")
+    stream_cdc(spark, f"{root}/raw", f"{root}/lake", f"{root}/progress", files_per_batch=1, glob="part-*").awaitTermination()
+    return jobs.state(spark, f"{root}/lake", "loans").select(
+        "loan_id", "status", "principal_amount", cdc.SEQUENCE, "is_deleted"
+    )
+
+
 @query(f"""WITH {FACT} SELECT trip_date, count(*) AS trips, CAST(sum(trip_total) AS DOUBLE) AS revenue_usd FROM fact GROUP BY 1""")
 def trip_job(spark, folder):
     """The whole trip job: bronze to published marts; its stored daily mart."""

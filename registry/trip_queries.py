@@ -211,7 +211,7 @@ def fact_key_lookup(spark, folder):
   CAST(sum(tips) AS DOUBLE) AS tips_usd, round(CAST(sum(distance_km) AS DOUBLE) / count(*), 6) AS average_distance_km,
   round(CAST(sum(trip_total) AS DOUBLE) / count(*), 6) AS average_trip_usd FROM fact GROUP BY 1""")
 def daily_demand(spark, folder):
-    return marts.daily_demand(fact(spark, folder)).withColumns(
+    return marts.mart(fact(spark, folder), "gold.mart_daily").withColumns(
         {name: F.round(F.col(name).cast("double"), 6) for name in ("average_distance_km", "average_trip_usd")}
     )
 
@@ -219,19 +219,19 @@ def daily_demand(spark, folder):
 @query(f"""WITH {FACT} SELECT trip_date, trip_hour, count(*) AS trips, CAST(sum(trip_total) AS DOUBLE) AS revenue_usd
   FROM fact GROUP BY 1, 2""")
 def hourly_demand(spark, folder):
-    return marts.hourly_demand(fact(spark, folder))
+    return marts.mart(fact(spark, folder), "gold.mart_hourly")
 
 
 @query(f"""WITH {FACT} SELECT trip_date, payment_type, count(*) AS trips, CAST(sum(trip_total) AS DOUBLE) AS revenue_usd
   FROM fact GROUP BY 1, 2""")
 def payment_mix(spark, folder):
-    return marts.payment_demand(fact(spark, folder))
+    return marts.mart(fact(spark, folder), "gold.mart_payment")
 
 
 @query(f"""WITH {FACT} SELECT trip_date, sha256(taxi_id) AS taxi_key, taxi_id AS taxi_label, count(*) AS trips,
   CAST(sum(trip_total) AS DOUBLE) AS reported_total_usd FROM fact GROUP BY trip_date, taxi_id""")
 def taxi_revenue(spark, folder):
-    return marts.taxi_revenue(fact(spark, folder))
+    return marts.mart(fact(spark, folder), "gold.mart_taxi_earnings")
 
 
 @query(f"""WITH {FACT} SELECT trip_id, trip_date, taxi_id, CAST(distance_km AS DOUBLE) AS distance_km,
@@ -270,8 +270,8 @@ def enriched_trips(spark, folder):
 
 WEATHER_DEMAND = f"""WITH {ENRICHED}, demand AS (
   SELECT trip_date, trip_hour, weather_condition, count(*) AS trips, CAST(sum(trip_total) AS DOUBLE) AS reported_total_usd,
-  round(CAST(sum(trip_seconds) AS DOUBLE) / count(*), 6) AS average_trip_seconds, coalesce(max(temperature_2m), -1) AS temperature_2m,
-  coalesce(max(precipitation), -1) AS precipitation, coalesce(max(snowfall), -1) AS snowfall FROM judged GROUP BY 1, 2, 3)
+  round(CAST(sum(trip_seconds) AS DOUBLE) / count(*), 6) AS average_trip_seconds, max(temperature_2m) AS temperature_2m,
+  max(precipitation) AS precipitation, max(snowfall) AS snowfall FROM judged GROUP BY 1, 2, 3)
 """
 
 
@@ -279,7 +279,7 @@ WEATHER_DEMAND = f"""WITH {ENRICHED}, demand AS (
 def weather_demand(spark, folder):
     rows = enrichment.weather_demand(fact(spark, folder), hours(spark, folder))
     rounded = {"average_trip_seconds": F.round(F.col("average_trip_seconds").cast("double"), 6)}
-    return rows.withColumns({**{n: F.coalesce(n, F.lit(-1.0)) for n in enrichment.WEATHER}, **rounded})
+    return rows.withColumns(rounded)
 
 
 AREA_DEMAND = f"""WITH {ENRICHED}, sides AS (
@@ -312,10 +312,7 @@ def _distances(spark, folder):
   SELECT 'longest' AS extreme, trip_id, CAST(distance_km AS DOUBLE) AS trip_distance_km FROM fact, b WHERE distance_km = hi
   UNION ALL SELECT 'shortest', trip_id, CAST(distance_km AS DOUBLE) FROM fact, b WHERE distance_km = lo""")
 def extremes_with_ties(spark, folder):
-    distances = _distances(spark, folder)
-    longest = reports.longest_trips(distances).withColumn("extreme", F.lit("longest"))
-    shortest = reports.shortest_trips(distances).withColumn("extreme", F.lit("shortest"))
-    return longest.unionByName(shortest).select("extreme", "trip_id", "trip_distance_km")
+    return reports.extreme_trips(_distances(spark, folder)).select("extreme", "trip_id", "trip_distance_km")
 
 
 @query(f"""WITH {FACT} SELECT CAST(max(distance_km) AS DOUBLE) AS longest_km,
@@ -328,7 +325,7 @@ def distance_range(spark, folder):
   CAST(sum(trip_total) AS DOUBLE) AS reported_total_usd FROM fact WHERE trip_date BETWEEN '2024-01-05' AND '2024-01-20'
   GROUP BY taxi_id ORDER BY sum(trip_total) DESC, sha256(taxi_id) LIMIT 10""")
 def top_taxis(spark, folder):
-    revenue = marts.taxi_revenue(fact(spark, folder))
+    revenue = marts.mart(fact(spark, folder), "gold.mart_taxi_earnings")
     return reports.top_taxis(revenue, "2024-01-05", "2024-01-20", 10)
 
 
@@ -359,7 +356,7 @@ WINDOW = "trip_date BETWEEN '2024-01-10' AND '2024-01-12'"
 @query(f"""WITH {FACT} SELECT count(*) AS trips, CAST(coalesce(sum(trip_total), 0) AS DOUBLE) AS revenue_usd,
   round(CAST(sum(trip_total) AS DOUBLE) / count(*), 6) AS average_trip_usd FROM fact WHERE {WINDOW}""")
 def kpis(spark, folder):
-    daily = marts.daily_demand(fact(spark, folder))
+    daily = marts.mart(fact(spark, folder), "gold.mart_daily")
     totals = reports.kpis(reports.in_dates(daily, "2024-01-10", "2024-01-12"))
     return totals.withColumn("average_trip_usd", F.round("average_trip_usd", 6))
 
@@ -371,12 +368,12 @@ def metric_totals(spark, folder):
 
 @query(f"WITH {FACT} SELECT payment_type, count(*) AS trips FROM fact GROUP BY 1")
 def payment_totals(spark, folder):
-    return reports.trips_by(marts.payment_demand(fact(spark, folder)), "payment_type")
+    return reports.trips_by(marts.mart(fact(spark, folder), "gold.mart_payment"), "payment_type")
 
 
 @query(f"WITH {FACT} SELECT trip_hour, count(*) AS trips FROM fact GROUP BY 1")
 def hour_totals(spark, folder):
-    return reports.trips_by(marts.hourly_demand(fact(spark, folder)), "trip_hour")
+    return reports.trips_by(marts.mart(fact(spark, folder), "gold.mart_hourly"), "trip_hour")
 
 
 @query(AREA_DEMAND + """SELECT area_id, area_name, CAST(sum(trips) AS BIGINT) AS trips FROM demand
@@ -388,14 +385,14 @@ def pickup_totals(spark, folder):
 @query(f"""WITH {FACT} SELECT trip_date, count(*) AS trips, CAST(sum(trip_total) AS DOUBLE) AS revenue_usd FROM fact
   WHERE {WINDOW} GROUP BY 1 ORDER BY 1""")
 def date_range(spark, folder):
-    daily = marts.daily_demand(fact(spark, folder)).select("trip_date", "trips", "revenue_usd")
+    daily = marts.mart(fact(spark, folder), "gold.mart_daily").select("trip_date", "trips", "revenue_usd")
     return reports.by_date(reports.in_dates(daily, "2024-01-10", "2024-01-12"))
 
 
 # --- legacy -----------------------------------------------------------------------------
 
 LEGACY = BROKEN + """,
-staged AS (SELECT trip_id, started, n_seconds AS trip_seconds, TRY_CAST(trip_miles AS DECIMAL(28,10)) AS trip_miles,
+staged AS (SELECT trip_id, started, n_seconds AS trip_seconds, TRY_CAST(trip_miles AS DECIMAL(38,10)) AS trip_miles,
   n_fare AS fare, n_tips AS tips, n_total AS trip_total, coalesce(nullif(payment_type, ''), 'Unknown') AS payment_type,
   coalesce(nullif(company, ''), 'Unknown') AS company, pickup_community_area AS pickup_area FROM typed),
 usable AS (SELECT *, coalesce(started IS NOT NULL AND trip_total >= 0 AND fare >= 0 AND trip_miles >= 0 AND trip_seconds >= 0, FALSE) AS ok FROM staged),
@@ -407,12 +404,11 @@ def _staged(spark, folder):
     return legacy.staging(raw_trips(spark, folder, faults=True))
 
 
-@query(f"""WITH {LEGACY} SELECT trip_id, CAST(coalesce(trip_miles, -1) AS DOUBLE) AS trip_miles, CAST(coalesce(fare, -1) AS DOUBLE) AS fare,
-  CAST(coalesce(tips, -9) AS DOUBLE) AS tips, CAST(trip_total AS DOUBLE) AS trip_total, payment_type, company, pickup_area FROM staged""")
+@query(f"""WITH {LEGACY} SELECT trip_id, CAST(trip_miles AS DOUBLE) AS trip_miles, CAST(fare AS DOUBLE) AS fare,
+  CAST(tips AS DOUBLE) AS tips, CAST(trip_total AS DOUBLE) AS trip_total, payment_type, company, pickup_area FROM staged""")
 def legacy_staging(spark, folder):
     return _staged(spark, folder).select(
-        "trip_id", F.coalesce("trip_miles", F.lit(-1)).alias("trip_miles"), F.coalesce("fare", F.lit(-1)).alias("fare"),
-        F.coalesce("tips", F.lit(-9)).alias("tips"), "trip_total", "payment_type", "company", "pickup_area",
+        "trip_id", "trip_miles", "fare", "tips", "trip_total", "payment_type", "company", "pickup_area",
     )
 
 
@@ -427,19 +423,21 @@ def legacy_quarantine(spark, folder):
 
 
 @query(f"""WITH {LEGACY} SELECT trip_date, count(*) AS trips, CAST(sum(trip_total) AS DOUBLE) AS revenue_usd, CAST(sum(tips) AS DOUBLE) AS tips_usd,
-  round(CAST(sum(trip_total) AS DOUBLE) / count(*), 6) AS average_trip_usd, round(CAST(sum(trip_miles) AS DOUBLE) / count(*), 6) AS average_miles,
+  round(CAST(sum(trip_total) AS DOUBLE) / count(*), 6) AS average_trip_usd, printf('%.9e', CAST(sum(trip_miles) AS DOUBLE) / count(*)) AS average_miles,
   round(CAST(sum(trip_seconds) AS DOUBLE) / count(*) / 60, 6) AS average_minutes FROM legacy GROUP BY 1""")
 def legacy_daily(spark, folder):
-    names = ("average_trip_usd", "average_miles", "average_minutes")
-    daily = legacy.daily(legacy.fact(_staged(spark, folder)))
+    names = ("average_trip_usd", "average_minutes")
+    daily = legacy.mart(legacy.fact(_staged(spark, folder)), "daily")
+    # Means reach 1e18, so they are compared to ten digits.
+    daily = daily.withColumn("average_miles", F.format_string("%.9e", F.col("average_miles").cast("double")))
     return daily.withColumns({name: F.round(F.col(name).cast("double"), 6) for name in names})
 
 
 @query(f"WITH {LEGACY} SELECT trip_date, trip_hour, count(*) AS trips, CAST(sum(trip_total) AS DOUBLE) AS revenue_usd FROM legacy GROUP BY 1, 2")
 def legacy_hourly(spark, folder):
-    return legacy.hourly(legacy.fact(_staged(spark, folder)))
+    return legacy.mart(legacy.fact(_staged(spark, folder)), "hourly")
 
 
 @query(f"WITH {LEGACY} SELECT trip_date, payment_type, count(*) AS trips, CAST(sum(trip_total) AS DOUBLE) AS revenue_usd FROM legacy GROUP BY 1, 2")
 def legacy_payment(spark, folder):
-    return legacy.payment(legacy.fact(_staged(spark, folder)))
+    return legacy.mart(legacy.fact(_staged(spark, folder)), "payment")

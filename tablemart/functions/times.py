@@ -7,7 +7,8 @@ LOCAL_ZONE = "America/Chicago"
 # A date, optionally with a time. Bare clock times ('10:00') and words ('now') depend on the
 # day of the run and are refused.
 _DATED = r"^\s*[0-9]{4}(-[0-9]{1,2}){0,2}(\s*$|[ T])"
-_ZONED = r"[0-9][ T][0-9].*(Z|[+-][0-9]{1,2}(:?[0-9]{2})?)\s*$"
+# A time that is followed by anything names its zone: Z, an offset or a region.
+ZONED = r"[0-9][ T][0-9]{1,2}(:[0-9]{1,2}){0,2}([.,][0-9]*)?\s*[A-Za-z+-]"
 _ZONED_ISO = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?"
     r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)\z"
@@ -30,7 +31,7 @@ def local_wall_clock(column, zone=LOCAL_ZONE):
     instant = utc_wall_clock(column.try_cast("timestamp"))
     return F.when(
         column.rlike(_DATED),
-        F.when(column.rlike(_ZONED), F.convert_timezone(F.lit("UTC"), local, instant)).otherwise(
+        F.when(column.rlike(ZONED), F.convert_timezone(F.lit("UTC"), local, instant)).otherwise(
             F.convert_timezone(local, local, column.try_cast("timestamp_ntz"))
         ),
     )
@@ -76,9 +77,9 @@ def local_hour_text(stamp):
     return F.date_format(stamp, "yyyy-MM-dd'T'HH:00:00")
 
 
-def hour_key(day, hour):
-    """The same join key from a date and an hour number."""
-    return F.concat(day.cast("string"), F.lit("T"), F.lpad(hour.cast("string"), 2, "0"), F.lit(":00:00"))
+def hour_of_day_text(day, hour):
+    """The same join key of the hour with that number of a day."""
+    return local_hour_text(F.timestamp_add("HOUR", hour, day.cast("timestamp_ntz")))
 
 
 def utc_to_local(stamp, zone=LOCAL_ZONE):

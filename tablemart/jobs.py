@@ -21,9 +21,7 @@ from tablemart.contracts import (
     state_schema,
 )
 from tablemart.operators.latest import consolidate
-from tablemart.operators.layout import spread
 from tablemart.operators.merge import absent_rows
-from tablemart.operators.ranking import bounded
 from tablemart.plans import cdc, quality, trips
 from tablemart.plans.enrichment import area_dimension, area_demand, enriched_trips, weather_demand, weather_dimension
 from tablemart.plans.event_decode import decode_events
@@ -179,7 +177,7 @@ def cdc_lake(spark, raw, root, source=DEFAULT_SOURCE, scope="history", run_id=No
     records of this batch only, which is enough when every earlier batch ran to its end.
     """
     run_id = run_id or _run_id()
-    decoded = via_table(decode_events(spread(raw), source), "decoded")
+    decoded = via_table(decode_events(raw, source), "decoded")
     counts = cdc.input_counts(decoded).first()
     report = {"input": counts["input"], "quarantined": counts["invalid"]}
     if counts["invalid"]:
@@ -228,23 +226,22 @@ REFRESH_LEDGER = (
 
 
 def refresh_ledger(spark, root):
-    return _stored(spark, f"{root}/event_ledger", REFRESH_LEDGER)
+    return _stored(spark, f"{root}/refresh_ledger", REFRESH_LEDGER)
 
 
-def cdc_refresh(spark, path, root, source=DEFAULT_SOURCE, apply=False, limit=None, run_id=None):
+def cdc_refresh(spark, path, root, source=DEFAULT_SOURCE, apply=False, run_id=None):
     """Fail-fast refresh from line-per-event files.
 
     Any invalid event, conflict or orphan stops the run before the first write. Without
-    `apply` it only validates. `limit` bounds raw rows, ledger rows and their union, each.
+    `apply` it only validates. The ledger stands apart from that of cdc_lake, whose rows have other
+    columns.
     """
     run_id = run_id or _run_id()
     raw, known = read_lines(spark, path), refresh_ledger(spark, root)
-    if limit:
-        raw, known = bounded(raw, limit), bounded(known, limit)
     tagged = known.select("event_json", F.lit(True).alias("in_ledger")).unionByName(
         raw.select("event_json", F.lit(False).alias("in_ledger"))
     )
-    decoded = via_table(decode_events(spread(tagged), source, "event_json"), "refresh")
+    decoded = via_table(decode_events(tagged, source, "event_json"), "refresh")
     bad = decoded.filter(F.col("error").isNotNull()).select("in_ledger", "error").first()
     if bad:
         raise RefreshError(f"{'ledger' if bad['in_ledger'] else 'raw'} event refused: {bad['error']}")
@@ -257,8 +254,6 @@ def cdc_refresh(spark, path, root, source=DEFAULT_SOURCE, apply=False, limit=Non
     if repeated:
         raise RefreshError(f"event stored twice: {repeated['event_id']}")
     history = via_table(cdc.one_per_event(decoded), "history")
-    if limit:
-        bounded(history, limit)
     events = cdc.valid_events(history)
     expected = cdc.expected_counts(events).first().asDict()
     if not expected["ledger_events"]:
@@ -270,7 +265,7 @@ def cdc_refresh(spark, path, root, source=DEFAULT_SOURCE, apply=False, limit=Non
     if not apply:
         return report
     if report["new_events"]:
-        write_partitioned(additions, f"{root}/event_ledger", ["source_table"], mode="append")
+        write_partitioned(additions, f"{root}/refresh_ledger", ["source_table"], mode="append")
     for table in CDC_TABLES:
         _fold_state(spark, root, table, events, run_id)
     loans, transactions = state(spark, root, "loans"), state(spark, root, "loan_transactions")

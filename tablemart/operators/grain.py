@@ -1,7 +1,5 @@
 """Key, null and reference checks that return the offending rows or one-row counts."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 
@@ -16,13 +14,6 @@ def surplus_keys(frame, key):
     return frame.agg((F.count("*") - F.countDistinct(key)).alias("surplus"))
 
 
-def null_flags(frame, columns):
-    """One row, one boolean per column: does it hold a NULL? A single pass over the frame."""
-    return frame.agg(
-        *[F.coalesce(F.bool_or(F.col(name).isNull()), F.lit(False)).alias(name) for name in columns]
-    )
-
-
 def null_counts(frame, columns):
     """One row, one count of NULLs per column."""
     return frame.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])
@@ -33,17 +24,17 @@ def unmatched(frame, reference, keys):
     return frame.join(reference.select(*keys), list(keys), "left_anti")
 
 
-def rows_with_null(frame, columns):
-    return frame.filter(reduce(lambda a, b: a | b, [F.col(name).isNull() for name in columns]))
-
-
 def conflicting_groups(frame, keys, content):
-    """Keys whose rows disagree on `content`.
+    """Keys whose rows disagree on `content`; rows without content disagree with nothing.
 
-    Two different values exist exactly when the smallest and the largest differ, which needs
-    one shuffle of partial minima and maxima where a distinct count needs two of all pairs.
+    Two different contents exist exactly when the smallest and the largest of their hashes differ.
+    Numbers are compared where texts would be sorted: one shuffle of hash-aggregated partial minima
+    and maxima, 32 bytes a key. Two independent 64-bit hashes make equal hashes of different
+    contents negligible.
     """
-    spread = frame.groupBy(*keys).agg(
-        F.min(content).alias("_low"), F.max(content).alias("_high")
-    )
-    return spread.filter(F.col("_low") != F.col("_high")).drop("_low", "_high")
+    value, sums = F.col(content), []
+    for seed in (0, 1):
+        mark = F.when(value.isNotNull(), F.xxhash64(value, F.lit(seed)))
+        sums += [F.min(mark).alias(f"_low{seed}"), F.max(mark).alias(f"_high{seed}")]
+    marks = frame.groupBy(*keys).agg(*sums)
+    return marks.filter("_low0 <> _high0 OR _low1 <> _high1").select(*keys)

@@ -1,10 +1,7 @@
 """Insert, upsert and diff of keyed tables, as plans over immutable Parquet tables.
 
 Every function returns the new content (or the rows to append); the caller writes it to a new
-path. The stored table is usually far larger than the batch, so each plan first finds the
-stored rows the batch touches with a semi join. Spark broadcasts the batch keys there when
-their measured size allows it, and then the stored table is scanned without a shuffle; a batch
-too large for that gives sort-merge joins on the keys.
+path. Upserts rewrite the whole content and so read each side once, in one full outer join by key.
 """
 
 from pyspark.sql import functions as F
@@ -22,24 +19,16 @@ def insert_absent(stored, incoming, keys):
     return stored.unionByName(absent_rows(stored, incoming, keys))
 
 
-def _split(stored, incoming, keys):
-    batch_keys = incoming.select(*keys)
-    touched = stored.join(batch_keys, list(keys), "left_semi")
-    untouched = stored.join(batch_keys, list(keys), "left_anti")
-    return touched, untouched
-
-
-def _choose(touched, incoming, keys, take_incoming):
-    """Per key of the batch: the incoming row where the condition holds, else the stored row."""
-    values = [name for name in touched.columns if name not in keys]
-    old = touched.select(*keys, F.struct(*values).alias("_old"))
+def _choose(stored, incoming, keys, take_incoming):
+    """Per key of either side: the incoming row where the stored one is missing or the condition holds,
+    else the stored row. One full outer join, so both sides are read once."""
+    values = [name for name in stored.columns if name not in keys]
+    old = stored.select(*keys, F.struct(*values).alias("_old"))
     new = incoming.select(*keys, F.struct(*values).alias("_new"))
-    pick = F.when(
-        F.col("_old").isNull() | take_incoming(F.col("_new"), F.col("_old")), F.col("_new")
-    ).otherwise(F.col("_old"))
-    # Left join from the batch: every touched key is a batch key by construction.
-    return new.join(old, list(keys), "left").select(*keys, pick.alias("_row")).select(
-        *keys, "_row.*"
+    better = F.col("_old").isNull() | (F.col("_new").isNotNull() & take_incoming(F.col("_new"), F.col("_old")))
+    pick = F.when(better, F.col("_new")).otherwise(F.col("_old"))
+    return old.join(new, list(keys), "full").select(*keys, pick.alias("_row")).select(*keys, "_row.*").select(
+        *stored.columns
     )
 
 
@@ -49,9 +38,7 @@ def merge_newer(stored, incoming, keys, sequence):
     `incoming` has one row per key. Stale and replayed rows have no effect; a key without a
     stored row is inserted, deletes included, so a tombstone survives as a row.
     """
-    touched, untouched = _split(stored, incoming, keys)
-    chosen = _choose(touched, incoming, keys, lambda new, old: new[sequence] > old[sequence])
-    return untouched.unionByName(chosen)
+    return _choose(stored, incoming, keys, lambda new, old: new[sequence] > old[sequence])
 
 
 def upsert_changed(stored, incoming, keys, content):
@@ -59,8 +46,6 @@ def upsert_changed(stored, incoming, keys, content):
 
     A row that arrives unchanged keeps its stored ingest time.
     """
-    touched, untouched = _split(stored, incoming, keys)
-
     def changed(new, old):
         differs = [~new[name].eqNullSafe(old[name]) for name in content]
         found = differs[0]
@@ -68,7 +53,7 @@ def upsert_changed(stored, incoming, keys, content):
             found = found | other
         return found
 
-    return untouched.unionByName(_choose(touched, incoming, keys, changed))
+    return _choose(stored, incoming, keys, changed)
 
 
 def snapshot_changes(old, new, keys):

@@ -25,6 +25,22 @@ def all_at_extreme(frame, value, extreme, where=None):
     return pool.filter(F.col(value) == bound.scalar())
 
 
+def extremes(frame, value, lowest_where=None):
+    """Rows with the largest value, and rows with the smallest value among those of `lowest_where`,
+    with the column `extreme` ('longest' or 'shortest'), ties included.
+
+    Both bounds come from one aggregate and both sets from one filter: two scans, no sort.
+    """
+    low = F.min(value if lowest_where is None else F.when(lowest_where, F.col(value)))
+    bounds = frame.agg(F.struct(F.max(value).alias("high"), low.alias("low")).alias("bounds")).scalar()
+    lowest = F.lit(True) if lowest_where is None else lowest_where
+    found = frame.withColumn("_bounds", bounds).withColumn("extreme", F.explode(F.array_compact(F.array(
+        F.when(F.col(value) == F.col("_bounds.high"), "longest"),
+        F.when(lowest & (F.col(value) == F.col("_bounds.low")), "shortest"),
+    ))))
+    return found.drop("_bounds")
+
+
 def bounded(frame, limit):
     """The frame, unless it has more than `limit` rows; reads at most limit + 1 of them."""
     if frame.limit(limit + 1).count() > limit:
@@ -32,10 +48,6 @@ def bounded(frame, limit):
     return frame
 
 
-def is_empty(frame):
-    return frame.limit(1).isEmpty()
-
-
 def number_rows(frame, order, name="sequence", start=0):
     """Consecutive numbers start, start+1, .. in the given order, without a one-task window.
 

@@ -1,14 +1,15 @@
 """Outbox delivery and change capture as table operations."""
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from tablemart.contracts import CAPTURE_METHOD, DEFAULT_SOURCE, SCHEMA_VERSION
 from tablemart.functions.times import outbox_text
 from tablemart.functions.values import canonical_uuid
 from tablemart.operators.merge import snapshot_changes
+from tablemart.operators.ranking import number_rows
 from tablemart.sinks.tables import write_partitioned
 
-BATCH_SIZE, MAX_BATCH_SIZE, MAX_BATCHES = 100, 500, 100
+BATCH_SIZE = 100
 
 
 class DeliveryConflict(ValueError):
@@ -72,17 +73,19 @@ def acknowledge(outbox, outcomes, exported_at):
     )
 
 
-def drain_batches(outbox, delivered, source=DEFAULT_SOURCE, size=BATCH_SIZE, max_batches=1):
-    """The next `max_batches` batches of pending events, numbered, with their outcomes.
+def drain_batches(outbox, delivered, source=DEFAULT_SOURCE, size=BATCH_SIZE, batches=None):
+    """All pending events, or those of the next `batches` batches, with batch number and outcome.
 
-    Numbering runs over at most size * max_batches rows, which both limits bound.
+    Batches hold `size` events each in order of sequence. Numbers come from a range sort over all
+    tasks, so there is no bound on how many events one drain takes.
     """
-    if not 1 <= size <= MAX_BATCH_SIZE or not 1 <= max_batches <= MAX_BATCHES:
-        raise ValueError("batch size or batch count out of range")
-    rows = as_events(oldest_pending(outbox, size * max_batches), source)
-    place = F.row_number().over(Window.orderBy("event_sequence"))
-    numbered = rows.withColumn("batch", F.ceil(place / F.lit(size)).cast("int"))
-    return delivery_outcomes(numbered, delivered)
+    if size < 1 or batches is not None and batches < 1:
+        raise ValueError("batch size and batch count start at 1")
+    rows = pending(outbox) if batches is None else oldest_pending(outbox, size * batches)
+    numbered = number_rows(rows.select("event_id", "event_sequence"), ("event_sequence", "event_id"), "place", 1)
+    batch = F.ceil(F.col("place") / F.lit(size)).cast("int")
+    events = as_events(rows, source).join(numbered.select("event_id", batch.alias("batch")), "event_id")
+    return delivery_outcomes(events, delivered)
 
 
 def drain_totals(outcomes):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tablemart.operators.ranking import all_at_extreme, top_rows
+from tablemart.operators.ranking import all_at_extreme, extremes, top_rows
 
 
 def in_dates(frame, first, last, column="trip_date"):
@@ -65,6 +65,11 @@ def top_taxis(revenue, first, last, count):
     return top_rows(per_taxi, [F.desc("reported_total_usd"), F.asc("taxi_key")], count)
 
 
+def extreme_trips(distances):
+    """The longest trips and the shortest positive ones, all ties, with which of both they are."""
+    return extremes(distances, "trip_distance_km", F.col("is_positive_distance"))
+
+
 def longest_trips(distances):
     return all_at_extreme(distances, "trip_distance_km", F.max)
 

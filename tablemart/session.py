@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Rows can be whole documents: a batch for a Python worker stays small in bytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # The JVM never compiles a method above 8000 bytes of bytecode; the wide rule projections
     # are faster as many small generated methods than as one large interpreted one.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -3,15 +3,7 @@
 from pyspark.sql import functions as F
 
 from tablemart.contracts import PUBLISHED_FIELDS
-from tablemart.operators.ranking import bounded
-from tablemart.sources.areas import LAST_AREA
 
-# Exported file names by published table.
-EXPORT_NAMES = {
-    "gold.mart_taxi_trip_enriched": "mart_enriched_trips",
-    "gold.mart_weather_demand_hourly": "mart_weather_demand",
-    "gold.mart_community_area_demand_daily": "mart_area_demand",
-}
 _WORKING_FIELDS = {published: working for working, published in PUBLISHED_FIELDS.items()}
 _AVERAGE = "average_trip_duration_seconds"
 
@@ -30,11 +22,6 @@ def write_csv(frame, path, mode="errorifexists"):
     frame.write.mode(mode).option("header", True).csv(path)
 
 
-def export_tables(tables, folder):
-    for table, name in EXPORT_NAMES.items():
-        write_csv(export_columns(table, tables[table]), f"{folder}/{name}")
-
-
 def features(areas):
     """One GeoJSON Feature text per area; this form has no size limit."""
     properties = F.struct("area_id", "area_name")
@@ -50,18 +37,23 @@ def features(areas):
     )
 
 
-def feature_collection(areas, limit=LAST_AREA):
-    """One FeatureCollection text, areas in id order.
+def feature_collection(areas):
+    """(part, area_id, line): the lines of one FeatureCollection document, in the order (part, area_id).
 
-    A collection is one document in one row, so it is only built from a table that the area
-    contract bounds; a larger one raises and is exported as `features`.
+    One head line, a line per area with a comma behind all but the last, one tail line; no row holds
+    more than one area and no task more than its range of them.
     """
-    rows = features(bounded(areas, limit))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("area_id", "feature"))), lambda f: f["feature"])
-    return rows.agg(
-        F.concat(
-            F.lit('{"type":"FeatureCollection","features":['),
-            F.array_join(ordered, ","),
-            F.lit("]}"),
-        ).alias("collection")
+    rows = features(areas)
+    last = rows.agg(F.max("area_id").alias("last"))
+    comma = F.when(F.col("area_id") < last.scalar(), ",").otherwise("")
+    lines = rows.select(F.lit(1).alias("part"), "area_id", F.concat("feature", comma).alias("line"))
+    ends = rows.sparkSession.createDataFrame(
+        [(0, None, '{"type":"FeatureCollection","features":['), (2, None, "]}")],
+        f"part int, area_id {rows.schema['area_id'].dataType.simpleString()}, line string",
     )
+    return lines.unionByName(ends)
+
+
+def write_feature_collection(areas, path, mode="errorifexists"):
+    """The document as text parts whose concatenation in file order is one JSON value."""
+    feature_collection(areas).orderBy("part", "area_id").select("line").write.mode(mode).text(path)

@@ -13,7 +13,6 @@ RUNS = (
     "run_id string, status string, started_at_utc string, completed_at_utc string,"
     " extracted_rows bigint, error string"
 )
-ERROR_CHARACTERS = 1_000
 
 
 def _rows(spark, path, ddl):
@@ -32,7 +31,9 @@ def pointer_rows(spark, root):
 
 def current_run(spark, root):
     """Run id of the published snapshot, None before the first one."""
-    newest = pointer_rows(spark, root).orderBy(F.desc("version")).first()
+    newest = pointer_rows(spark, root).orderBy(
+        F.desc("version"), F.desc("published_at_utc"), F.desc("run_id")
+    ).first()
     return newest["run_id"] if newest else None
 
 
@@ -78,12 +79,14 @@ def publish(spark, root, run_id, published_at, tables):
     version = (pointer_rows(spark, root).agg(F.max("version")).first()[0] or 0) + 1
     row = spark.createDataFrame([(version, run_id, published_at, ",".join(sorted(tables)))], POINTER)
     row.coalesce(1).write.mode("append").json(f"{root}/_pointer")
+    claims = pointer_rows(spark, root).filter(F.col("version") == version).count()
+    if claims > 1:
+        raise RuntimeError(f"version {version} was published by {claims} writers at once; publish again")
 
 
 def record_run(spark, root, run_id, status, started_at, completed_at=None, rows=None, error=None):
-    """One audit row per status change; the error text is cut to a fixed length."""
+    """One audit row per status change, with the whole error text."""
     row = spark.createDataFrame([(run_id, status, started_at, completed_at, rows, error)], RUNS)
-    row = row.withColumn("error", F.substring("error", 1, ERROR_CHARACTERS))
     row.coalesce(1).write.mode("append").json(f"{root}/_runs")
 
 

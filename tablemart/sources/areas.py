@@ -26,7 +26,7 @@ def area_faults(areas, complete=False, first=FIRST_AREA, last=LAST_AREA):
 
     `complete` also demands every id from first to last. All columns are 0 for a good snapshot.
     """
-    number = F.try_to_number("area_num_1", F.lit("999999999")).cast("int")
+    number = F.when(F.col("area_num_1").rlike(r"^[0-9]+$"), F.col("area_num_1").try_cast("bigint"))
     geometry_kind = F.get_json_object("the_geom", "$.type")
     coordinates = F.get_json_object("the_geom", "$.coordinates")
     checked = areas.select(

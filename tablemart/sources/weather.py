@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tablemart.functions.times import iso_utc_text, local_hour_text, utc_to_local
+from tablemart.functions.times import ZONED, iso_utc_text, local_hour_text, utc_from_iso, utc_to_local
 
 # Measures with their units, and the constants of the weather source.
 MEASURES = {"temperature_2m": "°C", "precipitation": "mm", "snowfall": "cm"}
@@ -34,6 +34,11 @@ def _stop_if(rules, value):
     ).otherwise(value)
 
 
+def _utc(time):
+    """UTC wall-clock value of an hour: text without zone is UTC, text with an offset is moved."""
+    return F.coalesce(utc_from_iso(time), F.when(~time.rlike(ZONED), time.try_cast("timestamp_ntz")))
+
+
 def hourly_rows(responses, start, end, text="response"):
     """Rows (hour_utc, local_hour, measures) of the responses inside the local window.
 
@@ -46,11 +51,13 @@ def hourly_rows(responses, start, end, text="response"):
         F.col("r.hourly.time").alias("time"),
         *[F.col(f"r.hourly.{name}").alias(name) for name in MEASURES],
     )
-    # Hours repeat within one response or not at all: chunks only share their UTC margin.
-    repeated = F.size(F.array_distinct("r.hourly.time")) != F.size("r.hourly.time")
+    # Hours repeat within one response or not at all: chunks only share their UTC margin. They are
+    # compared as instants, so one hour under two offsets is a repetition.
+    instants = F.transform("r.hourly.time", _utc)
+    repeated = F.size(F.array_distinct(instants)) != F.size("r.hourly.time")
     checked = _stop_if([*response_faults(), ("repeated hour", repeated)], zipped)
     rows = decoded.select(checked.alias("_rows")).select(F.inline("_rows"))
-    stamp = F.col("time").try_cast("timestamp_ntz")
+    stamp = _utc(F.col("time"))
     faults = [("time", stamp.isNull() | (stamp != F.date_trunc("hour", stamp)))]
     for name in MEASURES:
         value = F.col(name)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tablemart.functions.times import LOCAL_ZONE
 
-FIRST_YEAR = 2024
 WEATHER_DELAY_DAYS = 5
 WEATHER_OVERLAP_DAYS = 14
 CHUNK_DAYS = 30
@@ -23,10 +22,10 @@ def daily_window(today=None):
     return today - timedelta(days=1), today
 
 
-def year_window(year, today=None):
-    """A completed calendar year."""
-    if not FIRST_YEAR <= year < (today or date.today()).year:
-        raise ValueError(f"choose a completed year from {FIRST_YEAR} on")
+def year_window(year, today=None, first=None):
+    """A completed calendar year, not before `first` if that is given."""
+    if year >= (today or date.today()).year or first is not None and year < first:
+        raise ValueError("choose a completed year" + (f" from {first} on" if first is not None else ""))
     return date(year, 1, 1), date(year + 1, 1, 1)
 
 

@@ -1,5 +1,6 @@
 """Shared folders for checkpoints and for tables written between two steps."""
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -9,11 +10,14 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def shared_root(spark):
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session without that setting (a test on one machine) gets a folder of its own.
+    Only a session on one machine may leave it unset and gets a folder of its own. On a cluster a
+    folder of this machine would not do, as executors would write to their own disks: it is refused.
     """
     configured = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="tablemart-")
     spark.sparkContext.setCheckpointDir(own)
     return own

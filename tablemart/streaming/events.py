@@ -5,20 +5,26 @@ from tablemart.jobs import cdc_lake
 from tablemart.sources.files import DOCUMENT_GLOB
 
 
-def document_stream(spark, path, files_per_batch=None):
-    """One row per new *.json file."""
+def document_stream(spark, path, files_per_batch=None, glob=DOCUMENT_GLOB):
+    """One row per new document: per *.json file, or per line of the files of another glob.
+
+    One file per event makes the listing grow with the events; sources with many of them should
+    collect them as lines.
+    """
     reader = (
         spark.readStream.schema("value string")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", DOCUMENT_GLOB)
-        .option("wholetext", True)
+        .option("pathGlobFilter", glob)
+        .option("wholetext", glob == DOCUMENT_GLOB)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.format("text").load(path).selectExpr("value", "_metadata.file_path AS source_file")
 
 
-def stream_cdc(spark, path, root, checkpoint, source=DEFAULT_SOURCE, files_per_batch=None):
+def stream_cdc(
+    spark, path, root, checkpoint, source=DEFAULT_SOURCE, files_per_batch=None, glob=DOCUMENT_GLOB
+):
     """Run the batch job on every micro-batch of new files, then stop when none are left.
 
     The checkpoint remembers which files were taken. A batch that failed half way is given
@@ -31,7 +37,7 @@ def stream_cdc(spark, path, root, checkpoint, source=DEFAULT_SOURCE, files_per_b
         cdc_lake(batch.sparkSession, batch, root, source, scope="touched")
 
     query = (
-        document_stream(spark, path, files_per_batch)
+        document_stream(spark, path, files_per_batch, glob)
         .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(take)

@@ -14,7 +14,8 @@ def spark(tmp_path_factory):
         "tests", master="local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
            "spark.ui.showConsoleProgress": "false",
-           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
+           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+           "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

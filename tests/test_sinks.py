@@ -49,34 +49,47 @@ def test_delivery_is_idempotent_and_detects_other_bytes(spark, tmp_path):
     ]
     source, path = box(spark, rows), str(tmp_path / "out")
     delivered = spark.createDataFrame([], "event_id string, event_json string")
-    first = outbox.drain_batches(source, delivered, size=2)
+    first = outbox.drain_batches(source, delivered, size=2, batches=1)
     assert [r["event_sequence"] for r in first.orderBy("event_sequence").collect()] == [1, 2]
     outbox.deliver(first, path)
     assert os.path.isdir(f"{path}/source=lending-postgres-dev/schema=lending/table=loans")
     stored = files.read_parquet(spark, path).select("event_id", "event_json")
     assert json.loads(stored.filter("event_id = 'id-1'").first()["event_json"])["event_sequence"] == "1"
     # The acknowledgement was lost: the same batch is reused, not sent again.
-    again = outbox.drain_batches(source, stored, size=2)
+    again = outbox.drain_batches(source, stored, size=2, batches=1)
     totals = outbox.drain_totals(again).first()
     assert (totals["selected"], totals["uploaded"], totals["reused"], totals["acknowledged"]) == (2, 0, 2, 2)
     left = outbox.pending(outbox.acknowledge(source, again, "2026-11-02"))
     assert left.count() == 3
     wrong = stored.withColumn("event_json", F.lit("{}"))
     with pytest.raises(outbox.DeliveryConflict):
-        outbox.deliver(outbox.drain_batches(source, wrong, size=2), path)
+        outbox.deliver(outbox.drain_batches(source, wrong, size=2, batches=1), path)
     assert files.read_parquet(spark, path).count() == 2
     with pytest.raises(ValueError):
-        outbox.drain_batches(source, stored, size=501)
+        outbox.drain_batches(source, stored, size=0)
+    whole = outbox.drain_batches(source, stored, size=2)
+    assert {r["event_sequence"]: r["batch"] for r in whole.collect()} == {1: 1, 2: 1, 3: 2, 4: 2, 5: 3}
 
 
-def test_feature_collection_is_bounded(spark):
+def test_feature_collection_is_one_document(spark, tmp_path):
     polygon = '{"type":"Polygon","coordinates":[[[0,0],[1,1.50],[0,0]]]}'
     areas = spark.createDataFrame([(str(n), f"Area {n}", polygon) for n in (2, 1)], "area_id string, area_name string, geometry_geojson string")
-    document = json.loads(exports.feature_collection(areas).first()["collection"])
+    exports.write_feature_collection(areas, str(tmp_path / "areas"))
+    parts = sorted(p for p in (tmp_path / "areas").iterdir() if p.name.startswith("part-"))
+    document = json.loads("".join(p.read_text() for p in parts))
     assert [f["properties"]["area_id"] for f in document["features"]] == ["1", "2"]
     assert document["features"][0]["geometry"] == json.loads(polygon)
-    with pytest.raises(ValueError):
-        exports.feature_collection(areas, limit=1)
+
+
+def test_two_publishers_of_one_version(spark, tmp_path):
+    from tablemart.sinks import snapshots
+
+    root = str(tmp_path / "published")
+    snapshots.publish(spark, root, "a", "2024-01-01T00:00:00+00:00", ["t"])
+    row = spark.createDataFrame([(2, "b", "2024-01-02T00:00:00+00:00", "t")], snapshots.POINTER)
+    row.write.mode("append").json(f"{root}/_pointer")
+    row.withColumn("run_id", F.lit("c")).write.mode("append").json(f"{root}/_pointer")
+    assert snapshots.current_run(spark, root) == "c"
 
 
 def test_jdbc_options():

@@ -96,6 +96,9 @@ def test_weather_window_and_clock_change(spark):
     hours = ["2024-01-01T05:00", "2024-01-01T06:00", "2024-01-02T05:00", "2024-01-02T06:00"]
     rows = weather.hourly_rows(response(spark, hours), date(2024, 1, 1), date(2024, 1, 2)).collect()
     assert [r["local_hour"] for r in rows] == ["2024-01-01T00:00:00", "2024-01-01T23:00:00"]
+    moved = response(spark, ["2024-01-01T00:00-06:00", "2024-01-01T08:00+01:00"])
+    rows = weather.hourly_rows(moved, date(2024, 1, 1), date(2024, 1, 2)).collect()
+    assert [r["hour_utc"] for r in rows] == ["2024-01-01T06:00:00+00:00", "2024-01-01T07:00:00+00:00"]
     fold = response(spark, ["2024-11-03T06:00", "2024-11-03T07:00"], precipitation=[None, 1.0])
     rows = weather.hourly_rows(fold, date(2024, 11, 3), date(2024, 11, 4)).collect()
     assert len({r["hour_utc"] for r in rows}) == 2 and len({r["local_hour"] for r in rows}) == 1
@@ -104,6 +107,7 @@ def test_weather_window_and_clock_change(spark):
 
 @pytest.mark.parametrize("times,arrays", [
     (["2024-01-01T06:00"] * 2, {}),
+    (["2024-01-01T06:00", "2024-01-01T00:00-06:00"], {}),
     (["2024-01-01T06:30"], {}),
     (["2024-01-01T06:00"], {"units": {**UNITS, "precipitation": "inch"}}),
     (["2024-01-01T06:00"], {"snowfall": []}),
@@ -120,7 +124,7 @@ def test_windows_and_pages(spark):
     assert windows.daily_window(date(2024, 5, 2)) == (date(2024, 5, 1), date(2024, 5, 2))
     assert windows.weather_window(date(2024, 1, 29)) == (date(2024, 1, 10), date(2024, 1, 24))
     with pytest.raises(ValueError):
-        windows.year_window(2023)
+        windows.year_window(2023, first=2024)
     rows = spark.createDataFrame([(f"{n:03d}", "2024-01-01T00:00:00") for n in range(25)], "id string, at string")
 
     def fetch(cursor):
