@@ -62,7 +62,9 @@ def mix_sources(documents, most=MOST, steps=STEPS):
     half a copy from rate * K: floor(rate * K + 1/2) - floor(rate * (K - 1) + 1/2). Rounding goes
     from long to short documents in rounds (steps): after each round the dual is solved again for
     what is left, so a source ends within about half of its last round's longest document, or
-    within its longest if it has no short ones. No document is taken more than `most` times.
+    within its longest if it has no short ones. Where a round would take more than the whole target,
+    or leave more than the shorter documents can give, and rounding down (without the 1/2) does less
+    of that, it rounds down. No document is taken more than `most` times.
 
     Ranks come from one range sort over (source, size, doc_id), which splits a hot source and hot
     sizes; sums per source are pre-aggregated. The table of sources has one row each and is joined as
@@ -91,17 +93,38 @@ def mix_sources(documents, most=MOST, steps=STEPS):
     for number in range(len(steps) + 1):
         own = per_step.filter(F.col("step") == number)
         rates = state.join(own, list(SOURCE)).withColumn("rate", tilt(F.col("left_target"), F.col("left_size"), most))
-        rates = via_table(rates.select(*SOURCE, "source_size", "target", "rate", "first", "words"), "rates")
+        rates = via_table(
+            rates.select(*SOURCE, "source_size", "target", "left_target", "left_size", "rate", "first", "words"), "rates"
+        )
+        rows = ranked.filter(F.col("step") == number).select("doc_id", "size", *SOURCE, "place")
         rank = F.col("place") - F.col("first") + 1
-        copies = F.floor(F.col("rate") * rank + 0.5) - F.floor(F.col("rate") * (rank - 1) + 0.5)
-        taken = ranked.filter(F.col("step") == number).join(rates, list(SOURCE)).select(
-            "doc_id", "size", *SOURCE, "source_size", "target", (copies * F.col("size")).alias("taken")
+
+        def taken(phase, rank=rank):
+            return (F.floor(F.col("rate") * rank + phase) - F.floor(F.col("rate") * (rank - 1) + phase)) * F.col("size")
+
+        used = rows.join(rates, list(SOURCE)).groupBy(*SOURCE).agg(
+            F.sum(taken(F.lit(0.5))).alias("near"), F.sum(taken(F.lit(0.0))).alias("below")
+        )
+        left = rates.join(used, list(SOURCE))
+        rest = F.col("left_size") - F.col("words")
+
+        def missed(words, rest=rest):
+            over = F.col("left_target") - words
+            return F.greatest(-over, over - most * rest, F.lit(0.0))
+
+        nearer = missed(F.col("near")) <= missed(F.col("below"))
+        left = via_table(
+            left.withColumn("phase", F.when(nearer, 0.5).otherwise(0.0)).withColumn(
+                "used", F.when(nearer, F.col("near")).otherwise(F.col("below"))
+            ), "rounded",
         )
-        done.append(taken.select("doc_id", "size", "source_size", "target", "taken"))
+        done.append(rows.join(left, list(SOURCE)).select(
+            "doc_id", "size", "source_size", "target", taken(F.col("phase")).alias("taken")
+        ))
         if number < len(steps):
-            used = taken.groupBy(*SOURCE).agg(F.sum("taken").alias("used"), F.sum("size").alias("gone"))
+            gone = left.select(*SOURCE, "used", F.col("words").alias("gone"))
             state = via_table(
-                state.join(used, list(SOURCE), "left").select(
+                state.join(gone, list(SOURCE), "left").select(
                     *SOURCE, "source_size", "target",
                     (F.col("left_target") - F.coalesce("used", F.lit(0))).alias("left_target"),
                     (F.col("left_size") - F.coalesce("gone", F.lit(0))).alias("left_size"),
@@ -141,15 +164,24 @@ state0 AS (
     for n in range(len(steps) + 1):
         rate = share.format(m=most)
         parts.append(f"""
-taken{n} AS (
-  SELECT doc_id, p.source, size, source_size, target,
-    CAST((floor(rate * place + 0.5) - floor(rate * (place - 1) + 0.5)) * size AS BIGINT) AS taken
+rated{n} AS (
+  SELECT doc_id, p.source, size, source_size, target, left_target, left_size,
+    CAST((floor(rate * place + 0.5) - floor(rate * (place - 1) + 0.5)) * size AS BIGINT) AS near,
+    CAST((floor(rate * place) - floor(rate * (place - 1))) * size AS BIGINT) AS below
   FROM placed p JOIN (SELECT *, {rate} AS rate FROM state{n}) s ON p.source IS NOT DISTINCT FROM s.source
   WHERE step = {n}),
-used{n} AS (SELECT source, sum(taken) AS used, sum(size) AS gone FROM taken{n} GROUP BY source),
+used{n} AS (
+  SELECT *, greatest(near - left_target, left_target - near - {most} * (left_size - gone), 0)
+      <= greatest(below - left_target, left_target - below - {most} * (left_size - gone), 0) AS nearer
+  FROM (SELECT source, left_target, left_size, sum(near) AS near, sum(below) AS below, sum(size) AS gone
+    FROM rated{n} GROUP BY 1, 2, 3)),
+taken{n} AS (
+  SELECT doc_id, size, source_size, target, CASE WHEN nearer THEN r.near ELSE r.below END AS taken
+  FROM rated{n} r JOIN used{n} u ON r.source IS NOT DISTINCT FROM u.source),
 state{n + 1} AS (
-  SELECT s.source, source_size, target, left_target - coalesce(used, 0) AS left_target,
-    left_size - coalesce(gone, 0) AS left_size
+  SELECT s.source, source_size, target,
+    s.left_target - coalesce(CASE WHEN nearer THEN near ELSE below END, 0) AS left_target,
+    s.left_size - coalesce(gone, 0) AS left_size
   FROM state{n} s LEFT JOIN used{n} u ON s.source IS NOT DISTINCT FROM u.source)""")
     rows = " UNION ALL ".join(
         f"SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, taken FROM taken{n}"
