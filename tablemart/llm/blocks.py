@@ -121,7 +121,14 @@ class TextBlocks:
     def pin(self, buckets):
         """Store the packed blocks once, dealt by block, so that each later pass reads them there and
         joins its answers without moving a text again."""
-        self.pinned = pin(self.packed().repartition(max(buckets // 2, 1), "block"))
+        conf = self.rows.sparkSession.conf
+        adaptive = conf.get("spark.sql.adaptive.enabled")
+        # The adaptive wrapper of a plan would hide from the stored rows how they are dealt.
+        conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            self.pinned = pin(self.packed().repartition(max(buckets // 2, 1), "block"))
+        finally:
+            conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def bucket_count(documents):
