@@ -9,14 +9,19 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: A space before one of these signs ends a piece: they are letters, digits or signs in every
 #: Unicode table, never white space and never marks that join to what stands before them.
 CUT = re.compile(" (?=[!-~À-ÖØ-öø-ÿ])")
-#: Pieces of these signs alone mean the same to every regular expression engine and normalizer.
-PLAIN = re.compile(rf"[\t\n\r -~{LETTERS}]*")
+#: Pieces of these signs alone mean the same to every regular expression engine and normalizer; most
+#: hold no white space but line ends between words and are cut into words many at a time.
+SIMPLE = re.compile(rf"[!-~{LETTERS}]+(?:\n[!-~{LETTERS}]+)*")
+#: Stands between pieces: white space that no SIMPLE piece holds.
+FEED = "\x0c"
 #: Fixed value: the word pattern of byte-level tokenizers.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 LONGEST = 48
 JOINED = 512
 NONE = np.iinfo(np.int32).max
+NO_ID = 0xFFFFFFFF
+LINE = np.array([NO_ID], dtype="<u4").tobytes()
 
 
 def _signs():
@@ -93,8 +98,7 @@ class Encoder:
 
     For two kinds of tokenizers a text falls apart at CUT without changing an id: byte-level ones
     whose pattern takes one space to the word after it, and ones that lower-case and drop white
-    space. There the pieces are encoded once and remembered (at most REMEMBERED short pieces, then
-    anew); pieces of PLAIN signs go through Merges, all others through the library. Texts that hold
+    space. There the pieces are encoded once and about REMEMBERED of them kept; SIMPLE pieces go through Merges, all others through the library. Texts that hold
     the start of a special token, and all texts of other tokenizers, go through the library whole.
     """
 
@@ -125,40 +129,61 @@ class Encoder:
                 re.sub(r"(?<!s)\\p\{L\}(?!\\)", f"[{LETTERS}]", pattern).replace(r"\p{L}", LETTERS)
                 .replace(r"\s" + LETTERS + r"\p{N}", r"\s" + LETTERS + "0-9").replace(r"\p{N}", "[0-9]"),
             )
+            self.lines = re.compile(self.pattern.pattern + "|" + FEED)
             self.merges = Merges(model)
             self.mark, self.mark_id = added[0]["content"], added[0]["id"]
         self.special = [t["content"][:2] for t in added]
-        self.memory = {}
+        self.memory, self.older = {}, {}
 
     def _library(self, texts):
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in made]
 
-    def _pieces(self, pieces):
-        """Ids of many pieces."""
-        words, spans, other = {}, [None] * len(pieces), []
-        for n, piece in enumerate(pieces):
-            if len(piece) <= LONGEST and PLAIN.fullmatch(piece):
-                spans[n] = [
-                    words.setdefault(w, len(words))
-                    for w in self.pattern.findall(piece if self.glue else piece.lower())
-                ]
-            else:
-                other.append(n)
-        ids = self.merges.words([w.encode() for w in words])
-        out = [None if s is None else b"".join([ids[w] for w in s]) for s in spans]
-        for low in range(0, len(other), JOINED):
-            # A special token between two pieces keeps them apart in one call.
-            part = other[low : low + JOINED]
-            made = np.frombuffer(self._library([self.mark.join([pieces[n] for n in part])])[0], dtype="<u4")
-            start = 0
-            for n, end in zip(part, [*np.flatnonzero(made == self.mark_id).tolist(), len(made)], strict=True):
-                out[n] = made[start:end].tobytes()
+    def _apart(self, pieces):
+        """Ids of any pieces from few calls of the library: a special token keeps two pieces apart."""
+        out = []
+        for low in range(0, len(pieces), JOINED):
+            joined = self.mark.join(pieces[low : low + JOINED])
+            made = np.frombuffer(self._library([joined])[0], dtype="<u4")
+            ends, start = [*np.flatnonzero(made == self.mark_id).tolist(), len(made)], 0
+            for end in ends:
+                out.append(made[start:end].tobytes())
                 start = end + 1
         return out
 
+    def _simple(self, words):
+        """Ids of SIMPLE words from one text: the feeds between them stay words of their own."""
+        if not words:
+            return []
+        text = self.glue + (FEED + self.glue).join(words)
+        found = self.lines.findall(text if self.glue else text.lower())
+        distinct = [w for w in dict.fromkeys(found) if w != FEED]
+        ids = dict(zip(distinct, self.merges.words([w.encode() for w in distinct])))
+        ids[FEED] = LINE
+        data = b"".join(map(ids.__getitem__, found))
+        ends = (4 * np.flatnonzero(np.frombuffer(data, dtype="<u4") == NO_ID)).tolist()
+        starts = [0, *[e + 4 for e in ends]]
+        return [data[a:b] for a, b in zip(starts, [*ends, len(data)])]
+
     def _by_word(self, words):
-        return dict(zip(words, self._pieces([self.glue + w for w in words]), strict=True))
+        simple = [w for w in words if len(w) <= LONGEST and SIMPLE.fullmatch(w)]
+        known = dict(zip(simple, self._simple(simple), strict=True))
+        if len(known) < len(words):
+            rest = [w for w in words if w not in known]
+            known.update(zip(rest, self._apart([self.glue + w for w in rest]), strict=True))
+        return known
+
+    def _ids_of(self, words):
+        """Ids of each of these words. Half of what is remembered is recent; when that half is full the
+        other one goes, so frequent words stay."""
+        recent = self.memory
+        fresh = words.difference(recent)
+        again = {w: self.older[w] for w in fresh if w in self.older}
+        recent.update(again)
+        recent.update(self._by_word([w for w in fresh if w not in again]))
+        if len(recent) > REMEMBERED // 2:
+            self.older, self.memory = recent, {}
+        return recent
 
     def encode(self, texts):
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -170,17 +195,9 @@ class Encoder:
             out[i] = ids
         plain = [i for i in range(len(texts)) if out[i] is None]
         cut = [CUT.split(texts[i]) for i in plain]
-        heads = self._pieces([words[0] for words in cut])
+        heads = self._apart([words[0] for words in cut])
         words = set().union(*[pieces[1:] for pieces in cut])
-        fresh = words.difference(self.memory)
-        short = [w for w in fresh if len(w) <= LONGEST]
-        if len(self.memory) + len(short) > REMEMBERED:
-            self.memory, fresh = {}, words
-            short = [w for w in fresh if len(w) <= LONGEST]
-        self.memory.update(self._by_word(short))
-        memory = self.memory
-        if len(short) < len(fresh):
-            memory = memory | self._by_word([w for w in fresh if len(w) > LONGEST])
+        memory = self._ids_of(words)
         for i, head, pieces in zip(plain, heads, cut):
             out[i] = head + b"".join([memory[w] for w in pieces[1:]])
         return out

@@ -9,7 +9,7 @@ from tablemart.storage import via_table
 
 CHUNK = 65_536
 OVERLAP = 512
-BATCH = 128
+BATCH = 512
 NAMES = ["start", "last", "tokens", "head", "tail"]
 KEY = ["doc_id", "n_bytes", "mark"]
 SEEN = "array<struct<at: long, before: long>>"

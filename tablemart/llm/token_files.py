@@ -6,11 +6,10 @@ import zlib
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tablemart.llm.encoder import encoder
-from tablemart.llm.tables import doc_rows
+from tablemart.llm.tables import blocks_for, doc_rows
 from tablemart.storage import shared_folder, via_table
 
 #: Training sample: so many documents with the smallest hash of their id, so many ids of each.
@@ -19,7 +18,9 @@ SAMPLE_IDS = 2048
 DICTIONARY_BYTES = 65_536
 SHARD_BYTES = 1 << 20
 LEVEL = 3
-BATCH = 128
+PARTS = 32
+PART_BYTES = 64 << 20
+BATCH = 512
 SHARD = (
     "part int, shard long, before long, dictionary_hash string, doc_ids array<long>, "
     "sizes array<long>, offsets array<long>, frames binary"
@@ -45,40 +46,53 @@ def train_dictionary(documents, path, end_id):
         for batch in batches:
             yield pd.DataFrame({"ids": [ids[: 4 * SAMPLE_IDS] for _, ids in _encoded(batch, path, end_id)]})
 
-    chosen = documents.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_DOCUMENTS)
-    samples = [r["ids"] for r in chosen.mapInPandas(sample, "ids binary").collect()]
+    ids = documents.select("doc_id").filter("doc_id is not null").distinct()
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
+    # SAMPLE_DOCUMENTS ids: a proven bound for the broadcast. Rows of a repeated id are all taken.
+    chosen = documents.join(F.broadcast(ids), "doc_id", "left_semi")
+    samples = sorted(r["ids"] for r in chosen.mapInPandas(sample, "ids binary").collect())[:SAMPLE_DOCUMENTS]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def _write(path, end_id, dictionary):
-    mark = hashlib.sha256(dictionary).hexdigest()
+def _frames(path, end_id, dictionary):
+    def frames(batches):
+        packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary))
+        for batch in batches:
+            made = [(len(ids) // 4, packer.compress(ids)) for _, ids in _encoded(batch, path, end_id)]
+            batch["size"], batch["frame"] = zip(*made) if made else ([], [])
+            yield batch[["part", "doc_id", "mark", "size", "frame"]]
+
+    return frames
+
 
+def _shards(mark):
     def shards(batches):
-        packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary))
-        part, shard, before, held = TaskContext.get().partitionId(), 0, 0, []
+        part, shard, before, held = -1, 0, 0, []
 
         def close():
             frames = [f for _, _, f in held]
-            sizes = [n for _, n, _ in held]
             return pd.DataFrame({
                 "part": [part], "shard": [shard], "before": [before], "dictionary_hash": [mark],
-                "doc_ids": [[d for d, _, _ in held]], "sizes": [sizes],
+                "doc_ids": [[d for d, _, _ in held]], "sizes": [[n for _, n, _ in held]],
                 "offsets": [np.cumsum([0, *map(len, frames)]).tolist()], "frames": [b"".join(frames)],
             })
 
-        size = 0
+        weight = 0
         for batch in batches:
-            for doc, ids in _encoded(batch, path, end_id):
-                frame = packer.compress(ids)
-                held.append((None if pd.isna(doc) else int(doc), len(ids) // 4, frame))
-                size += len(frame)
-                if size >= SHARD_BYTES:
+            for now, doc, size, frame in zip(batch["part"], batch["doc_id"], batch["size"], batch["frame"]):
+                if now != part:
+                    if held:
+                        yield close()
+                    part, shard, before, held, weight = now, 0, 0, [], 0
+                held.append((None if pd.isna(doc) else int(doc), size, frame))
+                weight += len(frame)
+                if weight >= SHARD_BYTES:
                     yield close()
                     before += sum(n for _, n, _ in held)
-                    shard, held, size = shard + 1, [], 0
+                    shard, held, weight = shard + 1, [], 0
         if held:
             yield close()
 
@@ -93,21 +107,28 @@ def write_token_files(documents, tokenizer, folder, end_id=1):
     its documents doc_ids, sizes in ids, byte offsets and the frames: each document is a zstandard
     frame of its own over little-endian unsigned 32-bit ids, so one is read without the others.
 
-    Documents are split by ranges of doc_id (and of a text hash, so that a repeated id splits too);
-    parts and shards rise with doc_id. Parquet tasks commit whole files, so a lost executor leaves
-    none half written. Null texts are empty (the end id alone); null doc_ids come first; an empty
-    table gives a dictionary and no shards; other columns are not looked at.
+    Texts are encoded where they are read; only frames are shuffled, to parts that are ranges of
+    doc_id with about equal numbers of documents. Parts and shards rise with doc_id. Parquet tasks
+    commit whole files, so a lost executor leaves none half written. Null texts are empty (the end id
+    alone); null doc_ids come first and are one part with the smallest ids, as all rows of a repeated
+    doc_id are; an empty table gives a dictionary and no shards; other columns are not looked at.
     """
     spark, rows = documents.sparkSession, doc_rows(documents)
     dictionary = train_dictionary(rows, tokenizer, end_id)
-    spark.createDataFrame(
-        [(hashlib.sha256(dictionary).hexdigest(), dictionary)], "dictionary_hash string, dictionary binary"
-    ).write.parquet(f"{folder}/dictionary")
-    order = ["doc_id", F.xxhash64("text")]
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.mapInPandas(_write(tokenizer, end_id, dictionary), SHARD).write.option(
-        "compression", "uncompressed"
-    ).parquet(f"{folder}/shards")
+    mark = hashlib.sha256(dictionary).hexdigest()
+    spark.createDataFrame([(mark, dictionary)], "dictionary_hash string, dictionary binary").write.parquet(
+        f"{folder}/dictionary"
+    )
+    parts = max(PARTS, blocks_for(rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0], PART_BYTES))
+    ranks = [n / parts for n in range(1, parts)]
+    bounds = rows.agg(F.percentile_approx("doc_id", ranks, 100 * parts).alias("b")).first()["b"] or []
+    bounds = F.lit(sorted(set(bounds))).cast("array<bigint>")
+    part = F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col("doc_id"))), F.lit(0))
+    framed = rows.withColumn("part", part).withColumn("mark", F.xxhash64("text")).mapInPandas(
+        _frames(tokenizer, end_id, dictionary), "part int, doc_id long, mark long, size long, frame binary"
+    )
+    ranged = framed.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", "mark")
+    ranged.mapInPandas(_shards(mark), SHARD).write.option("compression", "uncompressed").parquet(f"{folder}/shards")
 
 
 def _reader(dictionary_hash, dictionary):
