@@ -38,17 +38,31 @@ def substrings(spark, docs, sf_dir):
     return left
 
 
+def _free(name, columns):
+    """The name, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _with_rows(docs):
+    """The documents stored once with a number for each row, and the name of that column. Numbers follow
+    the input splits, so a second scan could give other ones: all that uses them reads the stored rows."""
+    row = _free("_row", docs.columns)
+    return via_table(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
 def mixed(spark, docs, sf_dir):
     """Each document as often as the mix takes it, as rows of its own with the same columns.
 
-    Rows are told apart by their place in the stored table, so that repeated and null ids count too.
+    Rows are told apart by a number stored with them, so that repeated and null ids count too.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    taken = mix_sources(rows.select(F.col("_row").alias("doc_id"), "text", "source")).filter("taken > 0")
-    copies = taken.select(F.col("doc_id").alias("_row"), (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-    return rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
-        *docs.columns
-    )
+    rows, row = _with_rows(docs)
+    copies, copy = _free("_copies", docs.columns), _free("_copy", docs.columns)
+    taken = mix_sources(rows.select(F.col(row).alias("doc_id"), "text", "source")).filter("taken > 0")
+    taken = taken.select(F.col("doc_id").alias(row), (F.col("taken") / F.col("size")).cast("int").alias(copies))
+    return rows.join(taken, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def packed(spark, docs, sf_dir):

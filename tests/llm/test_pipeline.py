@@ -127,3 +127,39 @@ def shingle_words(text):
 def test_stage_list_and_entry():
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and os.path.exists(corpus_pipeline.__file__)
     assert len([n for n in queries.QUERIES if n.startswith("op")]) == 10
+
+
+def test_mix_survives_another_cut_of_the_input(spark, tmp_path, monkeypatch):
+    """Executors come and go between two scans: the copies still go to the rows they were meant for."""
+    rows = [(n, " ".join([f"t{n}"] * (5 + n % 40)), f"s{n % 4}", f"own {n}") for n in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `_row` string")
+    docs.repartition(12).write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    setting, before = "spark.sql.files.minPartitionNum", spark.conf.get("spark.sql.files.openCostInBytes")
+
+    def mix_then_recut(frame):
+        made = mix_sources(frame)
+        spark.conf.set(setting, "12")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        return made
+
+    monkeypatch.setattr(corpus_pipeline, "mix_sources", mix_then_recut)
+    spark.conf.set(setting, "1")
+    try:
+        got = sorted(map(tuple, corpus_pipeline.mixed(spark, docs, FOLDER).collect()))
+    finally:
+        spark.conf.unset(setting)
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    taken = {r["doc_id"]: r["taken"] // r["size"] for r in mix_sources(docs).collect()}
+    assert sum(taken.values()) == len(got)
+    # By source, size and number of copies: rows of one size are interchangeable.
+    sizes = {n: (source, len(text.split())) for n, text, source, _ in rows}
+    count = {}
+    for r in got:
+        count[r[0]] = count.get(r[0], 0) + 1
+    per_got, per_want = {}, {}
+    for n, key in sizes.items():
+        per_got.setdefault(key, []).append(count.get(n, 0))
+        per_want.setdefault(key, []).append(taken[n])
+    assert {k: sorted(v) for k, v in per_got.items()} == {k: sorted(v) for k, v in per_want.items()}
+    assert all(r in set(rows) for r in got)
