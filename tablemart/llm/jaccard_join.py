@@ -1,7 +1,8 @@
 """N-gram Jaccard join: candidates by rare n-grams, then a join over prefix trees of whole sets.
 
-Equal sets are one node. A pair at the threshold shares one of the rarest n-grams of both, so nodes
-that share one (and whose sizes allow it) are in one cluster. Each cluster is joined by a prefix tree
+Equal sets are one node. A pair at the threshold shares one of the rarest n-grams of both, and behind
+the first one that they share both still have enough n-grams for the overlap needed. Nodes that share
+one at places and with sizes that allow this are in one cluster. Each cluster is joined by a prefix tree
 of its ordered sets: a walk for one set shares the overlap of common prefixes and leaves a subtree
 when the n-grams left cannot reach the overlap needed, or when all of it is connected already.
 """
@@ -15,12 +16,18 @@ from tablemart.llm.blocks import Block, TextBlocks, answered, answers_of, asked,
 from tablemart.llm.blocks import unpack_sorted, with_answers
 from tablemart.llm.components import components
 from tablemart.llm.hashing import mix, windows, word_names
+from tablemart.llm.tables import blocks_for
+from tablemart.operators.ranking import number_rows
 from tablemart.storage import via_table
 
 WORDS = 5
 PERCENT = 80
 #: Nodes of one cluster that a task joins at once; larger clusters are cut.
 CLUSTER_ROWS = 2048
+#: Rows of a part of a larger cluster; two parts meet in a task.
+PART_ROWS = 1024
+#: Bytes of sets that one task joins, cluster after cluster.
+BIN_BYTES = 32 << 20
 PIVOTS = 4
 LOWER = bytes(range(256)).lower()
 ROWS = "kind int, doc_id long, size long, node long, bucket int, payload binary"
@@ -107,6 +114,9 @@ def _candidate_rows(words, percent, buckets):
                 lone[first] = False
                 rare &= ~alone[order] & ~lone[sets.docs]
                 sent, docs = sets.grams[order[rare]], sets.docs[rare]
+                # The largest partner that may share this n-gram as the first one: the overlap is at most
+                # what is left from here on.
+                reach = (100 + percent) * (size[rare] - rank[rare]) // percent - size[rare]
                 for n in range(len(sets.nodes)):
                     rows.append((0, int(block.keys[n]) if block.known[n] else None, int(sets.sizes[n]),
                                  int(sets.nodes[n]), None, None))
@@ -118,7 +128,8 @@ def _candidate_rows(words, percent, buckets):
                 edges = np.searchsorted(bucket[turn], np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(edges)).tolist():
                     part = turn[edges[b] : edges[b + 1]]
-                    table = np.stack([sent[part].view(np.int64), sets.nodes[docs[part]], sets.sizes[docs[part]]])
+                    table = np.stack([sent[part].view(np.int64), sets.nodes[docs[part]], sets.sizes[docs[part]],
+                                      reach[part]])
                     rows.append((1, None, None, None, b, packer.compress(table.tobytes())))
                 kinds = ["Int32", "Int64", "Int64", "Int64", "Int32", object]
                 columns = [pd.array(c, dtype=kind) for c, kind in zip(zip(*rows), kinds)]
@@ -127,22 +138,32 @@ def _candidate_rows(words, percent, buckets):
     return make
 
 
-def _share(percent):
-    def candidates(key, rows):
-        """Nodes that share an n-gram, each linked to the smallest of its run: runs are cut where the
-        next size is too large for any pair across."""
-        unpacker = zstandard.ZstdDecompressor()
-        tables = [np.frombuffer(unpacker.decompress(p), np.int64).reshape(3, -1) for p in rows["payload"]]
-        grams, nodes, sizes = np.unique(np.concatenate(tables, axis=1), axis=1)[[0, 1, 2]] if tables else []
-        order = np.lexsort((nodes, sizes, grams))
-        grams, nodes, sizes = grams[order], nodes[order], sizes[order]
-        head = np.ones(len(grams), dtype=bool)
-        head[1:] = (grams[1:] != grams[:-1]) | (sizes[:-1] * 100 < sizes[1:] * percent)
-        root = nodes[np.maximum.accumulate(np.where(head, np.arange(len(grams)), 0))]
-        pairs = np.unique(np.stack([root, nodes])[:, root != nodes], axis=1)
-        return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
+def _share(key, rows):
+    """Nodes that may share an n-gram as their first one, each linked to the smallest of its run.
 
-    return candidates
+    A pair of sizes a <= b is possible if b is within the reach of the smaller one and a within that of
+    the larger one. So the smaller one reaches at least its own size; others stay only if such a node no
+    larger than their reach reaches them. Runs are cut where no node before reaches the next size.
+    """
+    unpacker = zstandard.ZstdDecompressor()
+    tables = [np.frombuffer(unpacker.decompress(p), np.int64).reshape(4, -1) for p in rows["payload"]]
+    grams, nodes, sizes, reach = np.concatenate(tables, axis=1)
+    order = np.lexsort((nodes, sizes, grams))
+    grams, nodes, sizes, reach = grams[order], nodes[order], sizes[order], reach[order]
+    first = np.ones(len(grams), dtype=bool)
+    first[1:] = (grams[1:] != grams[:-1]) | (nodes[1:] != nodes[:-1])
+    grams, nodes, sizes, reach = grams[first], nodes[first], sizes[first], reach[first]
+    # Number of the n-gram and a size in one number, so that searches and maxima stay within an n-gram.
+    group = np.cumsum(np.concatenate([[0], grams[1:] != grams[:-1]])) << 32
+    farthest = np.maximum.accumulate(group + np.where(reach >= sizes, reach, 0))
+    smaller = np.searchsorted(group + sizes, group + np.minimum(reach, sizes), side="right") - 1
+    kept = (smaller >= 0) & (farthest[smaller] >= group + sizes)
+    group, nodes, sizes, farthest = group[kept], nodes[kept], sizes[kept], farthest[kept]
+    head = np.ones(len(group), dtype=bool)
+    head[1:] = farthest[:-1] < group[1:] + sizes[1:]
+    root = nodes[np.maximum.accumulate(np.where(head, np.arange(len(group)), 0))]
+    pairs = np.unique(np.stack([root, nodes])[:, root != nodes], axis=1)
+    return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
 
 
 class PrefixTree:
@@ -233,16 +254,17 @@ class PrefixTree:
 
 def _join(percent):
     def join(key, rows):
-        """Links (a, b) that connect nodes of a cluster which are not connected yet."""
+        """Links (a, b) that connect nodes of a cluster which are not connected yet; only rows that ask
+        look for partners."""
         out = []
         for _, part in rows.groupby("cluster"):
-            part = part.drop_duplicates("node")
+            part = part.sort_values("asks", ascending=False, kind="stable").drop_duplicates("node")
             if len(part) < 2:
                 continue
             tree = PrefixTree([np.frombuffer(p, np.uint64) for p in part["payload"]])
             nodes = part["node"].to_numpy()[tree.order]
             label = np.unique(part["label"].to_numpy()[tree.order], return_inverse=True)[1]
-            for row in range(len(nodes)):
+            for row in np.flatnonzero(part["asks"].to_numpy()[tree.order]):
                 for other in tree.links(row, percent, label):
                     if label[other] != label[row]:
                         out.append((nodes[row], nodes[other]))
@@ -256,6 +278,34 @@ def _links(sets, percent):
     return sets.groupBy("bin").applyInPandas(_join(percent), "a long, b long")
 
 
+def _parts(rows, name):
+    """Rows of large clusters in parts of PART_ROWS by size."""
+    placed = via_table(number_rows(rows, ("cluster", "size", "node"), "place", 1), name)
+    first = placed.groupBy("cluster").agg(F.min("place").alias("first"))
+    return placed.join(first, "cluster").withColumn(name, F.floor((F.col("place") - F.col("first")) / PART_ROWS)).drop(
+        "place", "first"
+    )
+
+
+def _met(labelled, percent):
+    """node, cluster, label, asks, bin: each part of the open rows with each part of its cluster whose
+    sizes allow a link. No bin has more than two parts, whatever the size of the cluster."""
+    few = labelled.select("cluster", "node", "size", "label", "main")
+    unlinked = few.filter("label <> main")
+    opened = via_table(_parts(unlinked, "opened"), "opened-parts")
+    every = via_table(_parts(few.join(unlinked.select("cluster").distinct(), "cluster", "left_semi"), "part"), "parts")
+    asking = opened.groupBy("cluster", "opened").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    asked_for = every.groupBy("cluster", "part").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    pairs = asking.join(asked_for, "cluster").filter(
+        (F.col("least") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("most") * 100)
+    ).select("cluster", "opened", "part", F.xxhash64("cluster", "opened", "part").alias("bin"))
+    pairs = via_table(pairs, "part-pairs")
+    columns = ["node", "cluster", "label", "bin"]
+    return opened.join(pairs, ["cluster", "opened"]).select(*columns, F.lit(True).alias("asks")).unionByName(
+        every.join(pairs, ["cluster", "part"]).select(*columns, F.lit(False).alias("asks"))
+    )
+
+
 def _node_components(sets, clusters, percent):
     """(node, component_id) over nodes: components of exact links inside the clusters."""
     sizes = clusters.groupBy("component_id").agg(F.count("*").alias("many"))
@@ -263,10 +313,11 @@ def _node_components(sets, clusters, percent):
         "node", F.col("component_id").alias("cluster"),
         F.ceil(F.col("many") / CLUSTER_ROWS).cast("long").alias("cuts"),
     )
-    rows = sets.groupBy("node").agg(F.first("payload").alias("payload")).join(placed, "node")
+    rows = sets.groupBy("node").agg(F.first("size").alias("size"), F.first("payload").alias("payload")).join(placed, "node")
     rows = rows.withColumn("label", F.col("node")).withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")))
-    rows = via_table(rows, "cluster-sets")
-    bins = F.when(F.col("cuts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(1024))).otherwise(
+    rows = via_table(rows.withColumn("asks", F.lit(True)), "cluster-sets")
+    small = max(1024, blocks_for(rows.agg(F.sum("size") * 8).first()[0], BIN_BYTES))
+    bins = F.when(F.col("cuts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(small))).otherwise(
         F.xxhash64("cluster", "cut")
     )
     # Large clusters: each cut meets the same few pivots, which connects most of it at once.
@@ -282,18 +333,19 @@ def _node_components(sets, clusters, percent):
     found = via_table(components(first), "linked")
     if large.isEmpty():
         return found
-    # What the pivots did not reach meets every cut of its cluster; connected pairs are skipped.
+    # What the pivots did not reach meets every part of its cluster; connected pairs are skipped.
     label = F.coalesce(F.col("component_id"), F.col("node"))
-    labelled = large.drop("label").join(found, "node", "left").withColumn("label", label).drop("component_id")
+    labelled = large.select("cluster", "node", "size").join(found, "node", "left").withColumn("label", label).drop(
+        "component_id"
+    )
     biggest = labelled.groupBy("cluster", "label").agg(F.count("*").alias("n")).groupBy("cluster").agg(
         F.max_by("label", F.struct("n", "label")).alias("main")
     )
     labelled = via_table(labelled.join(biggest, "cluster"), "labelled")
-    open_rows = labelled.filter("label <> main").withColumn(
-        "cut", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1))
-    )
-    met = labelled.join(open_rows.select("cluster").distinct(), "cluster", "left_semi").unionByName(open_rows)
-    second = _links(met.withColumn("bin", bins), percent)
+    if labelled.filter("label <> main").isEmpty():
+        return found
+    met = _met(labelled, percent).join(large.select("node", "payload"), "node")
+    second = _links(met, percent)
     known = found.select(F.col("node").alias("a"), F.col("component_id").alias("b"))
     return via_table(components(known.unionByName(second)), "linked")
 
@@ -317,10 +369,10 @@ def ngram_components(documents, words=WORDS, percent=PERCENT):
         with_answers(blocks, grades).mapInPandas(_candidate_rows(words, percent, buckets), ROWS), "sets"
     )
     shared = rows.filter("kind = 1").select("bucket", "payload").groupBy("bucket").applyInPandas(
-        _share(percent), "a long, b long"
+        _share, "a long, b long"
     )
     clusters = components(via_table(shared, "shared"))
-    linked = _node_components(rows.filter("kind = 2").select("node", "payload"), via_table(clusters, "clusters"), percent)
+    linked = _node_components(rows.filter("kind = 2").select("node", "size", "payload"), via_table(clusters, "clusters"), percent)
     docs = rows.filter("kind = 0").select("doc_id", F.col("size").alias("n_shingles"), "node")
     docs = docs.join(linked, "node", "left").withColumn("group", F.coalesce("component_id", "node"))
     least = docs.filter("n_shingles > 0").groupBy("group").agg(F.min("doc_id").alias("least"))

@@ -149,6 +149,49 @@ def test_components_against_all_pairs(spark, monkeypatch, cluster):
     assert len(set(low.values())) < len(low)
 
 
+def linked_by_all_pairs(sets):
+    low = {k: k for k in sets}
+    for a, b in combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * len(sets[a] | sets[b]) and low[a] != low[b]:
+            old, new = max(low[a], low[b]), min(low[a], low[b])
+            low = {k: new if v == old else v for k, v in low.items()}
+    return low
+
+
+@pytest.mark.parametrize("own", ["unique", "pooled"])
+def test_no_bin_holds_a_group_below_the_threshold(spark, monkeypatch, own):
+    """A template group whose members stay just under the threshold, and a few true copies in it."""
+    from tablemart.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "CLUSTER_ROWS", 8)
+    monkeypatch.setattr(jaccard_join, "PART_ROWS", 4, raising=False)
+    held, links = [], jaccard_join._links
+
+    def counted(sets, percent):
+        held.append(sets.groupBy("bin", "cluster").count().agg({"count": "max"}).first()[0] or 0)
+        return links(sets, percent)
+
+    monkeypatch.setattr(jaccard_join, "_links", counted)
+    rng, rows = random.Random(5), []
+    for n in range(64):
+        # Twelve phrases, three of them own ones: two members have at most 102 of 130 n-grams in common.
+        tags = [f"p{k}v{n // 4**k % 4}" if own == "pooled" else f"u{n}s{k}" for k in range(3)]
+        tags = [f"t{k}" for k in range(8)] + tags + ["t8"]
+        rows.append((n, " ".join(f"{t}w{i}" for t in tags for i in range(10))))
+    for n in range(6):
+        words = rows[n * 9][1].split()
+        words[rng.randint(0, 80)] = f"edit{n}"
+        rows.append((100 + n, " ".join(words)))
+    sets = {k: shingles(t) for k, t in rows}
+    low = linked_by_all_pairs(sets)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r["doc_id"]: r["component_id"] for r in ngram_components(frame).collect()} == low
+    assert len(set(low.values())) == 64
+    # A cut with its pivots, or two parts; by chance a cut has a few rows more than CLUSTER_ROWS.
+    assert max(held) <= 8 + 4 + 12, held
+
+
 def test_prefix_tree_finds_exactly_the_linked_rows():
     rng = np.random.default_rng(1)
     for _ in range(100):
