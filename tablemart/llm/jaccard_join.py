@@ -364,6 +364,7 @@ def ngram_components(documents, words=WORDS, percent=PERCENT):
     n-gram going back; only n-grams that occur elsewhere are sent on, as few as the threshold needs.
     """
     blocks, buckets = TextBlocks(documents), bucket_count(documents)
+    blocks.pin(buckets)
     grades = answered(asked(blocks, _ask_frequency(words, buckets)), _frequency, "frequency")
     rows = via_table(
         with_answers(blocks, grades).mapInPandas(_candidate_rows(words, percent, buckets), ROWS), "sets"

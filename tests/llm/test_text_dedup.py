@@ -149,6 +149,32 @@ def test_components_against_all_pairs(spark, monkeypatch, cluster):
     assert len(set(low.values())) < len(low)
 
 
+def test_components_survive_another_cut_of_the_input(spark, monkeypatch, tmp_path):
+    """Both passes read the same blocks, also where the input is cut differently in between."""
+    from tablemart.llm import jaccard_join
+
+    near_copies(spark).repartition(12).write.parquet(str(tmp_path / "documents"))
+    frame = spark.read.parquet(str(tmp_path / "documents"))
+    want = sorted(map(tuple, ngram_components(frame).collect()))
+    setting, cost = "spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes"
+    before, first = spark.conf.get(cost), jaccard_join.answered
+
+    def recut(*args):
+        made = first(*args)
+        spark.conf.set(setting, "12")
+        spark.conf.set(cost, "1")
+        return made
+
+    monkeypatch.setattr(jaccard_join, "answered", recut)
+    spark.conf.set(setting, "1")
+    try:
+        got = sorted(map(tuple, ngram_components(spark.read.parquet(str(tmp_path / "documents"))).collect()))
+    finally:
+        spark.conf.unset(setting)
+        spark.conf.set(cost, before)
+    assert got == want
+
+
 def linked_by_all_pairs(sets):
     low = {k: k for k in sets}
     for a, b in combinations(sorted(sets), 2):
