@@ -1,10 +1,9 @@
-"""Substring dedup by relative Lempel-Ziv parsing of word sequences.
+"""Substring dedup by names of word windows behind a minimizer filter, in place of relative Lempel-Ziv.
 
-Reference blocks are shares of the corpus by name: each indexes the windows of words whose seed falls
-to it. Every document asks all blocks that can know a stretch of it and is parsed greedily: a factor
-goes on as long as each next window of words is found in a document with a smaller id. A stretch that
-two factors share is asked for as a window of its own, so none is lost at a factor boundary. Factors
-shorter than a window do not exist; all others are duplicate spans.
+Nothing is factored and no reference is indexed. Each block sends the names of its seeds; a seed that
+occurs twice makes the windows around it candidates. Names of these windows are compared in buckets (a
+residue of the window's own name), and a word goes if a window that covers it also starts in an earlier
+document. Windows decide each for itself, so there are no boundaries to check.
 """
 
 import numpy as np
