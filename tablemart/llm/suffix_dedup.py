@@ -1,13 +1,10 @@
-"""Suffix-array dedup: repeated byte strings by a distributed difference-cover sort.
-
-The suffixes at the places of a difference cover modulo 31 are named by triples, recursively: names of
-3, 9 and 27 bytes are triples of shorter names, and a triple of 27-byte names covers the tuple of a
-sample. Buckets sort the names of all samples. A sample with a unique name has its place in the order
-and is dropped, as in difference-cover sorts with discarding; only suffixes that reach a repeated
-sample go on. These remaining suffixes are merged by their names at the depth of the window, sorted
-with their document, and neighbours are compared: all but the first of equal ones start earlier too.
-The order of names is that of their 64 bits, not of letters: equal strings become neighbours either
-way, which is all that the comparison needs, and no pass over longer prefixes is left to do.
+"""Repeated byte strings by hashes of windows behind difference-cover samples, in place of a suffix sort.
+
+The strings at the places of a difference cover modulo 31 are named by a fixed three-level hash: names of
+3, 9 and 27 bytes are hashes of three shorter names, and names of 27 bytes cover the tuple of a sample.
+Nothing is ranked and no suffixes are merged. A sample whose name is unique is dropped; windows that hold
+a repeated sample are named at their whole length and compared in buckets with their document: all but
+the first of equal ones start earlier too.
 """
 
 import numpy as np
