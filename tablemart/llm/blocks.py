@@ -24,6 +24,11 @@ LEVEL = 3
 SPREAD = 1024
 LAST = np.iinfo(np.int64).max
 BLOCK = "block long, checksum long, blob binary"
+#: Timestamps go through JSON with all their digits.
+JSON_TIMES = {
+    "timeZone": "UTC", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 MESSAGE = "block long, bucket int, payload binary"
 
 
@@ -94,7 +99,7 @@ class TextBlocks:
 
     def __init__(self, documents, keep=(), size=None):
         self.size, self.pinned = size or BLOCK_BYTES, None
-        extra = F.to_json(F.struct(*keep)) if keep else F.lit("")
+        extra = F.to_json(F.struct(*keep), JSON_TIMES) if keep else F.lit("")
         # Null ids have a flag of their own: pandas would turn a column with nulls into floats.
         self.rows = documents.select(
             F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))).alias("doc_id"),

@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tablemart.llm.blocks import Block, TextBlocks, answered, answers_of, asked, bucket_count, pack_sorted
+from tablemart.llm.blocks import JSON_TIMES, Block, TextBlocks, answered, answers_of, asked, bucket_count, pack_sorted
 from tablemart.llm.blocks import unpack_sorted, with_answers
 
 RESULT = "doc_id long, units long, n_removed long, n_spans long, kept_sha256 string, kept binary, extra string"
@@ -246,7 +246,7 @@ def with_kept_text(rows, schema):
     """Rows of without_repeats(with_text=True) as documents again: kept text and the kept columns."""
     kept = [f for f in schema.fields if f.name not in ("doc_id", "text")]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    back = F.from_json("extra", ddl) if kept else F.lit(None)
+    back = F.from_json("extra", ddl, JSON_TIMES) if kept else F.lit(None)
     return rows.withColumn("_back", back).select(
         *[F.col(f.name) if f.name == "doc_id" else F.decode("kept", "utf-8").alias("text") if f.name == "text"
           else F.col("_back")[f.name].alias(f.name) for f in schema.fields]

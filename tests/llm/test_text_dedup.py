@@ -99,6 +99,17 @@ def test_kept_text_keeps_the_columns(spark):
         assert (r["n_chars"], r["source"], r["kept"]) == (None if r["doc_id"] is None else 2 * r["doc_id"], None, "x")
 
 
+def test_kept_columns_keep_microseconds(spark):
+    frame = spark.createDataFrame([(1, "some words")], "doc_id long, text string").selectExpr(
+        "*", "timestamp'2024-03-31 01:02:03.123456' AS seen", "timestamp_ntz'1850-01-01 01:02:03.000007' AS local",
+        "timestamp'1850-01-01 01:02:03.5' AS old", "CAST(NULL AS timestamp) AS none",
+    )
+    micros = ["doc_id", "text", "unix_micros(seen) s", "CAST(local AS string) l", "unix_micros(old) o", "none"]
+    got = deduplicated_documents(frame)
+    assert got.schema.names == frame.schema.names
+    assert got.selectExpr(*micros).collect() == frame.selectExpr(*micros).collect()
+
+
 def test_odd_documents(odd_documents, no_documents):
     rows = odd_documents.count()
     for operator in (remove_repeated_bytes, remove_repeated_words):
