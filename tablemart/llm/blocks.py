@@ -22,6 +22,8 @@ BUCKET_BYTES = 32 << 20
 LEAST_BUCKETS = 64
 LEVEL = 3
 SPREAD = 1024
+#: What a row weighs besides its bytes, so that very short texts do not make a block of very many rows.
+ROW_BYTES = 128
 LAST = np.iinfo(np.int64).max
 BLOCK = "block long, checksum long, blob binary"
 #: Timestamps go through JSON with all their digits.
@@ -84,8 +86,9 @@ def _cut(batches, size):
     for batch in batches:
         for doc, known, text, extra, task in zip(*[batch[c] for c in batch.columns]):
             data = text.encode()
-            held.append((doc, known, data, (extra or "").encode()))
-            weight += len(data)
+            more = (extra or "").encode()
+            held.append((doc, known, data, more))
+            weight += len(data) + len(more) + ROW_BYTES
             if weight >= size:
                 yield close()
                 number, held, weight = number + 1, [], 0

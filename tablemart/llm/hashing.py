@@ -48,7 +48,7 @@ def windows(names, size):
 
 
 def _powers(size):
-    if _POWERS.get("size", 0) < size:
+    if "up" not in _POWERS or _POWERS["size"] < size:
         ones = np.ones(size + 1, dtype=np.uint64)
         up, down = ones.copy(), ones.copy()
         up[1:], down[1:] = _BASE, _BACK

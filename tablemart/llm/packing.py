@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Window, functions as F
 
 from tablemart.llm.encoder import encoder
-from tablemart.llm.tables import doc_rows
+from tablemart.llm.tables import doc_rows, ids_as_numbers, ids_as_text
 from tablemart.operators.ranking import number_rows
 from tablemart.storage import via_table
 
@@ -16,7 +16,7 @@ CAPACITY = 2048
 SMALL = 1 / 8
 GROUPS = 64
 BATCH = 512
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECE = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
 def _pieces(path, end_id, capacity):
@@ -48,7 +48,7 @@ def token_pieces(documents, path, end_id=0, capacity=CAPACITY):
     Null texts are empty: one piece with the end id alone. Only documents longer than `capacity` are
     cut; the first piece takes the remainder, all others are full.
     """
-    return doc_rows(documents).mapInPandas(_pieces(path, end_id, capacity), PIECE)
+    return ids_as_numbers(ids_as_text(doc_rows(documents)).mapInPandas(_pieces(path, end_id, capacity), PIECE))
 
 
 class _Plan:
@@ -205,7 +205,7 @@ def pack_pieces(pieces, capacity=CAPACITY):
     amounts = np.array([counts.get(v, 0) for v in range(capacity + 1)], dtype=np.int64)
     before = np.cumsum(amounts[::-1])[::-1] - amounts
     numbered = number_rows(pieces, (F.desc("length"), "doc_id", "piece", "start"), "number")
-    seated = numbered.mapInPandas(_seats(runs, before), PIECE + ", sequence_id long")
+    seated = ids_as_numbers(ids_as_text(numbered).mapInPandas(_seats(runs, before), PIECE + ", sequence_id long"))
     earlier = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "piece").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -5,11 +5,13 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tablemart.llm.hashing import SEPARATOR, word_names
-from tablemart.llm.tables import doc_rows
+from tablemart.llm.tables import doc_rows, ids_as_numbers, ids_as_text
 
 FEATURES = 1 << 18
-#: The classifier is fitted on at most so many labelled rows, those with the smallest hash of doc_id.
+#: The classifier is fitted on at most so many labelled rows, those with the smallest hash of doc_id,
+#: and on so many bytes of text of them.
 SAMPLE = 4000
+SAMPLE_BYTES = 64 << 20
 SMOOTHING = 1.0
 PENALTY = 1.0
 EPOCHS = 30
@@ -100,7 +102,11 @@ def held_out(key):
 
 
 def train(documents, labels, target="quality", sample=SAMPLE):
-    """Fit on at most `sample` labelled rows outside the held-out third: weights, ratios, bias."""
+    """Fit on at most `sample` labelled rows outside the held-out third: weights, ratios, bias.
+
+    Equal texts of one doc_id teach once. Rows are chosen by narrow rows alone (id, hash and size of
+    the text), whole texts only up to SAMPLE_BYTES.
+    """
     known = labels.filter(F.col(target).isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")
     ).agg(F.max(F.col(target).cast("int")).alias("label")).filter("doc_id is not null")
@@ -113,7 +119,14 @@ def train(documents, labels, target="quality", sample=SAMPLE):
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "slots": slots})
 
     # At most `sample` rows of two numbers: a proven bound for the broadcast.
-    rows = documents.join(F.broadcast(chosen), "doc_id").mapInPandas(read, "doc_id long, label int, slots binary")
+    marked = documents.withColumn("mark", F.xxhash64("text")).join(F.broadcast(chosen), "doc_id")
+    narrow = marked.select("doc_id", "label", "mark", F.octet_length("text").cast("long").alias("size")).distinct()
+    narrow = narrow.orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(sample).collect()
+    sums = np.cumsum([r["size"] for r in narrow])
+    narrow = [(r["doc_id"], r["mark"]) for r, total in zip(narrow, sums) if total <= SAMPLE_BYTES]
+    wanted = F.broadcast(documents.sparkSession.createDataFrame(narrow, "doc_id long, mark long"))
+    rows = marked.join(wanted, ["doc_id", "mark"]).select("doc_id", "label", "text")
+    rows = rows.mapInPandas(read, "doc_id long, label int, slots binary").dropDuplicates()
     rows = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["slots"]))
     return fit([r["label"] for r in rows], [np.frombuffer(r["slots"], dtype="<u4").astype(np.int64) for r in rows])
 
@@ -143,6 +156,7 @@ def score_quality(documents, labels, target="quality", sample=SAMPLE):
                 "predicted": (values >= 0.5).astype(np.int32),
             })
 
-    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInPandas(
-        score, "doc_id long, held_out boolean, score double, predicted int"
-    )
+    marked = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    return ids_as_numbers(ids_as_text(marked).mapInPandas(
+        score, "doc_id string, held_out boolean, score double, predicted int"
+    ))

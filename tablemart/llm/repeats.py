@@ -63,8 +63,10 @@ def _repeated(units, buckets, answer):
 
 def _table(block, rows, counts):
     """The documents of a message: id, hash of text, row, number of names."""
-    head = np.array([len(rows)], dtype=np.int64)
-    return head.tobytes() + np.stack([block.keys[rows], block.marks[rows], rows, counts]).astype(np.int64).tobytes()
+    columns = [block.keys[rows], block.marks[rows], rows, counts]
+    # Floats among them would round large ids.
+    assert all(c.dtype.kind == "i" for c in columns)
+    return np.array([len(rows)], dtype=np.int64).tobytes() + np.stack(columns).astype(np.int64).tobytes()
 
 
 def _text_names(block):
@@ -87,7 +89,7 @@ def _ask_copies(buckets):
         names, first, _, turn, cuts = _copy_order(block, buckets)
         for bucket in np.flatnonzero(np.diff(cuts)):
             rows = first[turn[cuts[bucket] : cuts[bucket + 1]]]
-            yield int(bucket), _table(block, rows, np.ones(len(rows))) + names[rows].tobytes()
+            yield int(bucket), _table(block, rows, np.ones(len(rows), dtype=np.int64)) + names[rows].tobytes()
 
     return question
 
@@ -182,9 +184,9 @@ def _finish(kind, buckets, within, with_text):
     def finish(batches):
         for batch in batches:
             for r in batch.itertuples():
-                copied, samples, earlier = [answers_of(r, f"answer{n}") for n in range(3)]
+                found_copies, samples, earlier = [answers_of(r, f"answer{n}") for n in range(3)]
                 every = Block.unpacked(r.blob)
-                copies = _copies(every, buckets, copied)
+                copies = _copies(every, buckets, found_copies)
                 block = every.part(~copies)
                 windows = Windows(kind(block), buckets, samples)
                 units, found = windows.units, np.zeros(len(windows.order), dtype=bool)
@@ -210,14 +212,15 @@ def _finish(kind, buckets, within, with_text):
                         hashlib.sha256(kept).hexdigest(), kept if with_text else None,
                         block.extras[n].decode() if with_text else None,
                     ))
-                for n in np.flatnonzero(copies).tolist():
-                    alone = kind(every.part(np.arange(len(copies)) == n))
-                    size = len(alone.owner)
-                    kept = alone.whole(0) if size < alone.window else b""
+                copied = every.part(copies)
+                units = kind(copied)
+                low = np.searchsorted(units.owner, np.arange(len(copied.keys) + 1))
+                for n, size in enumerate(np.diff(low).tolist()):
+                    kept = units.whole(n) if size < units.window else b""
                     rows.append((
-                        int(every.keys[n]) if every.known[n] else None, size, size if size >= alone.window else 0,
-                        int(size >= alone.window), hashlib.sha256(kept).hexdigest(), kept if with_text else None,
-                        every.extras[n].decode() if with_text else None,
+                        int(copied.keys[n]) if copied.known[n] else None, size, size if size >= units.window else 0,
+                        int(size >= units.window), hashlib.sha256(kept).hexdigest(), kept if with_text else None,
+                        copied.extras[n].decode() if with_text else None,
                     ))
                 ids, *others = zip(*rows)
                 names = [c.split()[0] for c in RESULT.split(", ")]

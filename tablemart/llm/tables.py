@@ -17,6 +17,15 @@ def doc_rows(documents):
     )
 
 
+def ids_as_text(rows):
+    """doc_id as text: pandas would turn whole numbers beside a null into rounded floats."""
+    return rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
+def ids_as_numbers(rows):
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def word_count(text):
     """Number of words of a text column, 0 for null: words start where the six separators end.
 

@@ -4,11 +4,13 @@ import pandas as pd
 from pyspark.sql import Window, functions as F
 
 from tablemart.llm.encoder import CUT, encoder
-from tablemart.llm.tables import doc_rows
+from tablemart.llm.tables import blocks_for, doc_rows, ids_as_numbers, ids_as_text
 from tablemart.storage import via_table
 
 CHUNK = 65_536
 OVERLAP = 512
+#: Tasks that encode chunks: one for each CHUNKS of them, and at least CHUNK_TASKS.
+CHUNKS, CHUNK_TASKS = 64, 64
 BATCH = 512
 NAMES = ["start", "last", "tokens", "head", "tail"]
 KEY = ["doc_id", "n_bytes", "mark"]
@@ -85,11 +87,13 @@ def _spliced(huge, path, step, overlap):
     """doc_id, n_bytes, n_tokens of texts longer than `step`; n_tokens is null where a seam has no
     common boundary or the boundaries behind it differ."""
     chunks = huge.mapInPandas(
-        _chunks(step, overlap), "doc_id long, n_bytes long, mark long, start long, last boolean, chunk string"
+        _chunks(step, overlap), "doc_id string, n_bytes long, mark long, start long, last boolean, chunk string"
     )
-    encoded = chunks.repartition("doc_id", "start").mapInPandas(
+    # By a stated number, as chunks are few in bytes and dear to encode.
+    spread = max(CHUNK_TASKS, blocks_for(huge.agg(F.sum(F.length("text").cast("long"))).first()[0], CHUNKS * step))
+    encoded = chunks.repartition(spread, "doc_id", "start").mapInPandas(
         _encode_chunks(path, step, overlap),
-        f"doc_id long, n_bytes long, mark long, start long, last boolean, tokens long, head {SEEN}, tail {SEEN}",
+        f"doc_id string, n_bytes long, mark long, start long, last boolean, tokens long, head {SEEN}, tail {SEEN}",
     )
     order = Window.partitionBy(*KEY, "copy").orderBy("start")
     encoded = via_table(encoded, "chunks").withColumn(
@@ -125,9 +129,9 @@ def count_tokens(documents, path, limit=1024, step=CHUNK, overlap=OVERLAP):
     behind it must be the same. Where a seam fails, the text is cut again with an overlap twice as
     wide, at last in one piece.
     """
-    rows = doc_rows(documents).withColumn("n_bytes", F.octet_length("text").cast("long"))
+    rows = ids_as_text(doc_rows(documents)).withColumn("n_bytes", F.octet_length("text").cast("long"))
     rows = rows.withColumn("mark", F.xxhash64("text"))
-    schema = "doc_id long, n_bytes long, n_tokens long"
+    schema = "doc_id string, n_bytes long, n_tokens long"
     small = rows.filter(F.length("text") <= step).mapInPandas(_count_whole(path), schema)
     huge = rows.filter(F.length("text") > step)
     done = []
@@ -144,4 +148,4 @@ def count_tokens(documents, path, limit=1024, step=CHUNK, overlap=OVERLAP):
     counts = small
     for part in done:
         counts = counts.unionByName(part)
-    return counts.withColumn("over_limit", F.col("n_tokens") > limit)
+    return ids_as_numbers(counts).withColumn("over_limit", F.col("n_tokens") > limit)

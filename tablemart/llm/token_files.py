@@ -1,7 +1,6 @@
 """Token ids in shards of separately compressed documents with one trained dictionary."""
 
 import hashlib
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -9,7 +8,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from tablemart.llm.encoder import encoder
-from tablemart.llm.tables import blocks_for, doc_rows
+from tablemart.llm.tables import blocks_for, doc_rows, ids_as_numbers, ids_as_text
 from tablemart.storage import shared_folder, via_table
 
 #: Training sample: so many documents with the smallest hash of their id, so many ids of each.
@@ -48,9 +47,10 @@ def train_dictionary(documents, path, end_id):
 
     ids = documents.select("doc_id").filter("doc_id is not null").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
-    # SAMPLE_DOCUMENTS ids: a proven bound for the broadcast. Rows of a repeated id are all taken.
-    chosen = documents.join(F.broadcast(ids), "doc_id", "left_semi")
-    samples = sorted(r["ids"] for r in chosen.mapInPandas(sample, "ids binary").collect())[:SAMPLE_DOCUMENTS]
+    # SAMPLE_DOCUMENTS ids: a proven bound for the broadcast. Of the rows of repeated ids, each task
+    # and the driver keep SAMPLE_DOCUMENTS, those with the smallest hash.
+    chosen = documents.join(F.broadcast(ids), "doc_id", "left_semi").mapInPandas(sample, "ids binary")
+    samples = sorted(r["ids"] for r in chosen.orderBy(F.xxhash64("ids"), "ids").limit(SAMPLE_DOCUMENTS).collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -87,7 +87,7 @@ def _shards(mark):
                     if held:
                         yield close()
                     part, shard, before, held, weight = now, 0, 0, [], 0
-                held.append((None if pd.isna(doc) else int(doc), size, frame))
+                held.append((None if doc is None else int(doc), size, frame))
                 weight += len(frame)
                 if weight >= SHARD_BYTES:
                     yield close()
@@ -124,10 +124,12 @@ def write_token_files(documents, tokenizer, folder, end_id=1):
     bounds = rows.agg(F.percentile_approx("doc_id", ranks, 100 * parts).alias("b")).first()["b"] or []
     bounds = F.lit(sorted(set(bounds))).cast("array<bigint>")
     part = F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col("doc_id"))), F.lit(0))
-    framed = rows.withColumn("part", part).withColumn("mark", F.xxhash64("text")).mapInPandas(
-        _frames(tokenizer, end_id, dictionary), "part int, doc_id long, mark long, size long, frame binary"
+    framed = ids_as_text(rows.withColumn("part", part).withColumn("mark", F.xxhash64("text"))).mapInPandas(
+        _frames(tokenizer, end_id, dictionary), "part int, doc_id string, mark long, size long, frame binary"
+    )
+    ranged = framed.repartitionById(parts, F.col("part")).sortWithinPartitions(
+        "part", F.col("doc_id").cast("long"), "mark"
     )
-    ranged = framed.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", "mark")
     ranged.mapInPandas(_shards(mark), SHARD).write.option("compression", "uncompressed").parquet(f"{folder}/shards")
 
 
@@ -141,8 +143,7 @@ def _reader(dictionary_hash, dictionary):
                 starts = r.base + r.before + np.cumsum(r.sizes) - r.sizes
                 ids = [unpacker.decompress(r.frames[a:b]) for a, b in zip(r.offsets, r.offsets[1:])]
                 yield pd.DataFrame({
-                    "doc_id": pd.array([None if pd.isna(d) else int(d) for d in r.doc_ids], dtype="Int64"),
-                    "start": starts, "n_tokens": [len(i) // 4 for i in ids], "ids": ids,
+                    "doc_id": r.doc_ids, "start": starts, "n_tokens": [len(i) // 4 for i in ids], "ids": ids,
                 })
 
     return read
@@ -159,22 +160,15 @@ def read_token_files(spark, folder):
     bases = np.cumsum([0, *[sums[p] for p in parts]])[:-1].tolist()
     table = spark.createDataFrame(list(zip(parts, bases)), "part int, base long")
     placed = shards.join(via_table(table, "bases"), "part")
-    return placed.mapInPandas(
+    return ids_as_numbers(placed.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(
         _reader(head["dictionary_hash"], bytes(head["dictionary"])),
-        "doc_id long, start long, n_tokens long, ids binary",
-    )
+        "doc_id string, start long, n_tokens long, ids binary",
+    ))
 
 
 def digest_token_files(spark, folder):
     """doc_id, start, n_tokens, ids_crc32 of every document in the files."""
-    placed = read_token_files(spark, folder)
-
-    def digest(batches):
-        for batch in batches:
-            batch["ids_crc32"] = [zlib.crc32(i) for i in batch.pop("ids")]
-            yield batch
-
-    return placed.mapInPandas(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_token_files(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def token_file_digest(documents, tokenizer, end_id=1, folder=None):
