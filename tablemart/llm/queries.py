@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from tablemart.llm.decontaminate import decontaminate
 from tablemart.llm.jaccard_join import ngram_components
 from tablemart.llm.mixing import mix_sources, mix_sql
 from tablemart.llm.near_vectors import near_duplicate_vectors
@@ -90,3 +91,40 @@ def op2_substring_dedup(spark, folder):
 @query()
 def op7_ngram_jaccard_join(spark, folder):
     return ngram_components(read(spark, folder, "documents"))
+
+
+@query(r"""
+WITH item_words AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item, least(10, len(words)) AS size,
+         array_to_string(words[low : low + least(10, len(words)) - 1], ' ') AS name
+  FROM (SELECT item, words, unnest(generate_series(1, greatest(1, len(words) - 9))) AS low FROM item_words WHERE len(words) > 0)),
+doc_words AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+  SELECT row_id, low, size, array_to_string(words[low : low + size - 1], ' ') AS name
+  FROM (SELECT row_id, words, size, unnest(generate_series(1, len(words) - size + 1)) AS low
+        FROM doc_words, sizes WHERE len(words) >= size)),
+met AS (SELECT d.row_id, d.low, d.size, i.item FROM doc_windows d JOIN item_windows i ON d.size = i.size AND d.name = i.name),
+hits AS (
+  SELECT row_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT row_id, unnest(generate_series(low, low + size - 1)) AS word FROM (SELECT DISTINCT row_id, low, size FROM met))
+  GROUP BY row_id),
+items AS (
+  SELECT row_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT row_id, item FROM met) GROUP BY row_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits USING (row_id) LEFT JOIN items USING (row_id)
+""")
+def op11_benchmark_decontamination(spark, folder):
+    return decontaminate(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
