@@ -8,6 +8,8 @@ together: each lane has its own stretch of it.
 
 import numpy as np
 
+from tablemart.llm.arrays import spread
+
 #: Lengths that share one table: short patterns would shorten the shifts of long ones.
 CLASSES = (1, 4, 8, 16, 32)
 LANE = 512
@@ -25,13 +27,6 @@ def _mask(size):
     return np.uint64((1 << 8 * min(size, 8)) - 1)
 
 
-def spread(lows, counts):
-    """For each of the ranges [low, low + count): the index of its range, and its members."""
-    which = np.repeat(np.arange(len(counts)), counts)
-    ends = np.cumsum(counts)
-    return which, np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts) + np.repeat(lows, counts)
-
-
 class _Table:
     """Shifts and buckets of the patterns of one class."""
 

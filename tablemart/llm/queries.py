@@ -9,6 +9,7 @@ from tablemart.llm.mixing import mix_sources, mix_sql
 from tablemart.llm.near_vectors import near_duplicate_vectors
 from tablemart.llm.packing import pack_documents
 from tablemart.llm.quality import score_quality
+from tablemart.llm.runs import periodic_documents, run_digest
 from tablemart.llm.substring_dedup import remove_repeated_words
 from tablemart.llm.suffix_dedup import remove_repeated_bytes
 from tablemart.llm.tables import read
@@ -128,3 +129,8 @@ FROM doc_words LEFT JOIN hits USING (row_id) LEFT JOIN items USING (row_id)
 """)
 def op11_benchmark_decontamination(spark, folder):
     return decontaminate(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query()
+def op12_periodic_runs(spark, folder):
+    return run_digest(periodic_documents(read(spark, folder, "documents")))
