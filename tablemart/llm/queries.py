@@ -8,6 +8,7 @@ from tablemart.llm.jaccard_join import ngram_components
 from tablemart.llm.mixing import mix_sources, mix_sql
 from tablemart.llm.near_vectors import near_duplicate_vectors
 from tablemart.llm.packing import pack_documents
+from tablemart.llm.prefix_trie import conversation_trie
 from tablemart.llm.quality import score_quality
 from tablemart.llm.runs import periodic_documents, run_digest
 from tablemart.llm.substring_dedup import remove_repeated_words
@@ -134,3 +135,48 @@ def op11_benchmark_decontamination(spark, folder):
 @query()
 def op12_periodic_runs(spark, folder):
     return run_digest(periodic_documents(read(spark, folder, "documents")))
+
+
+@query("""
+WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (
+  SELECT c, list_transform(generate_series(0, 8 * length(CAST(c AS VARCHAR)) - 1),
+    lambda i: (ascii(substr(CAST(c AS VARCHAR), CAST(i // 8 + 1 AS BIGINT), 1)) >> CAST(i % 8 AS INTEGER)) & 1) AS bits FROM ids),
+heads AS (
+  SELECT c, c - c % 100 AS base,
+    xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(bits, lambda b: CAST(b AS BIGINT))),
+        lambda x, y: xor(x >> 1, CASE WHEN xor(x, y) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 6 AS h FROM bits),
+turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name, length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL),
+rebuilt AS (
+  SELECT h.c, t.place, t.name, t.chars FROM heads h JOIN turns t ON t.c = h.base AND t.place <= h.h
+  UNION ALL SELECT h.c, t.place + 1000000, t.name, t.chars FROM heads h JOIN turns t ON t.c = h.c AND t.place > h.h),
+paths AS (
+  SELECT h.c, coalesce(list(r.name ORDER BY place) FILTER (r.name IS NOT NULL), []) AS names,
+    coalesce(list(r.chars ORDER BY place) FILTER (r.name IS NOT NULL), []) AS sizes
+  FROM heads h LEFT JOIN rebuilt r ON r.c = h.c GROUP BY h.c),
+members AS (
+  SELECT c, d, sha256(array_to_string(names[1:d], ',')) AS node, d = len(names) AS ends,
+    CASE WHEN d > 0 THEN sha256(array_to_string(names[1:d - 1], ',')) END AS parent, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS chars
+  FROM (SELECT *, unnest(generate_series(0, len(names))) AS d FROM paths)),
+nodes AS (
+  SELECT node, d, any_value(parent) AS parent, any_value(chars) AS chars, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY node, d),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent),
+below AS (
+  SELECT a.node AS top, a.d AS top_d, n.node, n.d, n.n_convs, n.chars, c.n_children
+  FROM nodes n JOIN members m ON m.c = n.conv_id AND m.d <= n.d JOIN nodes a ON a.node = m.node AND a.d = m.d
+  LEFT JOIN children c ON c.node = n.node),
+sums AS (
+  SELECT top, top_d, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+  FROM below GROUP BY top, top_d)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.parent AND p.d = n.d - 1 LEFT JOIN children c ON c.node = n.node
+JOIN sums s ON s.top = n.node AND s.top_d = n.d
+""")
+def op13_conversation_trie(spark, folder):
+    return conversation_trie(read(spark, folder, "conversations"), block=100, heads=6)
