@@ -225,11 +225,21 @@ CDC_TABLES = {
 LEDGER = (
     "event_id string, event_sequence bigint, source_system string, source_table string,"
     " record_id bigint, operation string, captured_at timestamp, payload_json string,"
-    " event_hash string"
+    " event_hash string, event_json string"
+)
+EVENT_INDEX = "source_system string, event_id string, event_hash string"
+LOAN_TOTALS = (
+    "source_system string, loan_id bigint, transaction_count bigint, repaid_amount decimal(22,2),"
+    " disbursed_amount decimal(22,2)"
 )
 QUARANTINE = "rejection_id string, source_file string, raw_json string, reason string"
 
 
+def portfolio_schema():
+    """Columns of the portfolio: a current loan and the totals of its transactions."""
+    return state_schema("loans") + ", " + LOAN_TOTALS.split(", ", 2)[2]
+
+
 def state_schema(name):
     """Columns of the latest-state table of one captured table."""
     return (

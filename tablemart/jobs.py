@@ -1,4 +1,4 @@
-"""The three jobs: trip lake, change-data lake and fail-fast change-data refresh.
+"""The trip job; the change-data jobs are in `change_lake` and can be called from here too.
 
 A job writes a stage as Parquet and the next stage reads those files, so a lost executor costs
 the tasks it ran and nothing is kept in executor memory between stages.
@@ -7,30 +7,25 @@ the tasks it ran and nothing is kept in executor memory between stages.
 from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tablemart.contracts import (
-    CDC_TABLES,
-    DEFAULT_SOURCE,
-    LEDGER,
-    PUBLISHED_FIELDS,
-    QUARANTINE,
-    RAW_ENVELOPE,
-    TABLES,
-    state_schema,
+from tablemart.change_lake import (  # noqa: F401
+    RefreshError,
+    cdc_lake,
+    cdc_refresh,
+    ledger,
+    loan_portfolio,
+    quarantine,
+    state,
 )
+from tablemart.contracts import PUBLISHED_FIELDS, RAW_ENVELOPE, TABLES
 from tablemart.operators.latest import consolidate
-from tablemart.operators.merge import absent_rows
-from tablemart.plans import cdc, quality, trips
+from tablemart.plans import quality, trips
 from tablemart.plans.enrichment import area_dimension, area_demand, enriched_trips, weather_demand, weather_dimension
-from tablemart.plans.event_decode import decode_events
 from tablemart.plans.marts import trip_marts
 from tablemart.plans.naming import published, published_name
 from tablemart.sinks import snapshots
 from tablemart.sinks.tables import write_new, write_partitioned
-from tablemart.sources.files import read_lines
-from tablemart.storage import via_table
 
 BRONZE = ("taxi_trip_raw", "community_area_raw", "weather_hour_raw")
 
@@ -94,7 +89,7 @@ def trip_lake(spark, root, incoming, run_id=None, contracts=TABLES):
     snapshots.record_run(spark, root, run_id, "running", started)
     try:
         bronze, stored = {}, {}
-        previous_run = snapshots.current_run(spark, root)
+        version, previous_run = snapshots.current_version(spark, root), snapshots.current_run(spark, root)
         for name in BRONZE:
             table = f"bronze.{name}"
             previous = None
@@ -122,158 +117,9 @@ def trip_lake(spark, root, incoming, run_id=None, contracts=TABLES):
             bronze["taxi_trip_raw"], stored["silver.fact_taxi_trip"], stored["silver.quarantine_taxi_trip"]
         ).first().asDict()
         snapshots.write_manifest(spark, root, run_id, snapshots.table_metadata(stored, contracts))
-        snapshots.publish(spark, root, run_id, _now(), stored)
+        snapshots.publish(spark, root, run_id, _now(), stored, version)
         snapshots.record_run(spark, root, run_id, "success", started, _now(), summary["bronze_trips"])
         return {"run_id": run_id, **summary}
     except Exception as error:
         snapshots.record_run(spark, root, run_id, "failed", started, _now(), error=str(error))
         raise
-
-
-# --- change data ------------------------------------------------------------------------
-
-
-def _stored(spark, path, schema):
-    """An append-only Parquet table, empty before its first write."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def ledger(spark, root):
-    return _stored(spark, f"{root}/event_ledger", LEDGER)
-
-
-def quarantine(spark, root):
-    return _stored(spark, f"{root}/quarantine", QUARANTINE)
-
-
-def state(spark, root, table):
-    found = snapshots.read_current(spark, f"{root}/{table}_state", "data")
-    return spark.createDataFrame([], state_schema(table)) if found is None else found
-
-
-def loan_portfolio(spark, root):
-    return snapshots.read_current(spark, f"{root}/loan_portfolio", "data")
-
-
-def _swap(spark, root, name, frame, run_id):
-    """Write a table's new content beside the old one, then select it."""
-    place = f"{root}/{name}"
-    write_new(frame, snapshots.table_folder(place, run_id, "data"))
-    snapshots.publish(spark, place, run_id, _now(), [name])
-
-
-def cdc_lake(spark, raw, root, source=DEFAULT_SOURCE, scope="history", run_id=None):
-    """One batch of raw documents (value, source_file) into ledger, states and portfolio.
-
-    Invalid documents go to the quarantine and the rest continues. Each table commits on its
-    own; a run that stopped between two commits is repaired by running again.
-
-    `scope="history"` gates and folds the whole ledger. `scope="touched"` does so for the
-    records of this batch only, which is enough when every earlier batch ran to its end.
-    """
-    run_id = run_id or _run_id()
-    decoded = via_table(decode_events(raw, source), "decoded")
-    counts = cdc.input_counts(decoded).first()
-    report = {"input": counts["input"], "quarantined": counts["invalid"]}
-    if counts["invalid"]:
-        fresh = absent_rows(quarantine(spark, root), cdc.rejected_rows(decoded), ["rejection_id"])
-        fresh.write.mode("append").parquet(f"{root}/quarantine")
-    events = cdc.valid_events(decoded)
-    known = ledger(spark, root)
-    history = known if scope == "history" else cdc.touched_history(known, events)
-    cdc.require_consistent(events.unionByName(history))
-    report["valid_unique"] = events.select(*cdc.EVENT_KEY).distinct().count()
-    if report["valid_unique"]:
-        fresh = cdc.new_ledger_rows(known, events)
-        write_partitioned(fresh, f"{root}/event_ledger", ["source_table"], mode="append")
-        known = ledger(spark, root)
-        scoped = known if scope == "history" else known.join(
-            events.select(*cdc.RECORD_KEY).distinct(), cdc.RECORD_KEY, "left_semi"
-        )
-        for table in CDC_TABLES:
-            _fold_state(spark, root, table, scoped, run_id)
-    loans = cdc.current(state(spark, root, "loans"))
-    transactions = cdc.current(state(spark, root, "loan_transactions"))
-    _swap(spark, root, "loan_portfolio", cdc.portfolio(loans, transactions), run_id)
-    report["ledger_events"] = ledger(spark, root).count()
-    report["current_loans"] = loans.count()
-    report["current_transactions"] = transactions.count()
-    report["orphan_transactions"] = cdc.orphan_count(transactions, loans).first()[0]
-    return report
-
-
-def _fold_state(spark, root, table, history, run_id):
-    """Fold the history and merge it. The merge names the fold several times, so it is stored
-    first; its real size then also decides whether it is broadcast."""
-    folded = via_table(cdc.fold(history, table), "fold")
-    merged = cdc.merge_state(state(spark, root, table), folded, table)
-    _swap(spark, root, f"{table}_state", merged, run_id)
-
-
-class RefreshError(ValueError):
-    """The fail-fast refresh refused its input."""
-
-
-REFRESH_LEDGER = (
-    "source_system string, event_id string, event_sequence bigint, source_table string,"
-    " operation string, event_json string"
-)
-
-
-def refresh_ledger(spark, root):
-    return _stored(spark, f"{root}/refresh_ledger", REFRESH_LEDGER)
-
-
-def cdc_refresh(spark, path, root, source=DEFAULT_SOURCE, apply=False, run_id=None):
-    """Fail-fast refresh from line-per-event files.
-
-    Any invalid event, conflict or orphan stops the run before the first write. Without
-    `apply` it only validates. The ledger stands apart from that of cdc_lake, whose rows have other
-    columns.
-    """
-    run_id = run_id or _run_id()
-    raw, known = read_lines(spark, path), refresh_ledger(spark, root)
-    tagged = known.select("event_json", F.lit(True).alias("in_ledger")).unionByName(
-        raw.select("event_json", F.lit(False).alias("in_ledger"))
-    )
-    decoded = via_table(decode_events(tagged, source, "event_json"), "refresh")
-    bad = decoded.filter(F.col("error").isNotNull()).select("in_ledger", "error").first()
-    if bad:
-        raise RefreshError(f"{'ledger' if bad['in_ledger'] else 'raw'} event refused: {bad['error']}")
-    if not cdc.ledger_mismatches(known, decoded.filter("in_ledger")).isEmpty():
-        raise RefreshError("a ledger row disagrees with its own event")
-    conflict = cdc.raw_conflicts(decoded).first()
-    if conflict:
-        raise RefreshError(f"{conflict['conflict']}: {conflict['subject']}")
-    repeated = known.groupBy(*cdc.EVENT_KEY).count().filter("count > 1").first()
-    if repeated:
-        raise RefreshError(f"event stored twice: {repeated['event_id']}")
-    history = via_table(cdc.one_per_event(decoded), "history")
-    events = cdc.valid_events(history)
-    expected = cdc.expected_counts(events).first().asDict()
-    if not expected["ledger_events"]:
-        raise RefreshError("neither raw rows nor ledger rows")
-    if expected["orphan_transactions"]:
-        raise RefreshError("current transactions without a current loan")
-    additions = absent_rows(known, history.filter(~F.col("in_ledger")), cdc.EVENT_KEY).select(*known.columns)
-    report = {"status": "validated", "raw_rows": raw.count(), "new_events": additions.count(), "expected": expected}
-    if not apply:
-        return report
-    if report["new_events"]:
-        write_partitioned(additions, f"{root}/refresh_ledger", ["source_table"], mode="append")
-    for table in CDC_TABLES:
-        _fold_state(spark, root, table, events, run_id)
-    loans, transactions = state(spark, root, "loans"), state(spark, root, "loan_transactions")
-    mart = cdc.portfolio(cdc.current(loans), cdc.current(transactions))
-    _swap(spark, root, "loan_portfolio", mart, run_id)
-    actual = cdc.reconcile(
-        refresh_ledger(spark, root), loans, transactions, loan_portfolio(spark, root)
-    ).first().asDict()
-    if actual != expected:
-        raise RefreshError(f"tables do not reconcile: {actual} instead of {expected}")
-    return {**report, "status": "refreshed", "actual": actual}

@@ -39,11 +39,12 @@ def rejected_rows(decoded):
     )
 
 
-def valid_events(decoded):
-    """Ledger columns of the valid rows."""
+def valid_events(decoded, text=None):
+    """Ledger columns of the valid rows; with `text`, the column that holds the event as it came."""
+    whole = [F.col(text).alias("event_json")] if text else []
     return decoded.filter(F.col("error").isNull()).select(
         "event_id", "event_sequence", "source_system", "source_table", "record_id", "operation",
-        F.col("captured_at").cast("timestamp").alias("captured_at"), "payload_json", "event_hash",
+        F.col("captured_at").cast("timestamp").alias("captured_at"), "payload_json", "event_hash", *whole,
     )
 
 
@@ -56,34 +57,102 @@ def one_per_event(events):
 # --- conflict gates ---------------------------------------------------------------------
 
 
+def _identity(kind, subject, sequence, content):
+    return F.struct(
+        F.lit(kind).alias("conflict"), F.col("source_system").alias("source_system"), subject.alias("subject"),
+        sequence.alias(SEQUENCE), content.alias("content"),
+    )
+
+
+def _event():
+    return _identity("event", F.col("event_id"), F.lit(None).cast("bigint"), F.col("event_hash"))
+
+
+def _record():
+    record = F.concat_ws("/", F.col("source_table"), F.col("record_id").cast("string"))
+    return _identity("sequence", record, F.col(SEQUENCE), F.col("event_hash"))
+
+
+def event_identities(rows):
+    """An event id and its content."""
+    return rows.select(_event().alias("_identity")).select("_identity.*")
+
+
+def record_identities(rows):
+    """A sequence of one record and its content."""
+    return rows.select(_record().alias("_identity")).select("_identity.*")
+
+
+def identities(events):
+    """Both identities of every event, from one read of it."""
+    return events.select(F.explode(F.array(_event(), _record())).alias("_identity")).select("_identity.*")
+
+
+def disagreeing(rows):
+    """Identities that occur with different content: one aggregate for both kinds."""
+    return conflicting_groups(rows, ["conflict", "source_system", "subject", SEQUENCE], "content")
+
+
 def content_conflicts(events):
     """Event ids, and sequences of one record, that occur with different content."""
-    by_event = conflicting_groups(events, EVENT_KEY, "event_hash").select(
-        F.lit("event").alias("conflict"), "source_system",
-        F.col("event_id").alias("subject"), F.lit(None).cast("bigint").alias(SEQUENCE),
-    )
-    by_sequence = conflicting_groups(events, [*RECORD_KEY, SEQUENCE], "event_hash").select(
-        F.lit("sequence").alias("conflict"), "source_system",
-        F.concat_ws("/", "source_table", F.col("record_id").cast("string")).alias("subject"),
-        SEQUENCE,
-    )
-    return by_event.unionByName(by_sequence)
+    return disagreeing(identities(events))
 
 
-def touched_history(ledger, events):
-    """Ledger rows that share an event id or a record with the batch.
+def require_consistent(rows):
+    """Refuse identity rows that disagree; the error names the first of them."""
+    found = disagreeing(rows).orderBy("conflict", "source_system", "subject", SEQUENCE).limit(5).collect()
+    if found:
+        named = "; ".join(
+            f"{r['conflict']} {r['source_system']}/{r['subject']}" + (f" at {r[SEQUENCE]}" if r[SEQUENCE] is not None else "")
+            for r in found
+        )
+        raise ConflictError(f"occurs with different content, states are unchanged: {named}")
 
-    A ledger only ever grows by gated batches, so these are the only rows a new conflict or a
-    new latest state can involve.
-    """
-    same_event = ledger.join(events.select(*EVENT_KEY).distinct(), EVENT_KEY, "left_semi")
-    same_record = ledger.join(events.select(*RECORD_KEY).distinct(), RECORD_KEY, "left_semi")
-    return same_event.unionByName(same_record)
 
+# --- the fail-fast gate -----------------------------------------------------------------
+
+LEDGER_COLUMNS = ("source_system", "event_id", SEQUENCE, "source_table", "operation")
 
-def require_consistent(events):
-    if not content_conflicts(events).isEmpty():
-        raise ConflictError("an event id or a record sequence occurs with different content; states are unchanged")
+
+def refusals(decoded):
+    """Why a fail-fast refresh would refuse its rows: (place, reason, in_ledger, subject).
+
+    decoded: raw and ledger rows together, with `in_ledger`, `event_json` and, for ledger rows, their
+    stored columns as the struct `stored`, carried through the decode and compared in the row. Event
+    ids (with different bytes, or twice in the ledger) and sequences (of one source, for different
+    events) come from one aggregate. `place` is the order in which reasons count.
+    """
+    own = F.struct(*[F.col(c) for c in LEDGER_COLUMNS])
+    row = F.when(F.col("error").isNotNull(), F.struct(F.lit(1).alias("place"), F.col("error").alias("reason"))).when(
+        F.col("in_ledger") & ~F.col("stored").eqNullSafe(own),
+        F.struct(F.lit(2).alias("place"), F.lit("ledger row disagrees with its own event").alias("reason")),
+    )
+    rows = decoded.select(row.alias("_row"), "in_ledger", F.col("event_id").alias("subject")).filter("_row IS NOT NULL")
+    rows = rows.select("_row.place", "_row.reason", "in_ledger", "subject")
+
+    def identity(kind, subject, content):
+        return F.struct(
+            F.lit(kind).alias("kind"), F.col("source_system").alias("source_system"),
+            F.col(subject).cast("string").alias("subject"), F.col(content).alias("content"),
+            (F.col("in_ledger") & F.lit(kind == "event")).alias("in_ledger"),
+        )
+
+    both = decoded.filter("error IS NULL").select(
+        F.explode(F.array(identity("event", "event_id", "event_json"), identity("sequence", SEQUENCE, "event_id"))).alias("_i")
+    ).select("_i.*")
+    marks = [F.xxhash64("content", F.lit(seed)) for seed in (0, 1)]
+    groups = both.groupBy("kind", "source_system", "subject").agg(
+        *[f(m).alias(f"_{f.__name__}{n}") for n, m in enumerate(marks) for f in (F.min, F.max)],
+        F.count_if("in_ledger").alias("_stored"),
+    )
+    differs = F.expr("_min0 <> _max0 OR _min1 <> _max1")
+    reason = (
+        F.when(differs & (F.col("kind") == "event"), F.struct(F.lit(3).alias("place"), F.lit("event id with different bytes").alias("reason")))
+        .when(F.col("_stored") > 1, F.struct(F.lit(4).alias("place"), F.lit("event stored twice").alias("reason")))
+        .when(differs, F.struct(F.lit(5).alias("place"), F.lit("source sequence used twice").alias("reason")))
+    )
+    groups = groups.select(reason.alias("_row"), F.lit(None).cast("boolean").alias("in_ledger"), "subject").filter("_row IS NOT NULL")
+    return rows.unionByName(groups.select("_row.place", "_row.reason", "in_ledger", "subject"))
 
 
 def raw_conflicts(history):
@@ -100,19 +169,6 @@ def raw_conflicts(history):
     return by_event.unionByName(by_sequence)
 
 
-def ledger_mismatches(ledger, decoded):
-    """Ledger rows whose stored columns differ from their own event text."""
-    stored = ledger.select(*EVENT_KEY, SEQUENCE, "source_table", "operation", "event_json")
-    own = decoded.select(
-        "event_json",
-        F.struct("source_system", "event_id", SEQUENCE, "source_table", "operation").alias("_own"),
-    ).dropDuplicates(["event_json"])
-    given = F.struct("source_system", "event_id", SEQUENCE, "source_table", "operation")
-    return stored.withColumn("_given", given).join(own, "event_json", "left").filter(
-        ~F.col("_given").eqNullSafe(F.col("_own"))
-    ).drop("_given", "_own")
-
-
 def compare_with_ledger(events, ledger, content="event_hash"):
     """Each incoming event classified as new, same or conflicting."""
     stored = ledger.select(*EVENT_KEY, F.col(content).alias("_stored"))
@@ -244,7 +300,47 @@ def reconcile(ledger, loans_state, transactions_state, portfolio_rows):
 
 
 def expected_counts(events):
-    """The same counts computed from unique events alone."""
-    loans = fold(events, "loans")
-    transactions = fold(events, "loan_transactions")
-    return reconcile(events, loans, transactions, portfolio(current(loans), current(transactions)))
+    """The same counts computed from unique events alone: one aggregate by record, one by loan.
+
+    The latest event of a record and the number of its events come from one aggregate; a record
+    then counts at its loan, which decides about orphans.
+    """
+    loan = F.when(F.col("source_table") == "loan_transactions", F.get_json_object("payload_json", "$.loan_id").cast("bigint"))
+    last = F.max_by(F.struct((F.col("operation") == "D").alias("gone"), loan.alias("loan")), SEQUENCE)
+    records = events.groupBy(*RECORD_KEY).agg(F.count("*").alias("events"), last.alias("last"))
+    is_loan, gone = F.col("source_table") == "loans", F.col("last.gone")
+    loans = records.groupBy(
+        "source_system", F.when(is_loan, F.col("record_id")).otherwise(F.col("last.loan")).alias("loan_id")
+    ).agg(
+        F.sum("events").alias("events"), F.count_if(is_loan & ~gone).alias("loans"),
+        F.count_if(~is_loan & ~gone).alias("transactions"), F.count_if(~is_loan & gone).alias("tombstones"),
+    )
+    orphaned = F.when(F.col("loans") == 0, F.col("transactions"))
+    placed = F.when(F.col("loans") > 0, F.col("transactions"))
+    sums = {
+        "ledger_events": "events", "current_loans": "loans", "current_transactions": "transactions",
+        "transaction_tombstones": "tombstones", "orphan_transactions": orphaned, "portfolio_loans": "loans",
+        "portfolio_transactions": placed,
+    }
+    return loans.agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(k) for k, v in sums.items()])
+
+
+def transaction_changes(before, after):
+    """What a change of transactions adds to the totals of their loans: current rows of `after` count
+    for, those of `before` against. Both hold the changed records only."""
+    signed = before.select("*", F.lit(-1).alias("_sign")).unionByName(after.select("*", F.lit(1).alias("_sign")))
+
+    def total(kind):
+        return F.sum(F.when(F.col("transaction_type") == kind, F.col("amount") * F.col("_sign")).otherwise(0))
+
+    return signed.filter(~F.col("is_deleted")).groupBy(*LOAN_KEY).agg(
+        F.sum("_sign").alias("transaction_count"), total("repayment").cast("decimal(22,2)").alias("repaid_amount"),
+        total("disbursement").cast("decimal(22,2)").alias("disbursed_amount"),
+    )
+
+
+def portfolio_from_totals(loans, totals):
+    """The portfolio of current loans from totals that are kept per loan."""
+    names = ("transaction_count", "repaid_amount", "disbursed_amount")
+    joined = loans.join(totals.select(*LOAN_KEY, *names), LOAN_KEY, "left")
+    return joined.withColumns({n: F.coalesce(n, F.lit(0).cast(totals.schema[n].dataType)) for n in names})

@@ -1,12 +1,16 @@
 """Immutable snapshots selected by a pointer, and run records.
 
-A run writes every table below its own folder. The pointer is a small append-only table that
-gets its new row last, so a failed run leaves the previous snapshot selected. Everything goes
-through Spark writers, hence works on any file system Spark can write to.
+A run writes every table below its own folder. The pointer gets its new version last, so a failed run
+leaves the previous snapshot selected. A version is one file that only one writer can create: of two
+publishers of one version, one wins and the other writes nothing. Everything goes through Spark's
+writers and file systems, hence works wherever Spark can write.
 """
 
+import json
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
+
+from tablemart.storage import create_once, names_in, read_text
 
 POINTER = "version bigint, run_id string, published_at_utc string, tables string"
 RUNS = (
@@ -29,11 +33,21 @@ def pointer_rows(spark, root):
     return _rows(spark, f"{root}/_pointer", POINTER)
 
 
+def current_pointer(spark, root):
+    """The newest pointer row, None before the first one."""
+    versions = [n for n in names_in(spark, f"{root}/_pointer") if n.endswith(".json") and n[:-5].isdigit()]
+    return json.loads(read_text(spark, f"{root}/_pointer/{versions[-1]}")) if versions else None
+
+
+def current_version(spark, root):
+    """Version of the published snapshot, 0 before the first one."""
+    newest = current_pointer(spark, root)
+    return newest["version"] if newest else 0
+
+
 def current_run(spark, root):
     """Run id of the published snapshot, None before the first one."""
-    newest = pointer_rows(spark, root).orderBy(
-        F.desc("version"), F.desc("published_at_utc"), F.desc("run_id")
-    ).first()
+    newest = current_pointer(spark, root)
     return newest["run_id"] if newest else None
 
 
@@ -74,14 +88,26 @@ def write_manifest(spark, root, run_id, rows):
     frame.write.mode("errorifexists").json(f"{run_folder(root, run_id)}/manifest")
 
 
-def publish(spark, root, run_id, published_at, tables):
-    """Select the snapshot of this run: one appended row, after all tables are written."""
-    version = (pointer_rows(spark, root).agg(F.max("version")).first()[0] or 0) + 1
-    row = spark.createDataFrame([(version, run_id, published_at, ",".join(sorted(tables)))], POINTER)
-    row.coalesce(1).write.mode("append").json(f"{root}/_pointer")
-    claims = pointer_rows(spark, root).filter(F.col("version") == version).count()
-    if claims > 1:
-        raise RuntimeError(f"version {version} was published by {claims} writers at once; publish again")
+class PublishConflict(RuntimeError):
+    """Another writer published the version first; nothing was written."""
+
+
+def move_pointer(spark, root, row, based_on=None):
+    """Publish a pointer row as the version after `based_on` (default: after the newest one)."""
+    version = (current_version(spark, root) if based_on is None else based_on) + 1
+    if not create_once(spark, f"{root}/_pointer/{version:012d}.json", json.dumps({"version": version, **row})):
+        raise PublishConflict(f"version {version} below {root} was published by another writer")
+    return version
+
+
+def publish(spark, root, run_id, published_at, tables, based_on=None):
+    """Select the snapshot of this run, after all its tables are written.
+
+    `based_on` is the version the run started from: if another one was published meanwhile, this
+    one is refused, as its tables do not hold what that one added.
+    """
+    row = {"run_id": run_id, "published_at_utc": published_at, "tables": ",".join(sorted(tables))}
+    return move_pointer(spark, root, row, based_on)
 
 
 def record_run(spark, root, run_id, status, started_at, completed_at=None, rows=None, error=None):

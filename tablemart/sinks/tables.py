@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tablemart.contracts import CDC_TABLES, LEDGER, QUARANTINE, state_schema
-from tablemart.sources.files import identifier
+from tablemart.sources.files import quoted
 
 
 def write_new(frame, path):
@@ -37,13 +37,12 @@ def replace_table(frame, name):
 
     The frame must not read the table it replaces.
     """
-    name = ".".join(identifier(part) for part in name.split("."))
-    frame.write.mode("overwrite").format("parquet").saveAsTable(name)
+    frame.write.mode("overwrite").format("parquet").saveAsTable(quoted(name))
 
 
 def register_location(spark, name, path, schema_ddl=None):
     """Catalog entry over Parquet files that a snapshot already wrote."""
-    name = ".".join(identifier(part) for part in name.split("."))
+    name = quoted(name)
     columns = f"({schema_ddl})" if schema_ddl else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} {columns} USING parquet LOCATION '{path}'")
@@ -53,11 +52,10 @@ def register_location(spark, name, path, schema_ddl=None):
 
 def create_cdc_tables(spark, database):
     """Ledger, quarantine and state tables of the event contract, when missing."""
-    identifier(database)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
     schemas = {"event_ledger": LEDGER, "quarantine": QUARANTINE}
     schemas.update({f"{name}_state": state_schema(name) for name in CDC_TABLES})
     for name, schema in schemas.items():
         partition = " PARTITIONED BY (source_table)" if name == "event_ledger" else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({schema}) USING parquet{partition}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(database)}.{name} ({schema}) USING parquet{partition}")
     return [f"{database}.{name}" for name in schemas]

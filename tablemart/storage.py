@@ -41,3 +41,51 @@ def via_table(frame, label):
     path = shared_folder(frame.sparkSession, label)
     frame.write.mode("errorifexists").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+# --- small files, through the file system of the path -----------------------------------
+
+
+def _place(spark, path):
+    java = spark.sparkContext._jvm
+    where = java.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def create_once(spark, path, text):
+    """Create a small file unless it is there already; False means that another writer made it.
+
+    The file system decides between two writers at once, so at most one of them gets True.
+    """
+    files, where = _place(spark, path)
+    try:
+        stream = files.create(where, False)
+    except Exception as error:
+        # The file system names the reason; anything but an existing file is a failure of its own.
+        if "FileAlreadyExistsException" in str(error):
+            return False
+        raise
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def names_in(spark, path):
+    """Names in a folder, sorted; none where the folder is missing."""
+    files, where = _place(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
+
+
+def read_text(spark, path):
+    files, where = _place(spark, path)
+    stream = files.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def remove(spark, path):
+    """Delete a file or a folder this library wrote."""
+    files, where = _place(spark, path)
+    files.delete(where, True)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from change_events import example, loan, transaction, write
-from tablemart import jobs
+from tablemart import change_lake, jobs
 from tablemart.plans import cdc
 from tablemart.sources.files import read_documents
 from tablemart.streaming.events import stream_cdc
@@ -72,15 +72,85 @@ def test_crash_is_repaired_and_late_key_is_taken(spark, tmp_path):
     def crash(*_):
         raise RuntimeError("injected")
 
-    with patch.object(jobs, "_fold_state", crash), pytest.raises(RuntimeError, match="injected"):
+    with patch.object(change_lake, "_merge_state", crash), pytest.raises(RuntimeError, match="injected"):
         run(spark, raw, root)
-    assert jobs.ledger(spark, root).count() == 8
+    assert jobs.ledger(spark, root).count() == 8 and jobs.state(spark, root, "loans").isEmpty()
     assert run(spark, raw, root)["current_transactions"] == 3
     late = loan(5, 1003, "10.00", event_id="00000000-0000-0000-0000-0000000000aa")
     assert run(spark, write(tmp_path / "late", [late]), root)["current_loans"] == 3
     assert jobs.loan_portfolio(spark, root).filter("loan_id = 1003").first()["transaction_count"] == 0
 
 
+@pytest.mark.parametrize("stop", ["_append", "_merge_state", "_write_totals", "ledger only", "one state"])
+def test_a_stopped_batch_is_finished_by_a_disjoint_one(spark, tmp_path, stop):
+    """Wherever a batch stops, the next run, with other records, leaves all tables as one batch would."""
+    whole, root = str(tmp_path / "whole"), str(tmp_path / "lake")
+    first = example()
+    second = [loan(20, 1003, "5.00"), transaction(21, 7001, 1003, "repayment", "2.00")]
+    run(spark, write(tmp_path / "all", [*first, *second]), whole)
+    calls, real = [], {n: getattr(change_lake, n) for n in ("_append", "_merge_state", "_write_totals", "write_partitioned")}
+
+    def crash(*args, **more):
+        calls.append(args)
+        if stop == "one state" and len(calls) == 1:
+            return real["_merge_state"](*args, **more)
+        if stop == "ledger only" and len(calls) == 1:
+            return real["write_partitioned"](*args, **more)
+        raise RuntimeError("injected")
+
+    name = {"ledger only": "write_partitioned", "one state": "_merge_state"}.get(stop, stop)
+    with patch.object(change_lake, name, crash), pytest.raises(RuntimeError, match="injected"):
+        run(spark, write(tmp_path / "first", first), root, buckets=4)
+    assert len(change_lake.ChangeLake(spark, root).open_batches()) == 1
+    report = run(spark, write(tmp_path / "second", second), root)
+    assert report["ledger_events"] == 10 and change_lake.ChangeLake(spark, root).open_batches() == []
+    for table in ("loans", "loan_transactions"):
+        assert rows(jobs.state(spark, root, table)) == rows(jobs.state(spark, whole, table))
+    assert rows(jobs.loan_portfolio(spark, root)) == rows(jobs.loan_portfolio(spark, whole))
+    assert rows(jobs.ledger(spark, root).drop("event_json")) == rows(jobs.ledger(spark, whole).drop("event_json"))
+    assert change_lake.ChangeLake(spark, root).index().count() == 10
+
+
+def test_batches_touch_their_buckets_only(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    run(spark, write(tmp_path / "many", [loan(n, 1000 + n, "5.00") for n in range(1, 60)]), root, buckets=16)
+    lake = change_lake.ChangeLake(spark, root)
+    before = dict(lake.states["loans"].at)
+    stamps = {p: p.stat().st_mtime_ns for p in (tmp_path / "lake").rglob("*.parquet")}
+    report = run(spark, write(tmp_path / "next", [loan(100, 1007, "6.00", "U"), transaction(101, 1, 1007, "repayment", "1.00")]), root)
+    assert report["current_loans"] == 59 and report["ledger_events"] == 61
+    after = change_lake.ChangeLake(spark, root)
+    assert after.buckets == 16
+    assert sum(after.states["loans"].at[b] != before[b] for b in before) == 1
+    assert sum(len(t.at) for t in (after.totals, after.states["loan_transactions"])) == 2
+    # No file of before was rewritten, and the gate's plan opens the partitions of the batch alone.
+    assert all(p.stat().st_mtime_ns == t for p, t in stamps.items())
+    plan = after.ledger({"loans": [3]})._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    some = next(iter(before))
+    rows_read = after.states["loans"].read([some])
+    assert {f"bucket={some}" in name for name in rows_read.inputFiles()} == {True}
+
+
+def test_counts_equal_the_tables(spark, tmp_path):
+    """Counts kept beside the pointers follow inserts, moves between loans, deletes and orphans."""
+    root = str(tmp_path / "lake")
+    steps = [
+        [*example(), transaction(9, 6000, 4242, "repayment", "1.00")],
+        [transaction(10, 5003, 1002, "repayment", "100.00", "U"), loan(11, 1001, "1000.00", "D")],
+        [loan(12, 4242, "9.00"), transaction(13, 5001, 1001, "disbursement", "1000.00", "D")],
+    ]
+    for n, step in enumerate(steps):
+        report = run(spark, write(tmp_path / f"step{n}", step), root, buckets=4)
+        loans, moves = (cdc.current(jobs.state(spark, root, t)) for t in ("loans", "loan_transactions"))
+        assert report["current_loans"] == loans.count() and report["current_transactions"] == moves.count()
+        assert report["orphan_transactions"] == cdc.orphan_count(moves, loans).first()[0]
+        assert report["ledger_events"] == jobs.ledger(spark, root).count()
+        assert rows(jobs.loan_portfolio(spark, root)) == rows(cdc.portfolio(loans, moves))
+    run(spark, write(tmp_path / "none", ["{broken"]), root, scope="history")
+    assert rows(jobs.loan_portfolio(spark, root)) == rows(cdc.portfolio(loans, moves))
+
+
 def test_orphans_are_reported(spark, tmp_path):
     raw = write(tmp_path / "raw", [*example(), transaction(9, 6000, 4242, "repayment", "1.00")])
     report = run(spark, raw, str(tmp_path / "lake"))
@@ -119,7 +189,7 @@ def test_refresh_validates_applies_and_refuses(spark, tmp_path):
     }
     dry = jobs.cdc_refresh(spark, raw, root)
     assert dry["status"] == "validated" and dry["new_events"] == 8 and dry["expected"] == expected
-    assert jobs.refresh_ledger(spark, root).isEmpty()
+    assert jobs.ledger(spark, root).isEmpty()
     done = jobs.cdc_refresh(spark, raw, root, apply=True)
     assert done["status"] == "refreshed" and done["actual"] == expected
     again = jobs.cdc_refresh(spark, raw, root, apply=True)
@@ -133,7 +203,12 @@ def test_refresh_validates_applies_and_refuses(spark, tmp_path):
     for name, events in bad.items():
         with pytest.raises(jobs.RefreshError):
             jobs.cdc_refresh(spark, lines(tmp_path / name, events), root, apply=True)
-    assert jobs.refresh_ledger(spark, root).count() == 8
+    assert jobs.ledger(spark, root).count() == 8
+    # One ledger for both jobs: what the one took is known to the other.
+    more = run(spark, write(tmp_path / "more", [*example(), loan(30, 1005, "7.00")]), root)
+    assert more["ledger_events"] == 9 and more["current_loans"] == 3
+    after = jobs.cdc_refresh(spark, raw, root, apply=True)
+    assert after["new_events"] == 0 and after["actual"]["ledger_events"] == 9
 
 
 def test_latest_event_is_limited_before_the_shuffle(spark):

@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from change_events import example, write
@@ -28,7 +29,7 @@ def test_catalog_tables(spark, tmp_path):
     assert set(ledger.columns) == set(files.read_table(spark, "lending_cdc.event_ledger").columns)
     tables.register_location(spark, "lending_cdc.ledger_files", f"{root}/event_ledger")
     assert files.read_table(spark, "lending_cdc.ledger_files").count() == 8
-    with pytest.raises(ValueError):
+    with pytest.raises(AnalysisException):
         files.read_table(spark, "lending_cdc.loans; drop table x")
 
 
@@ -85,11 +86,33 @@ def test_two_publishers_of_one_version(spark, tmp_path):
     from tablemart.sinks import snapshots
 
     root = str(tmp_path / "published")
-    snapshots.publish(spark, root, "a", "2024-01-01T00:00:00+00:00", ["t"])
-    row = spark.createDataFrame([(2, "b", "2024-01-02T00:00:00+00:00", "t")], snapshots.POINTER)
-    row.write.mode("append").json(f"{root}/_pointer")
-    row.withColumn("run_id", F.lit("c")).write.mode("append").json(f"{root}/_pointer")
-    assert snapshots.current_run(spark, root) == "c"
+    assert snapshots.publish(spark, root, "a", "2024-01-01T00:00:00+00:00", ["t"]) == 1
+    based_on = snapshots.current_version(spark, root)
+    assert snapshots.publish(spark, root, "b", "2024-01-02T00:00:00+00:00", ["t"], based_on) == 2
+    before = sorted(p.name for p in (tmp_path / "published").rglob("*"))
+    with pytest.raises(snapshots.PublishConflict):
+        snapshots.publish(spark, root, "c", "2024-01-02T00:00:01+00:00", ["t"], based_on)
+    assert sorted(p.name for p in (tmp_path / "published").rglob("*")) == before
+    assert snapshots.current_run(spark, root) == "b"
+    assert [r["run_id"] for r in snapshots.pointer_rows(spark, root).orderBy("version").collect()] == ["a", "b"]
+
+
+def test_of_many_publishers_at_once_one_wins(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tablemart.sinks import snapshots
+
+    root = str(tmp_path / "published")
+
+    def publish(name):
+        try:
+            return snapshots.publish(spark, root, name, "2024-01-01", ["t"], 0) and name
+        except snapshots.PublishConflict:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [n for n in pool.map(publish, [f"run_{n}" for n in range(16)]) if n]
+    assert len(won) == 1 and snapshots.current_run(spark, root) == won[0]
 
 
 def test_jdbc_options():
