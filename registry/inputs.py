@@ -9,12 +9,18 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 from tablemart.contracts import CAPTURE_METHOD, DEFAULT_SOURCE, SOURCE_SCHEMA
 from tablemart.plans import enrichment, trips
 from tablemart.plans.outbox import derived_event_id
+from tablemart.sources.files import spread_scan
 
 
 def load(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def load_spread(spark, folder, name):
+    """A table whose rows are about to be rendered and parsed."""
+    return spread_scan(load(spark, folder, name))
+
+
 def plain(frame):
     """Decimals as doubles, dates and times as text: values that every engine prints alike."""
     columns = []
@@ -66,7 +72,7 @@ def trip_text(events, faults=False):
 
 def raw_trips(spark, folder, faults=False):
     """(trip_id, payload JSON)."""
-    text = trip_text(load(spark, folder, "events"), faults)
+    text = trip_text(load_spread(spark, folder, "events"), faults)
     return text.select("trip_id", F.to_json(F.struct(*text.columns)).alias("payload"))
 
 
@@ -130,7 +136,7 @@ def hours(spark, folder):
 
 def change_event_text(spark, folder, faults=False):
     """(value JSON, source_file): events as loan and transaction changes."""
-    events = load(spark, folder, "events")
+    events = load_spread(spark, folder, "events")
     number, user = F.col("event_id"), F.col("user_id")
     is_loan = number % 3 == 0
     transaction = user * 10 + number % 10

@@ -6,17 +6,18 @@ from pyspark.sql import functions as F
 
 from registry.inputs import areas, change_event_text, fact, hours, load, plain, raw_areas, raw_trips, raw_weather, typed_trips
 from registry.trip_queries import FACT, WEATHER_DEMAND
-from registry.cdc_queries import LATEST
-from tablemart import jobs
+from registry.cdc_queries import ERRORS, LATEST
+from tablemart import change_lake, jobs
 from tablemart.contracts import TABLES
 from tablemart.functions.values import bucket_of
 from tablemart.operators import grain, ranking
 from tablemart.plans import cdc, enrichment, marts, quality, trips
+from tablemart.plans.event_decode import decode_events
 from tablemart.plans.naming import published, published_tables
 from tablemart.sinks import exports, snapshots, tables
 from tablemart.sources import areas as area_source
 from tablemart.sources import envelopes, files, paging, weather, windows
-from tablemart.storage import shared_folder
+from tablemart.storage import shared_folder, via_table
 from tablemart.streaming.events import stream_cdc
 
 QUERIES, ORACLES = {}, {}
@@ -135,6 +136,87 @@ def bucket_scan(spark, folder):
 # --- sinks ------------------------------------------------------------------------------
 
 
+STATES = f"""WITH {LATEST} SELECT 'loans' AS source_table, loan_id AS record_id, loan_id, status AS kind, CAST(principal_amount AS DOUBLE) AS amount,
+  event_sequence, is_deleted FROM loans UNION ALL SELECT 'loan_transactions', transaction_id, loan_id, transaction_type, CAST(amount AS DOUBLE),
+  event_sequence, is_deleted FROM transactions"""
+
+
+def _states(spark, root):
+    """Both latest states as one table."""
+    loans = jobs.state(spark, root, "loans").select(
+        F.lit("loans").alias("source_table"), F.col("loan_id").alias("record_id"), "loan_id", F.col("status").alias("kind"),
+        F.col("principal_amount").alias("amount"), cdc.SEQUENCE, "is_deleted",
+    )
+    moves = jobs.state(spark, root, "loan_transactions").select(
+        F.lit("loan_transactions").alias("source_table"), F.col("transaction_id").alias("record_id"), "loan_id",
+        F.col("transaction_type").alias("kind"), "amount", cdc.SEQUENCE, "is_deleted",
+    )
+    return loans.unionByName(moves)
+
+
+def _number():
+    return F.substring_index("source_file", "/", -1).cast("bigint")
+
+
+@query(STATES)
+def cdc_buckets(spark, folder):
+    """Two batches into a lake of eight buckets, the second one with the records of every third loan only."""
+    root, rows = shared_folder(spark, "cdc"), change_event_text(spark, folder)
+    late = (F.regexp_extract("value", r'"loan_id":([0-9]+)', 1).cast("bigint") % 3 == 0) & (_number() % 2 == 1)
+    for batch in (~late, late):
+        jobs.cdc_lake(spark, rows.filter(batch), root, buckets=8)
+    return _states(spark, root)
+
+
+@query(STATES)
+def cdc_recovery(spark, folder):
+    """The first batch stops behind the ledger, before any state; the next one holds other events and
+    finishes it."""
+    root, rows = shared_folder(spark, "cdc"), change_event_text(spark, folder)
+    _, batch = change_lake.admit_batch(spark, rows.filter(_number() % 3 == 0), root, buckets=8)
+    lake = change_lake.ChangeLake(spark, root)
+    change_lake.append_batch(lake, change_lake.written_down(lake, batch), batch)
+    jobs.cdc_lake(spark, rows.filter(_number() % 3 != 0), root)
+    return _states(spark, root)
+
+
+@query(f"""WITH {ERRORS},
+good AS (SELECT * FROM judged WHERE error IS NULL),
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_table, record_id ORDER BY event_sequence DESC) AS place FROM good) WHERE place = 1),
+live AS (SELECT * FROM last WHERE operation <> 'D')
+SELECT (SELECT count(*) FROM judged) AS input, (SELECT count(*) FROM judged WHERE error IS NOT NULL) AS quarantined,
+  (SELECT count(*) FROM good) AS valid_unique, (SELECT count(*) FROM good) AS ledger_events,
+  (SELECT count(*) FROM live WHERE source_table = 'loans') AS current_loans,
+  (SELECT count(*) FROM live WHERE source_table = 'loan_transactions') AS current_transactions,
+  (SELECT count(*) FROM live WHERE source_table = 'loan_transactions'
+     AND user_id NOT IN (SELECT record_id FROM live WHERE source_table = 'loans')) AS orphan_transactions""")
+def cdc_job_report(spark, folder):
+    """The report of the batch job over events with faults in them, as one row."""
+    report = jobs.cdc_lake(spark, change_event_text(spark, folder, faults=True), shared_folder(spark, "cdc"), buckets=8)
+    return spark.createDataFrame([tuple(report.values())], ", ".join(f"{k} bigint" for k in report))
+
+
+@query(f"""WITH {ERRORS},
+good AS (SELECT * FROM judged WHERE error IS NULL)
+SELECT place, reason, in_ledger, count(*) AS refused FROM (
+  SELECT 1 AS place, error AS reason, FALSE AS in_ledger FROM judged WHERE error IS NOT NULL
+  UNION ALL SELECT 2, 'ledger row disagrees with its own event', TRUE FROM good WHERE number % 3 = 0 AND number % 11 = 0
+  UNION ALL SELECT 2, 'ledger row disagrees with its own event', TRUE FROM good WHERE number % 3 = 0 AND number % 77 = 0
+  UNION ALL SELECT 3, 'event id with different bytes', NULL FROM good WHERE number % 3 = 0 AND number % 13 = 0
+  UNION ALL SELECT 4, 'event stored twice', NULL FROM good WHERE number % 3 = 0 AND number % 7 = 0 AND number % 13 <> 0) GROUP BY ALL""")
+def cdc_refused(spark, folder):
+    """Why the fail-fast gate refuses: faulty lines, ledger rows with another operation (every 11th),
+    lines that come with a space more (every 13th) and ledger rows stored twice (every 7th). The ledger
+    holds every third event."""
+    raw = change_event_text(spark, folder, faults=True).withColumn("number", _number())
+    stored = via_table(decode_events(raw).filter("error IS NULL AND number % 3 = 0"), "stored")
+    known = stored.withColumn("operation", F.when(F.col("number") % 11 == 0, "?").otherwise(F.col("operation")))
+    known = known.unionByName(known.filter("number % 7 = 0")).withColumn("event_json", F.col("value"))
+    lines = raw.select(F.when((F.col("number") % 13 == 0) & (F.col("number") % 3 == 0), F.concat("value", F.lit(" "))).otherwise(F.col("value")).alias("event_json"))
+    decoded = via_table(decode_events(change_lake.refresh_input(spark, lines, known), text="event_json"), "refused")
+    return cdc.refusals(decoded).groupBy("place", "reason", "in_ledger").agg(F.count("*").alias("refused"))
+
+
 @query(f"""WITH {FACT} SELECT trip_date, count(*) AS trips, CAST(sum(trip_total) AS DOUBLE) AS revenue_usd FROM fact
   WHERE trip_date BETWEEN '2024-01-10' AND '2024-01-12' GROUP BY 1""")
 def partition_roundtrip(spark, folder):

@@ -11,6 +11,8 @@ _batches. One writer at a time: two of them meet at the `open` file or at a poin
 """
 
 import json
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -37,7 +39,7 @@ from tablemart.sources.files import read_lines
 from tablemart.storage import create_once, names_in, read_text, remove, via_table
 
 #: Buckets of a new lake; a lake keeps the number it began with. About one per 256 MB of state.
-BUCKETS = 64
+BUCKETS = 16
 
 
 def new_run_id():
@@ -160,6 +162,12 @@ def loan_portfolio(spark, root):
     return ChangeLake(spark, root).portfolio.read().drop("bucket")
 
 
+def _together(*steps):
+    """Run steps that write different tables at the same time; all end before the first error is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(s) for s in steps]]
+
+
 # --- one batch --------------------------------------------------------------------------
 
 
@@ -172,18 +180,18 @@ def admit_batch(spark, raw, root, source=DEFAULT_SOURCE, run_id=None, buckets=BU
     """
     lake, run_id = ChangeLake(spark, root, buckets), run_id or new_run_id()
     decoded = via_table(decode_events(raw, source), "decoded")
-    counts = cdc.input_counts(decoded).first()
-    report = {"input": counts["input"], "quarantined": counts["invalid"]}
-    if counts["invalid"]:
+    valid = F.col("error").isNull()
+    # Three counts and bucket numbers, of which there are as many as buckets; invalid rows have no key.
+    found = decoded.agg(
+        F.count("*").alias("input"), F.count_if(~valid).alias("invalid"), F.count_distinct(*cdc.EVENT_KEY).alias("unique"),
+        F.collect_set(F.when(valid, F.struct("source_table", lake.record_bucket().alias("b")))).alias("records"),
+        F.collect_set(F.when(valid, lake.event_bucket())).alias("events"),
+    ).first()
+    report = {"input": found["input"], "quarantined": found["invalid"], "valid_unique": found["unique"]}
+    if found["invalid"]:
         fresh = absent_rows(quarantine(spark, root), cdc.rejected_rows(decoded), ["rejection_id"])
         fresh.write.mode("append").parquet(f"{root}/quarantine")
     events = cdc.valid_events(decoded, "value")
-    # Bucket numbers and a count: as much as there are buckets.
-    found = events.agg(
-        F.collect_set(F.struct("source_table", lake.record_bucket().alias("b"))).alias("records"),
-        F.collect_set(lake.event_bucket()).alias("events"), F.count_distinct(*cdc.EVENT_KEY).alias("unique"),
-    ).first()
-    report["valid_unique"] = found["unique"]
     if not found["unique"]:
         return report, None
     touched = {t: sorted(r["b"] for r in found["records"] if r["source_table"] == t) for t in CDC_TABLES}
@@ -196,31 +204,36 @@ def admit_batch(spark, raw, root, source=DEFAULT_SOURCE, run_id=None, buckets=BU
     return report, lake.write_down(fresh, run_id, touched)
 
 
-def _append(lake, rows, batch, again):
+def written_down(lake, batch):
+    """The rows of a batch as they were written down."""
+    return lake.spark.read.schema(LEDGER).parquet(f"{lake.root}/_batches/rows-{batch['run_id']}")
+
+
+def append_batch(lake, rows, batch, again=False):
     """The rows into ledger and index; `again`: those that are not there yet."""
     placed = rows.withColumn("bucket", lake.record_bucket())
     index = rows.select("source_system", "event_id", "event_hash", lake.event_bucket().alias("bucket"))
     if again:
         placed = absent_rows(lake.ledger(batch["touched"]), placed, cdc.EVENT_KEY)
         index = absent_rows(lake.index(), index, cdc.EVENT_KEY)
-    write_partitioned(placed, f"{lake.root}/event_ledger", ["source_table", "bucket"], mode="append")
-    write_partitioned(index, f"{lake.root}/event_index", ["bucket"], mode="append")
+    _together(
+        lambda: write_partitioned(placed, f"{lake.root}/event_ledger", ["source_table", "bucket"], mode="append"),
+        lambda: write_partitioned(index, f"{lake.root}/event_index", ["bucket"], mode="append"),
+    )
 
 
-def _merge_state(lake, table, incoming, run_id):
-    """Merge the latest rows of a batch into the buckets they touch: state rows before and after, of
+def _merge_state(lake, table, incoming, run_id, buckets):
+    """Merge the latest rows of a batch into the buckets it touches: state rows before and after, of
     the records that changed."""
     key = ["source_system", CDC_TABLES[table].key]
-    buckets = sorted(r[0] for r in incoming.select("bucket").distinct().collect())
     stored, target = lake.states[table].read(buckets), lake.states[table]
     newer = incoming.join(stored.select(*key, F.col(cdc.SEQUENCE).alias("_had")), key, "left")
     newer = newer.filter(F.col("_had").isNull() | (F.col(cdc.SEQUENCE) > F.col("_had"))).drop("_had")
     before = stored.join(newer.select(*key), key, "left_semi")
-    changes = before, newer
     if buckets:
         merged = merge_newer(stored, incoming, [*key, "bucket"], cdc.SEQUENCE)
         target.replace(merged, run_id, buckets, current=F.count_if(~F.col("is_deleted")))
-    return changes, buckets
+    return before, newer
 
 
 def _write_totals(lake, totals, run_id, buckets):
@@ -234,8 +247,10 @@ def _write_totals(lake, totals, run_id, buckets):
         r["bucket"]: r["n"]
         for r in kept.filter("orphan").groupBy("bucket").agg(F.sum("transaction_count").alias("n")).collect()
     }
-    lake.totals.replace(kept, run_id, buckets, orphans=_by_bucket(orphans))
-    lake.portfolio.replace(cdc.portfolio_from_totals(loans, kept), run_id, buckets)
+    _together(
+        lambda: lake.totals.replace(kept, run_id, buckets, orphans=_by_bucket(orphans)),
+        lambda: lake.portfolio.replace(cdc.portfolio_from_totals(loans, kept), run_id, buckets),
+    )
 
 
 def _by_bucket(numbers):
@@ -252,22 +267,24 @@ def finish_batch(spark, root, batch, again=False):
     and all totals are summed anew from the states.
     """
     lake, run_id = ChangeLake(spark, root), new_run_id()
-    rows = spark.read.schema(LEDGER).parquet(f"{root}/_batches/rows-{batch['run_id']}")
-    _append(lake, rows, batch, again)
-    changed = {}
-    for table in CDC_TABLES:
+    rows = written_down(lake, batch)
+
+    def merge(table):
         latest = cdc.fold(rows, table).withColumn("bucket", lake.record_bucket(record=CDC_TABLES[table].key))
-        changed[table] = _merge_state(lake, table, via_table(latest, "fold"), run_id)
+        return _merge_state(lake, table, via_table(latest, "fold"), run_id, batch["touched"][table])
+
+    _, *merged = _together(lambda: append_batch(lake, rows, batch, again), *[partial(merge, table) for table in CDC_TABLES])
+    changed = dict(zip(CDC_TABLES, merged))
     loan_bucket = lake.record_bucket(record="loan_id")
     if again:
         current = cdc.current(lake.states["loan_transactions"].read().drop("bucket"))
         totals = cdc.transaction_totals(current).withColumn("bucket", loan_bucket)
         buckets = list(range(lake.buckets))
     else:
-        before, after = changed["loan_transactions"][0]
-        changes = via_table(cdc.transaction_changes(before, after).withColumn("bucket", loan_bucket), "changes")
+        changes = cdc.transaction_changes(*changed["loan_transactions"]).withColumn("bucket", loan_bucket)
+        changes = via_table(changes, "changes")
         touched = {r[0] for r in changes.select("bucket").distinct().collect()}
-        buckets = sorted(touched | set(changed["loans"][1]))
+        buckets = sorted(touched.union(batch["touched"]["loans"]))
         both = lake.totals.read(buckets).unionByName(changes)
         totals = both.groupBy(*cdc.LOAN_KEY, "bucket").agg(
             F.sum("transaction_count").alias("transaction_count"),

@@ -5,7 +5,7 @@ texts of the reasons are fixed values. Members are taken out of the document onc
 that later rules refer to finished columns.
 """
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import functions as F
 
@@ -188,18 +188,13 @@ def _payload(contract):
     return F.to_json(F.struct(*members))
 
 
-def decode_events(raw, source=DEFAULT_SOURCE, text="value"):
-    """The raw rows with either `error` or the normalised event columns."""
+@lru_cache(maxsize=16)
+def _stages(session, source, text):
+    """The columns of every stage. They name columns only, so one set does for all inputs of a session
+    (its application id is part of the key, as columns end with it)."""
     kinds = _fields()
-    keep = [F.col(name) for name in raw.columns]
-
-    parsed = raw.select(
-        *keep,
-        sealed_document(F.col(text)).alias("_parsed"),
-        F.from_json(F.col(text), _ENVELOPE).alias("_e"),
-    )
-    opened = parsed.select(
-        *keep,
+    parsed = [sealed_document(F.col(text)).alias("_parsed"), F.from_json(F.col(text), _ENVELOPE).alias("_e")]
+    opened = [
         F.when(is_sealed(F.col("_parsed"), F.col(text)), F.col("_parsed")).alias("_document"),
         F.col("_e.schema_version").alias("_version"),
         F.col("_e.capture_method").alias("_method"),
@@ -212,26 +207,24 @@ def decode_events(raw, source=DEFAULT_SOURCE, text="value"):
         F.col("_e.captured_at").alias("_captured_text"),
         F.col("_e.record_data").alias("_data"),
         F.col("_e.record_key").alias("_key"),
-    )
+    ]
     # A stage of its own: the value rules name each text several times.
-    texts = opened.select("*", *[_text(name, kind).alias(f"_text_{name}") for name, kind in kinds.items()])
-    values = texts.select(
-        "*",
+    texts = [_text(name, kind).alias(f"_text_{name}") for name, kind in kinds.items()]
+    values = [
         canonical_uuid(F.col("_id_text")).alias("_id"),
         integer_text(F.col("_sequence_text")).alias("_sequence"),
         canonical_iso(F.col("_captured_text")).alias("_captured"),
         *[_value(name, kind).alias(f"_value_{name}") for name, kind in kinds.items()],
-    )
-    judged = values.select(
-        *keep,
+    ]
+    judged = [
         F.coalesce(
             first_reason(_envelope_rules(source)),
             _per_table(lambda contract: first_reason(_record_rules(contract))),
         ).alias("error"),
-        "_id", "_sequence", "_table", "_operation", "_captured",
+        F.col("_id"), F.col("_sequence"), F.col("_table"), F.col("_operation"), F.col("_captured"),
         _per_table(lambda contract: F.col(f"_value_{contract.key}")).alias("_record"),
         _per_table(_payload).alias("_payload"),
-    )
+    ]
     content = F.to_json(
         F.array(
             F.lit(source), F.col("_id"), F.col("_sequence").cast("string"), F.col("_table"),
@@ -250,7 +243,14 @@ def decode_events(raw, source=DEFAULT_SOURCE, text="value"):
         "event_hash": F.sha2(content, 256),
     }
     valid = F.col("error").isNull()
-    result = judged.select(
-        *keep, "error", *[F.when(valid, column).alias(name) for name, column in found.items()]
-    )
-    return settle(result, raw.columns, DECODED)
+    result = [F.col("error"), *[F.when(valid, column).alias(name) for name, column in found.items()]]
+    return parsed, opened, texts, values, judged, result
+
+
+def decode_events(raw, source=DEFAULT_SOURCE, text="value"):
+    """The raw rows with either `error` or the normalised event columns."""
+    keep = [F.col(name) for name in raw.columns]
+    session = raw.sparkSession.sparkContext.applicationId
+    parsed, opened, texts, values, judged, result = _stages(session, source, text)
+    rows = raw.select(*keep, *parsed).select(*keep, *opened).select("*", *texts).select("*", *values)
+    return settle(rows.select(*keep, *judged).select(*keep, *result), raw.columns, DECODED)

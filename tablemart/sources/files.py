@@ -40,6 +40,17 @@ def read_parquet(spark, path, schema=None):
     return reader.parquet(path)
 
 
+def spread_scan(rows):
+    """The rows of a scan over all cores, where it has fewer tasks than there are cores.
+
+    For narrow rows before dear work: a small file is one task however dear its rows are to parse. A
+    scan of many files has tasks enough and stays as it is. Only for plain scans: asking for the
+    tasks of a plan with shuffles would run them.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def quoted(name):
     """A dotted table name with every part quoted, so that none is read as anything but a name."""
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))

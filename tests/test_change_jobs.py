@@ -15,7 +15,7 @@ from tablemart.streaming.events import stream_cdc
 
 
 def run(spark, folder, root, **more):
-    return jobs.cdc_lake(spark, read_documents(spark, folder), root, **more)
+    return jobs.cdc_lake(spark, read_documents(spark, folder), root, **{"buckets": 4, **more})
 
 
 def transactions(spark, root):
@@ -81,26 +81,23 @@ def test_crash_is_repaired_and_late_key_is_taken(spark, tmp_path):
     assert jobs.loan_portfolio(spark, root).filter("loan_id = 1003").first()["transaction_count"] == 0
 
 
-@pytest.mark.parametrize("stop", ["_append", "_merge_state", "_write_totals", "ledger only", "one state"])
+@pytest.mark.parametrize("stop", ["append_batch", "one state", "_write_totals"])
 def test_a_stopped_batch_is_finished_by_a_disjoint_one(spark, tmp_path, stop):
     """Wherever a batch stops, the next run, with other records, leaves all tables as one batch would."""
     whole, root = str(tmp_path / "whole"), str(tmp_path / "lake")
     first = example()
     second = [loan(20, 1003, "5.00"), transaction(21, 7001, 1003, "repayment", "2.00")]
     run(spark, write(tmp_path / "all", [*first, *second]), whole)
-    calls, real = [], {n: getattr(change_lake, n) for n in ("_append", "_merge_state", "_write_totals", "write_partitioned")}
+    calls, merge = [], change_lake._merge_state
 
     def crash(*args, **more):
         calls.append(args)
         if stop == "one state" and len(calls) == 1:
-            return real["_merge_state"](*args, **more)
-        if stop == "ledger only" and len(calls) == 1:
-            return real["write_partitioned"](*args, **more)
+            return merge(*args, **more)
         raise RuntimeError("injected")
 
-    name = {"ledger only": "write_partitioned", "one state": "_merge_state"}.get(stop, stop)
-    with patch.object(change_lake, name, crash), pytest.raises(RuntimeError, match="injected"):
-        run(spark, write(tmp_path / "first", first), root, buckets=4)
+    with patch.object(change_lake, "_merge_state" if stop == "one state" else stop, crash), pytest.raises(RuntimeError, match="injected"):
+        run(spark, write(tmp_path / "first", first), root)
     assert len(change_lake.ChangeLake(spark, root).open_batches()) == 1
     report = run(spark, write(tmp_path / "second", second), root)
     assert report["ledger_events"] == 10 and change_lake.ChangeLake(spark, root).open_batches() == []
@@ -141,7 +138,7 @@ def test_counts_equal_the_tables(spark, tmp_path):
         [loan(12, 4242, "9.00"), transaction(13, 5001, 1001, "disbursement", "1000.00", "D")],
     ]
     for n, step in enumerate(steps):
-        report = run(spark, write(tmp_path / f"step{n}", step), root, buckets=4)
+        report = run(spark, write(tmp_path / f"step{n}", step), root)
         loans, moves = (cdc.current(jobs.state(spark, root, t)) for t in ("loans", "loan_transactions"))
         assert report["current_loans"] == loans.count() and report["current_transactions"] == moves.count()
         assert report["orphan_transactions"] == cdc.orphan_count(moves, loans).first()[0]
