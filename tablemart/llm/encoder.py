@@ -9,6 +9,7 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: A space before one of these signs ends a piece: they are letters, digits or signs in every
 #: Unicode table, never white space and never marks that join to what stands before them.
 CUT = re.compile(" (?=[!-~À-ÖØ-öø-ÿ])")
+OTHER_SPACE = re.compile(" (?![!-~À-ÖØ-öø-ÿ])")
 #: Pieces of these signs alone mean the same to every regular expression engine and normalizer; most
 #: hold no white space but line ends between words and are cut into words many at a time.
 SIMPLE = re.compile(rf"[!-~{LETTERS}]+(?:\n[!-~{LETTERS}]+)*")
@@ -35,7 +36,8 @@ class Merges:
     """The merge table of a BPE model, applied to many words at a time.
 
     Words of one length are one matrix. Each round joins, in every row, the leftmost pair of lowest
-    rank, so all rows shrink together; rows without a mergeable pair are done.
+    rank, so all rows shrink together; rows without a mergeable pair are done. Pairs are found in a
+    table by hash, a quarter full at most, where a pair stands at its slot or soon behind it.
     """
 
     def __init__(self, model):
@@ -44,29 +46,57 @@ class Merges:
         self.last = np.array([vocab[s + ending] for s in _signs()], dtype=np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], dtype=np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks = keys[order], order.astype(np.int32)
         self.made = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.keys = np.full((1 << self.bits) + len(keys) + 1, -1, dtype=np.int64)
+        self.ranks = np.full(len(self.keys), NONE, dtype=np.int32)
+        rest, slot = np.arange(len(keys)), self._slot(keys)
+        while len(rest):
+            # Of the pairs that want one free slot the first gets it, the others go one further.
+            free = np.flatnonzero(self.keys[slot] < 0)
+            taken, one = np.unique(slot[free], return_index=True)
+            one = free[one]
+            self.keys[taken], self.ranks[taken] = keys[rest[one]], rest[one]
+            left = np.ones(len(rest), dtype=bool)
+            left[one] = False
+            rest, slot = rest[left], slot[left] + 1
+
+    def _slot(self, keys):
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def _rank(self, left, right):
         key = left << 32 | right
-        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[place] == key, self.ranks[place], NONE)
+        slot = self._slot(key)
+        seen, out = self.keys[slot], self.ranks[slot]
+        other = np.nonzero((seen != key) & (seen >= 0))
+        while len(other[0]):
+            slot[other] += 1
+            seen = self.keys[slot[other]]
+            out[other] = self.ranks[slot[other]]
+            on = (seen != key[other]) & (seen >= 0)
+            seen, other = seen[on], tuple(o[on] for o in other)
+        # Behind the last slot looked at stands the pair itself or nothing.
+        return out
 
     def _same_length(self, rows):
+        """Ids of words of one length, one matrix per number of ids: (rows, matrix)."""
         ids = self.first[rows]
         ids[:, -1] = self.last[rows[:, -1]]
-        rank, at, out = self._rank(ids[:, :-1], ids[:, 1:]), np.arange(len(rows)), [None] * len(rows)
+        rank, at, out = self._rank(ids[:, :-1], ids[:, 1:]), np.arange(len(rows)), []
         while len(at):
-            best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(at), dtype=np.int64)
-            low = rank[np.arange(len(at)), best] if rank.shape[1] else np.full(len(at), NONE)
-            done = low == NONE
-            for place, row in zip(at[done], ids[done].astype("<u4")):
-                out[place] = row.tobytes()
-            ids, rank, at, best, low = ids[~done], rank[~done], at[~done], best[~done], low[~done]
-            if not len(at):
+            if not rank.shape[1]:
+                out.append((at, ids))
                 break
-            every, columns = np.arange(len(at)), np.arange(ids.shape[1] - 1)
+            best, every = rank.argmin(axis=1), np.arange(len(at))
+            low = rank[every, best]
+            done = low == NONE
+            if done.any():
+                out.append((at[done], ids[done]))
+                ids, rank, at, best, low = ids[~done], rank[~done], at[~done], best[~done], low[~done]
+                every = np.arange(len(at))
+                if not len(at):
+                    break
+            columns = np.arange(ids.shape[1] - 1)
             ids[every, best] = self.made[low]
             ids = np.where(columns[None, :] <= best[:, None], ids[:, :-1], ids[:, 1:])
             if ids.shape[1] == 1:
@@ -83,14 +113,23 @@ class Merges:
 
     def words(self, words):
         """Ids of each word (bytes, none empty), as little-endian unsigned 32-bit integers."""
-        length = np.array([len(w) for w in words])
-        out = [None] * len(words)
-        for size in np.unique(length):
-            places = np.flatnonzero(length == size)
-            joined = np.frombuffer(b"".join([words[p] for p in places]), dtype=np.uint8)
-            for place, ids in zip(places, self._same_length(joined.reshape(len(places), size))):
-                out[place] = ids
-        return out
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        data, starts = np.frombuffer(b"".join(words), dtype=np.uint8), np.cumsum(sizes) - sizes
+        counts, made = np.zeros(len(words), dtype=np.int64), []
+        order = np.argsort(sizes, kind="stable")
+        bounds = np.flatnonzero(np.diff(sizes[order], prepend=-1, append=-1))
+        for low, high in zip(bounds, bounds[1:]):
+            places = order[low:high]
+            rows = data[starts[places][:, None] + np.arange(sizes[places[0]])]
+            for at, ids in self._same_length(rows):
+                counts[places[at]] = ids.shape[1]
+                made.append((places[at], ids))
+        ends = np.cumsum(counts)
+        flat = np.empty(int(ends[-1]) if len(ends) else 0, dtype="<u4")
+        for places, ids in made:
+            flat[(ends - counts)[places][:, None] + np.arange(ids.shape[1])] = ids
+        whole = flat.tobytes()
+        return [whole[a:b] for a, b in zip((4 * (ends - counts)).tolist(), (4 * ends).tolist())]
 
 
 class Encoder:
@@ -166,7 +205,11 @@ class Encoder:
         return [data[a:b] for a, b in zip(starts, [*ends, len(data)])]
 
     def _by_word(self, words):
-        simple = [w for w in words if len(w) <= LONGEST and SIMPLE.fullmatch(w)]
+        # Most words are printable ASCII without a space, which needs no pattern to be seen.
+        simple = [
+            w for w in words
+            if len(w) <= LONGEST and (w.isascii() and w.isprintable() and " " not in w and w or SIMPLE.fullmatch(w))
+        ]
         known = dict(zip(simple, self._simple(simple), strict=True))
         if len(known) < len(words):
             rest = [w for w in words if w not in known]
@@ -194,7 +237,8 @@ class Encoder:
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
         plain = [i for i in range(len(texts)) if out[i] is None]
-        cut = [CUT.split(texts[i]) for i in plain]
+        # Where every space ends a piece, splitting at spaces is the same and faster.
+        cut = [CUT.split(texts[i]) if OTHER_SPACE.search(texts[i]) else texts[i].split(" ") for i in plain]
         heads = self._apart([words[0] for words in cut])
         words = set().union(*[pieces[1:] for pieces in cut])
         memory = self._ids_of(words)

@@ -15,7 +15,7 @@ CAPACITY = 2048
 #: Pieces up to this share of a sequence are small: they fill what the large ones leave.
 SMALL = 1 / 8
 GROUPS = 64
-BATCH = 512
+BATCH = 1000
 PIECE = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 

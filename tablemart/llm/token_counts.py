@@ -11,7 +11,7 @@ CHUNK = 65_536
 OVERLAP = 512
 #: Tasks that encode chunks: one for each CHUNKS of them, and at least CHUNK_TASKS.
 CHUNKS, CHUNK_TASKS = 64, 64
-BATCH = 512
+BATCH = 1000
 NAMES = ["start", "last", "tokens", "head", "tail"]
 KEY = ["doc_id", "n_bytes", "mark"]
 SEEN = "array<struct<at: long, before: long>>"

@@ -19,7 +19,7 @@ SHARD_BYTES = 1 << 20
 LEVEL = 3
 PARTS = 32
 PART_BYTES = 64 << 20
-BATCH = 512
+BATCH = 1000
 SHARD = (
     "part int, shard long, before long, dictionary_hash string, doc_ids array<long>, "
     "sizes array<long>, offsets array<long>, frames binary"
