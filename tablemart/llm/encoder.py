@@ -2,6 +2,7 @@
 
 import json
 import re
+from itertools import filterfalse
 
 import numpy as np
 
@@ -17,7 +18,7 @@ SIMPLE = re.compile(rf"[!-~{LETTERS}]+(?:\n[!-~{LETTERS}]+)*")
 FEED = "\x0c"
 #: Fixed value: the word pattern of byte-level tokenizers.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 LONGEST = 48
 JOINED = 512
 NONE = np.iinfo(np.int32).max
@@ -216,11 +217,12 @@ class Encoder:
             known.update(zip(rest, self._apart([self.glue + w for w in rest]), strict=True))
         return known
 
-    def _ids_of(self, words):
-        """Ids of each of these words. Half of what is remembered is recent; when that half is full the
-        other one goes, so frequent words stay."""
-        recent = self.memory
-        fresh = words.difference(recent)
+    def _ids_of(self, texts):
+        """Ids of each word of these lists of words. Half of what is remembered is recent; when that
+        half is full the other one goes, so frequent words stay."""
+        recent, fresh = self.memory, set()
+        for words in texts:
+            fresh.update(filterfalse(recent.__contains__, words))
         again = {w: self.older[w] for w in fresh if w in self.older}
         recent.update(again)
         recent.update(self._by_word([w for w in fresh if w not in again]))
@@ -239,11 +241,10 @@ class Encoder:
         plain = [i for i in range(len(texts)) if out[i] is None]
         # Where every space ends a piece, splitting at spaces is the same and faster.
         cut = [CUT.split(texts[i]) if OTHER_SPACE.search(texts[i]) else texts[i].split(" ") for i in plain]
-        heads = self._apart([words[0] for words in cut])
-        words = set().union(*[pieces[1:] for pieces in cut])
-        memory = self._ids_of(words)
-        for i, head, pieces in zip(plain, heads, cut):
-            out[i] = head + b"".join([memory[w] for w in pieces[1:]])
+        heads = self._apart([words.pop(0) for words in cut])
+        memory = self._ids_of(cut)
+        for i, head, words in zip(plain, heads, cut):
+            out[i] = head + b"".join(map(memory.__getitem__, words))
         return out
 
 
