@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from registry.inputs import change_event_text, load, plain
+from tablemart import outbox_store
 from tablemart.contracts import DEFAULT_SOURCE
 from tablemart.operators import grain, latest, merge
 from tablemart.plans import cdc, outbox
 from tablemart.plans.event_decode import decode_events
-from tablemart.storage import via_table
+from tablemart.storage import shared_folder, via_table
 
 QUERIES, ORACLES = {}, {}
 
@@ -447,6 +448,61 @@ def _delivered(spark, folder):
     return events.select("event_id", body.alias("event_json"))
 
 
+DELIVERED = f"""WITH {SUPPLIER_DIFF},
+c AS (SELECT coalesce(b.s_suppkey, a.s_suppkey) AS k, CASE WHEN b.s_suppkey IS NULL THEN 'I' WHEN a.s_suppkey IS NULL THEN 'D' ELSE 'U' END AS operation,
+    coalesce(a.s_name, b.s_name) AS s_name, coalesce(a.s_nationkey, b.s_nationkey) AS s_nationkey, coalesce(a.s_acctbal, b.s_acctbal) AS s_acctbal
+  FROM before b FULL JOIN after a USING (s_suppkey) WHERE b.s_suppkey IS NULL OR a.s_suppkey IS NULL OR a.s_nationkey <> b.s_nationkey),
+taken AS (SELECT 0 AS part, s_suppkey AS k, 'I' AS operation, s_name, s_nationkey, s_acctbal FROM before
+  UNION ALL SELECT 1, k, operation, s_name, s_nationkey, s_acctbal FROM c),
+numbered AS (SELECT *, row_number() OVER (ORDER BY part, '{{"s_suppkey":' || k || '}}') AS event_sequence FROM taken)"""
+
+
+@query(f"""{DELIVERED} SELECT 'lending-postgres-dev' AS source, 'lending' AS schema, 'suppliers' AS "table", event_sequence, operation,
+  '{{"s_suppkey":' || k || '}}' AS record_key, s_name, s_nationkey, s_acctbal,
+  CASE WHEN part = 0 THEN '2024-01-01T00:00:00.000000Z' ELSE '2024-01-02T00:00:00.000000Z' END AS captured_at,
+  regexp_replace(md5('lending/' || event_sequence), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5') AS event_id FROM numbered""")
+def capture_to_delivery(spark, folder):
+    """A snapshot (asked for twice), the changes behind it, and two drains, of which the second finds
+    nothing; what lies in the delivery folders."""
+    root = shared_folder(spark, "outbox")
+    old, new = _supplier_states(spark, folder)
+    taken = {"suppliers": (old, "s_suppkey")}
+    outbox_store.take_snapshot(spark, root, taken, "initial-v1", "run_1", captured_at="2024-01-01 00:00:00")
+    outbox_store.take_snapshot(spark, root, taken, "initial-v1", "run_2", captured_at="2024-01-01 00:00:00")
+    changes = outbox.capture_changes(old, new, "lending", "suppliers", "s_suppkey")
+    outbox_store.capture(spark, root, changes, "run_3", "2024-01-02 00:00:00")
+    for _ in range(2):
+        outbox_store.drain(spark, root, f"{root}/out", size=100)
+    told = {
+        "event_sequence": "bigint", "operation": "string", "record_key": "string", "captured_at": "string",
+    }
+    image = {"s_name": "string", "s_nationkey": "int", "s_acctbal": "double"}
+    return outbox_store.delivered_events(spark, f"{root}/out").select(
+        "source", "schema", "table", "event_id",
+        *[F.get_json_object("event_json", f"$.{k}").cast(v).alias(k) for k, v in told.items()],
+        *[F.get_json_object("event_json", f"$.record_data.{k}").cast(v).alias(k) for k, v in image.items()],
+    )
+
+
+@query(f"""{DELIVERED} SELECT 'suppliers' AS "table", CAST(ceil(event_sequence / 50.0) AS INTEGER) AS batch, count(*) AS selected,
+  count(*) FILTER (WHERE event_sequence > 100) AS uploaded, count(*) FILTER (WHERE event_sequence <= 100) AS reused FROM numbered GROUP BY ALL""")
+def delivery_folders(spark, folder):
+    """The acknowledgement of the first hundred events is lost; the next drain reuses what lies there."""
+    root = shared_folder(spark, "outbox")
+    old, new = _supplier_states(spark, folder)
+    outbox_store.take_snapshot(spark, root, {"suppliers": (old, "s_suppkey")}, "initial-v1", "run_1")
+    outbox_store.capture(spark, root, outbox.capture_changes(old, new, "lending", "suppliers", "s_suppkey"), "run_2")
+    pending = outbox.pending(outbox_store.outbox_events(spark, root))
+    none = spark.createDataFrame([], "event_id string, event_json string")
+    first = outbox.drain_batches(pending, none, size=50, batches=2)
+    outbox_store.deliver(first, f"{root}/out")
+    again = outbox_store.outcomes(spark, root, f"{root}/out", size=50)
+    return again.groupBy(F.col("source_table").alias("table"), "batch").agg(
+        F.count("*").alias("selected"), F.count_if(F.col("outcome") == "uploaded").alias("uploaded"),
+        F.count_if(F.col("outcome") == "reused").alias("reused"),
+    )
+
+
 OUTCOME = """CASE WHEN o_orderkey % 5 <> 0 THEN 'uploaded' WHEN o_orderkey % 70 = 0 THEN 'conflict' ELSE 'reused' END"""
 
 

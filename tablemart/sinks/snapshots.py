@@ -29,8 +29,9 @@ def _rows(spark, path, ddl):
         return spark.createDataFrame([], ddl)
 
 
-def pointer_rows(spark, root):
-    return _rows(spark, f"{root}/_pointer", POINTER)
+def pointer_rows(spark, root, ddl=POINTER):
+    """Every version ever published, oldest included."""
+    return _rows(spark, f"{root}/_pointer", ddl)
 
 
 def current_pointer(spark, root):
