@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tablemart.llm.hashing import SEPARATOR, word_names
-from tablemart.llm.tables import doc_rows, ids_as_numbers, ids_as_text
+from tablemart.llm.tables import doc_rows, free_names, ids_as_numbers, ids_as_text
 
 FEATURES = 1 << 18
 #: The classifier is fitted on at most so many labelled rows, those with the smallest hash of doc_id,
@@ -141,7 +141,14 @@ def score_quality(documents, labels, target="quality", sample=SAMPLE):
     doc_ids keep their rows; an empty table gives no rows; other columns are not looked at.
     """
     rows = doc_rows(documents)
-    model = documents.sparkSession.sparkContext.broadcast(train(rows, labels, target, sample))
+    scored = _scored(rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), labels, target, sample)
+    return ids_as_numbers(scored)
+
+
+def _scored(rows, labels, target, sample):
+    """doc_id (as text) and whatever else stands before `text`, with score and predicted."""
+    model = rows.sparkSession.sparkContext.broadcast(train(rows, labels, target, sample))
+    kept = rows.columns[: rows.columns.index("text")]
 
     def score(batches):
         weights, ratio, bias = model.value
@@ -151,12 +158,23 @@ def score_quality(documents, labels, target="quality", sample=SAMPLE):
                 score_margin(distinct(ngrams(t.encode())), weights, ratio, bias) for t in batch["text"]
             ])
             values = 1 / (1 + np.exp(-np.clip(4 * margins, -50, 50)))
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": values,
-                "predicted": (values >= 0.5).astype(np.int32),
-            })
-
-    marked = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return ids_as_numbers(ids_as_text(marked).mapInPandas(
-        score, "doc_id string, held_out boolean, score double, predicted int"
-    ))
+            yield batch[kept].assign(score=values, predicted=(values >= 0.5).astype(np.int32))
+
+    kinds = {**dict(rows.dtypes), "doc_id": "string"}
+    ddl = ", ".join([*(f"{c} {kinds[c]}" for c in kept), "score double", "predicted int"])
+    return ids_as_text(rows).mapInPandas(score, ddl)
+
+
+def keep_good(documents, labels, target="quality", sample=SAMPLE):
+    """The rows of documents whose text is not rejected (predicted 0); all their columns as they are.
+
+    What decides is the text: equal texts are kept or rejected together, whatever their doc_ids, and
+    rows without or with a repeated doc_id are judged each by its own text.
+    """
+    seeds = (0, 1)
+    marks = [F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.lit(s)) for s in seeds]
+    names = free_names(["_mark0", "_mark1"], documents.columns)
+    rows = doc_rows(documents).select("doc_id", *[m.alias(n) for m, n in zip(marks, names)], "text")
+    rejected = _scored(rows, labels, target, sample).filter("predicted = 0").select(*names).distinct()
+    marked = documents.withColumns(dict(zip(names, marks)))
+    return marked.join(rejected, names, "left_anti").select(*documents.columns)

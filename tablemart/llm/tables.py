@@ -26,6 +26,17 @@ def ids_as_numbers(rows):
     return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
+def free_names(names, columns):
+    """The names, made longer until no column has them."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def word_count(text):
     """Number of words of a text column, 0 for null: words start where the six separators end.
 

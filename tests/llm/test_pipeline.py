@@ -23,6 +23,68 @@ def test_fit_separates_and_handles_one_sided_labels():
     assert fit([], [])[2] == 1.0 and fit([0, 0], rows[:2])[2] == -1.0
 
 
+def dense_solver(labels, rows, size, rounds=3000):
+    """The same classifier by plain loops over dense vectors: ratios by counting, the dual by sweeps."""
+    signs = [1.0 if y == 1 else -1.0 for y in labels]
+    share = {}
+    for sign in (1.0, -1.0):
+        counts = [1.0 + sum(s == sign and slot in set(r.tolist()) for s, r in zip(signs, rows)) for slot in range(size)]
+        rest = FEATURES - size
+        share[sign] = [c / (sum(counts) + rest) for c in counts]
+    ratio = np.log(share[1.0]) - np.log(share[-1.0])
+    points = []
+    for r in rows:
+        x = np.zeros(size + 1)
+        x[r] = ratio[r]
+        x[:-1] /= np.sqrt((x[:-1] ** 2).sum())
+        x[-1] = 1.0
+        points.append(x)
+    alpha, w = np.zeros(len(rows)), np.zeros(size + 1)
+    for _ in range(rounds):
+        for i, x in enumerate(points):
+            old = alpha[i]
+            alpha[i] = min(max(old - (signs[i] * (w @ x) - 1) / (x @ x), 0.0), 1.0)
+            w += (alpha[i] - old) * signs[i] * x
+    return np.array([w @ x for x in points])
+
+
+def test_fit_against_a_dense_solver():
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 40, 12)) for _ in range(60)]
+    labels = [int((r < 12).sum() + rng.normal() > 3.6) for r in rows]
+    weights, ratio, bias = fit(labels, rows, epochs=3000)
+    got = np.array([weights[r] @ ratio[r] / np.sqrt((ratio[r] ** 2).sum()) + bias for r in rows])
+    np.testing.assert_allclose(got, dense_solver(labels, rows, 40), atol=2e-3)
+
+
+def test_stages_judge_rows_not_ids(spark):
+    """Null, repeated and very large ids, columns with the stages' own names, and empty tables."""
+    stages = dict(corpus_pipeline.STAGES)
+    base = spark.read.parquet(f"{FOLDER}/documents.parquet").filter("n_chars > 400").limit(3)
+    texts = [r["text"] for r in base.collect()]
+    junk = "zz## " * 60
+    big = 2**53
+    rows = [
+        (big + 1, texts[0]), (big + 1, texts[0]), (big + 2, texts[0] + " x"), (None, texts[1]), (None, texts[1]),
+        (7, texts[2]), (7, junk), (8, None), (9, ""), (8, None),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars", "1 AS _row", "2 AS _group", "3 AS _mark0"
+    )
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    near = stages["n-gram Jaccard join"](spark, frame, FOLDER)
+    assert near.columns == frame.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in near.collect()), key=str)
+    want = [(big + 1, texts[0]), (None, texts[1]), (7, texts[2]), (7, junk), (8, None), (8, None), (9, "")]
+    assert got == sorted(want, key=str)
+    kept = stages["quality classifier"](spark, frame, FOLDER)
+    assert kept.columns == frame.columns
+    scores = {r["doc_id"]: r for r in score_quality(frame.selectExpr("monotonically_increasing_id() AS doc_id", "text"), labels).collect()}
+    assert kept.count() == sum(r["predicted"] for r in scores.values())
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, frame.limit(0), FOLDER).count() == 0, name
+
+
 def test_ngrams_are_distinct_and_bounded():
     distinct = Distinct()
     for text in (b"", b" ", b"a", b"word " * 1000, "über Straße".encode()):
@@ -79,7 +141,7 @@ def test_mix_of_odd_rows(odd_documents, no_documents, spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     cursor = connection.execute(queries.ORACLES[name])
     names = [c[0] for c in cursor.description]
