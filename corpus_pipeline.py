@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from tablemart.llm.jaccard_join import ngram_components
 from tablemart.llm.mixing import mix_sources
 from tablemart.llm.packing import pack_documents
-from tablemart.llm.quality import score_quality
+from tablemart.llm.quality import keep_good
 from tablemart.llm.substring_dedup import deduplicated_documents
-from tablemart.llm.tables import read
+from tablemart.llm.tables import free_names, read
 from tablemart.session import apply_settings
 from tablemart.storage import via_table
 
@@ -17,16 +17,21 @@ ORACLE_SQL = None
 
 
 def quality(spark, docs, sf_dir):
-    """Documents that the classifier does not reject; rows without doc_id have no say in it and stay."""
-    scored = score_quality(docs, read(spark, sf_dir, "labels"))
-    rejected = scored.filter("predicted = 0").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti")
+    """Rows whose text the classifier does not reject, whatever their doc_id."""
+    return keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """The document with the smallest doc_id of each group of linked documents."""
-    dropped = ngram_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    """One row of each group of linked rows: the one with the smallest doc_id (null last), and of equal
+    ones one. Rows are told apart by a number stored with them, not by doc_id."""
+    rows, row = _with_rows(docs)
+    found = ngram_components(rows.select(F.col(row).alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias(row), F.col("component_id").alias("_group"))
+    members = via_table(found.join(rows.select(row, "doc_id"), row), "members")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    groups = members.groupBy("_group").agg(F.min(first).alias("_first"), F.count("*").alias("_size")).filter("_size > 1")
+    dropped = members.join(groups, "_group").filter(F.col(row) != F.col("_first.row")).select(row)
+    return rows.join(dropped, row, "left_anti").select(*docs.columns)
 
 
 def substrings(spark, docs, sf_dir):
@@ -38,18 +43,10 @@ def substrings(spark, docs, sf_dir):
     return left
 
 
-def _free(name, columns):
-    """The name, made longer until no column has it."""
-    taken = {c.lower() for c in columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def _with_rows(docs):
     """The documents stored once with a number for each row, and the name of that column. Numbers follow
     the input splits, so a second scan could give other ones: all that uses them reads the stored rows."""
-    row = _free("_row", docs.columns)
+    row = free_names(["_row"], docs.columns)[0]
     return via_table(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
@@ -59,7 +56,7 @@ def mixed(spark, docs, sf_dir):
     Rows are told apart by a number stored with them, so that repeated and null ids count too.
     """
     rows, row = _with_rows(docs)
-    copies, copy = _free("_copies", docs.columns), _free("_copy", docs.columns)
+    copies, copy = free_names(["_copies", "_copy"], docs.columns)
     taken = mix_sources(rows.select(F.col(row).alias("doc_id"), "text", "source")).filter("taken > 0")
     taken = taken.select(F.col("doc_id").alias(row), (F.col("taken") / F.col("size")).cast("int").alias(copies))
     return rows.join(taken, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
