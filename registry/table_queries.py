@@ -1,6 +1,7 @@
 """Sources, sinks, quality checks and exports as queries over the given tables."""
 
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
@@ -8,7 +9,7 @@ from registry.inputs import areas, change_event_text, fact, hours, load, plain,
 from registry.trip_queries import FACT, WEATHER_DEMAND
 from registry.cdc_queries import ERRORS, LATEST
 from tablemart import change_lake, jobs
-from tablemart.contracts import TABLES
+from tablemart.contracts import CDC_TABLES, TABLES
 from tablemart.functions.values import bucket_of
 from tablemart.operators import grain, ranking
 from tablemart.plans import cdc, enrichment, marts, quality, trips
@@ -449,6 +450,84 @@ def trip_job(spark, folder):
     return mart.select("trip_date", "trips", "revenue_usd")
 
 
+@query(f"""WITH {FACT} SELECT trip_date, count(*) AS trips, CAST(sum(trip_total) AS DOUBLE) AS revenue_usd FROM fact GROUP BY 1""")
+def trip_job_replay(spark, folder):
+    """Two runs of the trip job: the first takes every third trip with a wrong total, the second holds the
+    corrections alone and replaces those records in bronze."""
+    root, incoming = shared_folder(spark, "trips"), _incoming(spark, folder)
+    rows = incoming["taxi_trip_raw"]
+    third = F.col("record_id").cast("bigint") % 3 == 0
+    wrong = F.regexp_replace("payload", '"trip_total":"[0-9.]+"', '"trip_total":"1.00"')
+    jobs.trip_lake(spark, root, {**incoming, "taxi_trip_raw": rows.withColumn("payload", F.when(third, wrong).otherwise(F.col("payload")))})
+    later = {"ingested_at_utc": F.lit("2024-02-02T00:00:00+00:00"), "run_id": F.lit("run_2")}
+    none = {name: frame.limit(0) for name, frame in incoming.items()}
+    jobs.trip_lake(spark, root, {**none, "taxi_trip_raw": rows.filter(third).withColumns(later)})
+    mart = snapshots.read_current(spark, root, "gold.mart_taxi_demand_daily")
+    return mart.select("trip_date", "trips", "revenue_usd")
+
+
+@query(f"""WITH {LATEST} SELECT 'loans' AS source_table, loan_id AS record_id, loan_id, status AS kind, CAST(principal_amount AS DOUBLE) AS amount
+  FROM loans WHERE NOT is_deleted UNION ALL SELECT 'loan_transactions', transaction_id, loan_id, transaction_type, CAST(amount AS DOUBLE)
+  FROM transactions WHERE NOT is_deleted""")
+def catalog_state(spark, folder):
+    """Catalog tables made from the contracts, filled by a fold, read through the views of current rows."""
+    database = f"lending_{uuid4().hex}"
+    tables.create_cdc_tables(spark, database)
+    events = via_table(cdc.valid_events(decode_events(change_event_text(spark, folder))), "ledger")
+    for name in CDC_TABLES:
+        tables.replace_table(cdc.fold(events, name), f"{database}.{name}_state")
+    loans, moves = (files.read_table(spark, name) for name in tables.create_current_views(spark, database))
+    return loans.select(
+        F.lit("loans").alias("source_table"), F.col("loan_id").alias("record_id"), "loan_id", F.col("status").alias("kind"),
+        F.col("principal_amount").alias("amount"),
+    ).unionByName(moves.select(
+        F.lit("loan_transactions").alias("source_table"), F.col("transaction_id").alias("record_id"), "loan_id",
+        F.col("transaction_type").alias("kind"), "amount",
+    ))
+
+
+@query("""WITH n AS (SELECT count(*) AS rows, count(*) FILTER (event_id % 50 = 0) AS twice, count(*) FILTER (event_id % 40 = 0) AS untotalled,
+    count(*) FILTER (event_id % 45 = 0) AS keyless, count(*) FILTER (event_id % 30 = 0) AS off, count(*) FILTER (event_id % 60 = 0) AS lost,
+    count(DISTINCT user_id) FILTER (user_id % 7 = 0) AS taxis FROM events)
+  SELECT "check", "table", violations, FALSE AS passed FROM (
+    SELECT 'unique key' AS "check", 'silver.fact_taxi_trip' AS "table", twice AS violations FROM n
+    UNION ALL SELECT 'required values', 'silver.fact_taxi_trip', untotalled FROM n
+    UNION ALL SELECT 'dimension keys', 'silver.fact_taxi_trip', keyless FROM n
+    UNION ALL SELECT 'unit conversion', 'silver.fact_taxi_trip', off FROM n
+    UNION ALL SELECT 'accepted + quarantined', 'silver.fact_taxi_trip', lost FROM n
+    UNION ALL SELECT 'reference taxi_key', 'silver.fact_taxi_trip', taxis FROM n
+    UNION ALL SELECT 'totals', 'trips lost', 1 UNION ALL SELECT 'totals', 'amount changed', 1
+    UNION ALL SELECT 'schema', 'silver.fact_taxi_trip', 3 UNION ALL SELECT 'table set', 'all', 2)""")
+def quality_faults(spark, folder):
+    """One fault put in for every check: the violations each of them finds."""
+    raw, whole = raw_trips(spark, folder), via_table(published(fact(spark, folder)), "fact")
+    name, contract = "silver.fact_taxi_trip", TABLES["silver.fact_taxi_trip"]
+    number = F.col("trip_id").cast("bigint")
+
+    def spoiled(column, modulus, value):
+        return whole.withColumn(column, F.when(number % modulus != 0, F.col(column)).otherwise(value))
+
+    total = "trip_total_usd"
+    taxis = whole.select("taxi_id", "taxi_key").distinct().filter(F.substring_index("taxi_id", "-", -1).cast("bigint") % 7 != 0)
+    daily = whole.groupBy("trip_date").agg(F.count("*").alias("trips"), F.sum(total).alias("amount"))
+    fewer = whole.filter("trip_id <> '1'").groupBy("trip_date").agg(F.count("*").alias("trips"), F.sum(total).alias("amount"))
+    found = [
+        quality.unique_grain(name, whole.unionByName(whole.filter(number % 50 == 0)), contract.primary_key),
+        quality.required_values(name, spoiled(total, 40, F.lit(None)), [total]),
+        quality.dimension_keys_present(spoiled("taxi_key", 45, F.lit(None))),
+        quality.conversion_exact(spoiled("trip_distance_km", 30, F.col("trip_distance_km") + 1)),
+        quality.split_complete(raw, whole.filter(number % 60 != 0), whole.limit(0)),
+        quality.references_found(name, whole, taxis, "taxi_key"),
+        quality.totals_match(whole, {
+            "good": (daily, "trips", "amount"), "trips lost": (fewer, "trips", "amount"),
+            "amount changed": (daily.withColumn("amount", F.col("amount") + 1), "trips", "amount"),
+        }).filter("NOT passed"),
+        quality.schema_drift(spark, name, whole.drop("company").withColumn("extra", F.lit(1)).withColumn("trip_hour", F.lit("1")), contract),
+        quality.table_set(spark, {**{k: None for k in TABLES if k != "silver.dim_taxi"}, "silver.other": None}, TABLES),
+    ]
+    return quality.report(found)
+
+
 def _incoming(spark, folder):
     def envelope(rows, key):
         return rows.select(

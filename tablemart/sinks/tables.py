@@ -50,6 +50,17 @@ def register_location(spark, name, path, schema_ddl=None):
         spark.catalog.recoverPartitions(name)
 
 
+def create_current_views(spark, database):
+    """Views of the current business rows of the state tables: no tombstones, no bookkeeping columns."""
+    for name, contract in CDC_TABLES.items():
+        columns = ", ".join(["source_system", *contract.fields])
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {quoted(f'{database}.{name}_current')} AS"
+            f" SELECT {columns} FROM {quoted(f'{database}.{name}_state')} WHERE NOT is_deleted"
+        )
+    return [f"{database}.{name}_current" for name in CDC_TABLES]
+
+
 def create_cdc_tables(spark, database):
     """Ledger, quarantine and state tables of the event contract, when missing."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
