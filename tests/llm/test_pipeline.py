@@ -188,7 +188,7 @@ def shingle_words(text):
 
 def test_stage_list_and_entry():
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and os.path.exists(corpus_pipeline.__file__)
-    assert len([n for n in queries.QUERIES if n.startswith("op")]) == 10
+    assert len([n for n in queries.QUERIES if n.startswith("op")]) == 13
 
 
 def test_mix_survives_another_cut_of_the_input(spark, tmp_path, monkeypatch):
