@@ -30,7 +30,8 @@ def near_duplicates(spark, docs, sf_dir):
     members = via_table(found.join(rows.select(row, "doc_id"), row), "members")
     first = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     groups = members.groupBy("_group").agg(F.min(first).alias("_first"), F.count("*").alias("_size")).filter("_size > 1")
-    dropped = members.join(groups, "_group").filter(F.col(row) != F.col("_first.row")).select(row)
+    # Stored, so that the join shuffles both sides for itself and Spark can split a group of very many rows.
+    dropped = members.join(via_table(groups, "groups"), "_group").filter(F.col(row) != F.col("_first.row")).select(row)
     return rows.join(dropped, row, "left_anti").select(*docs.columns)
 
 
