@@ -1,5 +1,7 @@
 """Near-duplicate vectors by spherical-cap filters: random product codes, listed per vector, joined."""
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -9,54 +11,71 @@ from tablemart.llm.vectors import whole_vectors
 from tablemart.storage import via_table
 
 TABLES = 2
-PARTS = 4
-CODEWORDS = 32
-CAPS = 8
+#: Share of pairs at the threshold, the hardest ones, that a height lets meet; closer pairs meet more often.
+RECALL = 0.99
+#: Random pairs that a height is fitted on. They follow from the seed alone; no data is looked at.
+TRIALS = 400
 BLOCK_ROWS = 1024
+CAPS_AT_ONCE = 512
 SEED = 20250101
 
 
 class Caps:
-    """Structured filter directions: one codeword of each part of a randomly turned vector.
+    """Structured filter directions: one codeword of each half of a randomly turned vector.
 
-    A table has CODEWORDS ** PARTS directions. A vector exceeds a direction when their inner product
-    is at least that of its own CAPS-th best direction, so every vector lies in CAPS caps of each
-    table wherever it points (ties at that height add more). The list is decoded from the two halves
-    of the parts: sums of one half that cannot reach the height with the best of the other half are
-    left out before halves are combined.
+    A table has 1024 * 1024 directions (32 * 32 below 32 components, 32 below 8). The list of a vector
+    is decoded from its halves: codewords that cannot reach the height with the best of the other half
+    are left out before halves are combined.
     """
 
     def __init__(self, width, table):
         rng = np.random.default_rng([SEED, width, table])
         self.turn = np.linalg.qr(rng.standard_normal((width, width)))[0]
-        parts = max(1, min(PARTS, width // 4))
-        self.cuts = np.array_split(np.arange(width), parts)
         self.words = []
-        for cut in self.cuts:
-            word = rng.standard_normal((CODEWORDS, len(cut)))
-            self.words.append(word / np.linalg.norm(word, axis=1, keepdims=True))
-        self.half = (parts + 1) // 2
-
-    def _sums(self, turned, parts):
-        total = np.zeros((len(turned), 1))
-        for part in parts:
-            scores = turned[:, self.cuts[part]] @ self.words[part].T
-            total = (total[:, :, None] + scores[:, None, :]).reshape(len(turned), -1)
-        return total
-
-    def codes(self, units):
+        for cut in np.array_split(np.arange(width), 1 if width < 8 else 2):
+            word = rng.standard_normal((32 if width < 32 else 1024, len(cut)))
+            self.words.append((cut, word / np.linalg.norm(word, axis=1, keepdims=True)))
+
+    def halves(self, units):
+        """Inner products with the codewords of both halves; a narrow vector has an empty second half."""
         turned = units @ self.turn
-        head = self._sums(turned, range(self.half))
-        tail = self._sums(turned, range(self.half, len(self.cuts)))
-        for front, back in zip(head, tail):
-            # The best CAPS sums lie among the best CAPS of each half.
-            a = np.argpartition(-front, min(CAPS, front.size) - 1)[:CAPS]
-            b = np.argpartition(-back, min(CAPS, back.size) - 1)[:CAPS]
-            sums = front[a][:, None] + back[b][None, :]
-            height = np.partition(sums, max(0, sums.size - CAPS), axis=None)[max(0, sums.size - CAPS)]
-            i, j = np.nonzero(sums >= height)
+        scores = [turned[:, cut] @ word.T for cut, word in self.words]
+        return scores if len(scores) == 2 else [*scores, np.zeros((len(units), 1))]
+
+    def codes(self, units, height):
+        """Per vector, all directions whose inner product with it is at least the height."""
+        for front, back in zip(*self.halves(units)):
+            a = np.flatnonzero(front >= height - back.max())
+            b = np.flatnonzero(back >= height - front.max())
+            i, j = np.nonzero(front[a][:, None] + back[b][None, :] >= height)
             yield a[i] * back.size + b[j]
 
+    def meeting(self, first, second, best=256):
+        """Per pair, the largest height at which some direction holds both (sought among the best
+        codewords of the pair, so it is never overstated)."""
+        (front, back), (other_front, other_back) = self.halves(first), self.halves(second)
+        for one, two, three, four in zip(front, other_front, back, other_back):
+            a, b = np.argsort(-(one + two))[:best], np.argsort(-(three + four))[:best]
+            yield np.minimum(one[a][:, None] + three[b], two[a][:, None] + four[b]).max()
+
+
+@lru_cache(maxsize=64)
+def filters(width, least):
+    """The tables for vectors of a width and the one cap height all of them share: of TRIALS random pairs
+    with cosine `least`, the share RECALL has a direction in some table that holds both."""
+    tables = [Caps(width, table) for table in range(TABLES)]
+    rng = np.random.default_rng([SEED, width])
+    first, away = rng.standard_normal((2, TRIALS, width))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    away -= (away * first).sum(axis=1, keepdims=True) * first
+    size = np.linalg.norm(away, axis=1, keepdims=True)
+    # One component leaves no way to turn: the pair is equal then.
+    second = least * first + np.sqrt(max(0.0, 1 - least * least)) * away / np.maximum(size, 1e-9)
+    second /= np.linalg.norm(second, axis=1, keepdims=True)
+    heights = np.max([list(table.meeting(first, second)) for table in tables], axis=0)
+    # A hair lower, so that rounding does not decide about a pair of equal vectors.
+    return tables, float(np.quantile(heights, 1 - RECALL, method="lower")) - 1e-9
+
 
 def _units(vectors):
     points = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
@@ -64,23 +83,24 @@ def _units(vectors):
     return points / np.linalg.norm(points, axis=1, keepdims=True)
 
 
-def _list_caps(batches):
-    caps = {}
-    for batch in batches:
-        for width, rows in batch.groupby(batch["vector"].map(len)):
-            units = _units(rows["vector"])
-            for table in range(TABLES):
-                if (width, table) not in caps:
-                    caps[width, table] = Caps(width, table)
-                for low in range(0, len(rows), 256):
-                    part = rows.iloc[low : low + 256]
-                    found = list(caps[width, table].codes(units[low : low + 256]))
-                    repeat = [len(c) for c in found]
-                    cap = np.concatenate(found).astype(np.int64) * TABLES + table
-                    yield pd.DataFrame({
-                        "rep": np.repeat(part["rep"].to_numpy(), repeat),
-                        "area": np.repeat(part["area"].to_numpy(), repeat), "cap": cap,
-                    })
+def _list_caps(least):
+    def listed(batches):
+        for batch in batches:
+            for width, rows in batch.groupby(batch["vector"].map(len)):
+                units = _units(rows["vector"])
+                tables, height = filters(width, least)
+                for table, caps in enumerate(tables):
+                    for low in range(0, len(rows), 256):
+                        part = rows.iloc[low : low + 256]
+                        found = list(caps.codes(units[low : low + 256], height))
+                        repeat = [len(c) for c in found]
+                        yield pd.DataFrame({
+                            "rep": np.repeat(part["rep"].to_numpy(), repeat),
+                            "area": np.repeat(part["area"].to_numpy(), repeat),
+                            "cap": np.concatenate(found).astype(np.int64) * TABLES + table,
+                        })
+
+    return listed
 
 
 def _reach(linked):
@@ -95,6 +115,27 @@ def _reach(linked):
         low = new
 
 
+def _met_before(lists, left, right, cap):
+    """Which rows of the left and of the right share a listed cap below `cap`."""
+    sides = []
+    for places in (left, right):
+        own = [lists[place] for place in places]
+        row, listed = np.repeat(np.arange(len(own)), [len(c) for c in own]), np.concatenate(own)
+        sides.append((len(own), row[listed < cap], listed[listed < cap]))
+    shared = np.intersect1d(sides[0][2], sides[1][2])
+    met = np.zeros((len(left), len(right)), dtype=bool)
+    for low in range(0, len(shared), CAPS_AT_ONCE):
+        part, held = shared[low : low + CAPS_AT_ONCE], []
+        for size, row, listed in sides:
+            at = np.minimum(np.searchsorted(part, listed), len(part) - 1)
+            here = part[at] == listed
+            holds = np.zeros((size, len(part)), dtype=np.float32)
+            holds[row[here], at[here]] = 1
+            held.append(holds)
+        met |= held[0] @ held[1].T > 0
+    return met
+
+
 def _verify(least):
     def check(key, rows):
         """Links within one cap, or between two blocks of a crowded cap; a pair counts in its first
@@ -108,15 +149,7 @@ def _verify(least):
         units, ids = _units(rows["vector"]), rows["rep"].to_numpy()
         linked = units[left] @ units[right].T >= least
         linked &= ids[left][:, None] != ids[right][None, :]
-        fresh, seen = linked.copy(), {}
-        for side, places in enumerate((left, right)):
-            for row, place in enumerate(places):
-                for other in rows["caps"].iat[place]:
-                    if other < cap:
-                        seen.setdefault(other, ([], []))[side].append(row)
-        for a, b in seen.values():
-            if a and b:
-                fresh[np.ix_(a, b)] = False
+        fresh = linked & ~_met_before(rows["caps"].to_numpy(), left, right, cap) if linked.any() else linked
         copies = rows["copies"].to_numpy()
         count = np.zeros(len(rows), dtype=np.int64)
         count[left] += (fresh * copies[right][None, :]).sum(axis=1)
@@ -132,7 +165,7 @@ def _verify(least):
 
 def cap_links(groups, least):
     """(rep, links, root) rows of groups (rep, area, vector, copies): verified links found in a cap."""
-    listed = via_table(groups.mapInPandas(_list_caps, "rep long, area string, cap long"), "caps")
+    listed = via_table(groups.mapInPandas(_list_caps(least), "rep long, area string, cap long"), "caps")
     crowd = listed.groupBy("area", "cap").agg(F.count("*").alias("crowd")).filter("crowd > 1")
     shared = listed.join(crowd, ["area", "cap"])
     per_row = shared.groupBy("rep", "area").agg(
@@ -163,8 +196,9 @@ def near_duplicate_vectors(frame, key="vec_id", vector="embedding", label="label
     are folded into one before the search and all link; rows of one repeated key share their links.
     Only vectors of equal length meet. An empty frame gives no rows. Other columns are not looked at.
 
-    Pairs come from common filters, so a pair can be missed (the share is measured in the tests);
-    none below the threshold is kept. Filters are the same for every input; no data is fitted.
+    Pairs come from common filters: every vector is listed in all caps it exceeds at one height, with no
+    bound on the list. A pair can be missed (RECALL; the share is measured in the tests); none below the
+    threshold is kept. Filters and heights are the same for every input; no data is fitted.
     """
     named = whole_vectors(frame.select(key, vector, label), key, vector, F.col(label).cast("string").alias("area"))
     named = named.filter(F.col("area").isNotNull() & F.exists("vector", lambda x: x != 0)).withColumn(

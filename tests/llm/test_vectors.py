@@ -85,6 +85,39 @@ def test_near_vectors_recall_and_no_false_links(spark, embeddings, monkeypatch):
             assert all(r["kept"] == (k == r["component_id"]) for k, r in got.items())
 
 
+def test_lists_hold_every_direction_above_the_height():
+    rng = np.random.default_rng(7)
+    for width in (1, 3, 8, 40):
+        tables, height = near_vectors.filters(width, 0.98)
+        units = near_vectors._units(rng.normal(size=(20, width)))
+        for table in tables:
+            front, back = table.halves(units)
+            every = (front[:, :, None] + back[:, None, :]).reshape(len(units), -1)
+            for sums, found in zip(every, table.codes(units, height)):
+                assert found.tolist() == np.flatnonzero(sums >= height).tolist()
+
+
+def test_height_keeps_its_recall_on_fresh_pairs():
+    rng = np.random.default_rng(8)
+    for width in (8, 64, 256):
+        tables, height = near_vectors.filters(width, 0.98)
+        first, away = rng.normal(size=(2, 300, width))
+        first = near_vectors._units(first)
+        away = near_vectors._units(away - (away * first).sum(axis=1, keepdims=True) * first)
+        second = 0.98 * first + np.sqrt(1 - 0.98**2) * away
+        met = np.zeros(300, dtype=bool)
+        for table in tables:
+            lists = zip(table.codes(first, height), table.codes(second, height))
+            met |= [len(np.intersect1d(a, b)) > 0 for a, b in lists]
+        assert met.mean() >= 0.96
+
+
+def test_pairs_met_in_an_earlier_cap():
+    lists = [np.array(c, dtype=np.int64) for c in ([1, 5, 9], [5, 9], [2, 9], [1, 2, 9], [9])]
+    met = near_vectors._met_before(lists, np.array([0, 1, 2]), np.array([2, 3, 4]), 9)
+    assert met.tolist() == [[False, True, False], [False, False, False], [True, True, False]]
+
+
 def test_near_vectors_of_odd_rows(spark):
     frame = odd(spark)
     got = near_duplicate_vectors(frame).collect()
