@@ -136,29 +136,74 @@ def _met_before(lists, left, right, cap):
     return met
 
 
+ORDER = ["area", "cap", "first", "second"]
+
+
+def _group_links(units, ids, copies, caps, left, right, cap, least):
+    """(place, links, root) of the linked rows of two blocks of a cap, given in ascending ids. A pair
+    counts in its first common cap only, its connection in every one."""
+    linked = units[left] @ units[right].T >= least
+    linked &= left[:, None] != right[None, :]
+    if not linked.any():
+        return None
+    fresh = linked & ~_met_before(caps, left, right, cap)
+    count = np.zeros(len(ids), dtype=np.int64)
+    count[left] += (fresh * copies[right][None, :]).sum(axis=1)
+    if left is not right:
+        count[right] += (fresh * copies[left][:, None]).sum(axis=0)
+    whole = np.zeros((len(ids), len(ids)), dtype=bool)
+    whole[np.ix_(left, right)] = linked
+    whole |= whole.T
+    place = np.flatnonzero(whole.any(axis=1))
+    return place, count[place], ids[_reach(whole)][place]
+
+
+def _starts(rows):
+    """Where the groups of sorted rows start."""
+    new = np.zeros(len(rows), dtype=bool)
+    new[:1] = True
+    for name in ORDER:
+        values = rows[name].to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def _verified(rows, starts, least):
+    """Links of whole groups, given in the order of their keys and ids."""
+    area, cap, first, second, block = (rows[n].to_numpy() for n in (*ORDER, "block"))
+    ids, copies, caps = (rows[n].to_numpy() for n in ("rep", "copies", "caps"))
+    found, units = [], None
+    for low, high in zip(starts, [*starts[1:], len(rows)]):
+        if units is None or area[low] != area[low - 1]:
+            # Vectors of one area have one length.
+            begin, end = low, low + int(np.argmin(np.append(area[low:] == area[low], False)))
+            units = _units(rows["vector"].iloc[begin:end])
+        if first[low] == second[low]:
+            left = right = np.arange(high - low)
+        else:
+            left, right = (np.flatnonzero(block[low:high] == side) for side in (first[low], second[low]))
+        got = _group_links(
+            units[low - begin : high - begin], ids[low:high], copies[low:high], caps[low:high], left, right, cap[low], least
+        )
+        if got is not None:
+            found.append((ids[low:high][got[0]], got[1], got[2]))
+    columns = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
+    return pd.DataFrame(dict(zip(("rep", "links", "root"), columns)))
+
+
 def _verify(least):
-    def check(key, rows):
-        """Links within one cap, or between two blocks of a crowded cap; a pair counts in its first
-        common cap only, its connection in every one."""
-        cap, first, second = key[1], key[2], key[3]
-        rows = rows.sort_values("rep", ignore_index=True)
-        left = np.flatnonzero(rows["block"].to_numpy() == first)
-        right = np.flatnonzero(rows["block"].to_numpy() == second)
-        if not len(left) or not len(right):
-            return pd.DataFrame({"rep": [], "links": [], "root": []})
-        units, ids = _units(rows["vector"]), rows["rep"].to_numpy()
-        linked = units[left] @ units[right].T >= least
-        linked &= ids[left][:, None] != ids[right][None, :]
-        fresh = linked & ~_met_before(rows["caps"].to_numpy(), left, right, cap) if linked.any() else linked
-        copies = rows["copies"].to_numpy()
-        count = np.zeros(len(rows), dtype=np.int64)
-        count[left] += (fresh * copies[right][None, :]).sum(axis=1)
-        if first != second:
-            count[right] += (fresh * copies[left][:, None]).sum(axis=0)
-        whole = np.zeros((len(rows), len(rows)), dtype=bool)
-        whole[np.ix_(left, right)] = linked
-        whole |= whole.T
-        return pd.DataFrame({"rep": ids, "links": count, "root": ids[_reach(whole)]})
+    def check(batches):
+        """Groups one after another; the last one of a batch waits, as it may go on in the next."""
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            starts = _starts(rows)
+            if len(starts) > 1:
+                yield _verified(rows.iloc[: starts[-1]], starts[:-1], least)
+                rows = rows.iloc[starts[-1] :].reset_index(drop=True)
+            held = rows
+        if held is not None and len(held):
+            yield _verified(held, np.array([0]), least)
 
     return check
 
@@ -181,7 +226,8 @@ def cap_links(groups, least):
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     )
     rows = rows.withColumn("first", F.least("block", "other")).withColumn("second", F.greatest("block", "other"))
-    return rows.groupBy("area", "cap", "first", "second").applyInPandas(
+    # Most caps hold two or three rows: a task takes many of them at a time, sorted, not one by one.
+    return rows.repartition(*ORDER).sortWithinPartitions(*ORDER, "rep").mapInPandas(
         _verify(least), "rep long, links long, root long"
     )
 
