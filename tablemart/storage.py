@@ -1,5 +1,6 @@
 """Shared folders for checkpoints and for tables written between two steps."""
 
+import os
 import re
 import tempfile
 from uuid import uuid4
@@ -52,12 +53,32 @@ def _place(spark, path):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+def _link_once(path, text):
+    """create_once on a mounted disk, where creating looks first and writes then, so that two writers
+    could both succeed. A link is made or refused in one step, with the whole text behind it."""
+    folder = os.path.dirname(path)
+    os.makedirs(folder, exist_ok=True)
+    handle, draft = tempfile.mkstemp(prefix=".", dir=folder)
+    try:
+        with os.fdopen(handle, "w", encoding="utf-8") as out:
+            out.write(text)
+        os.chmod(draft, 0o644)
+        os.link(draft, path)
+        return True
+    except FileExistsError:
+        return False
+    finally:
+        os.unlink(draft)
+
+
 def create_once(spark, path, text):
     """Create a small file unless it is there already; False means that another writer made it.
 
     The file system decides between two writers at once, so at most one of them gets True.
     """
     files, where = _place(spark, path)
+    if files.getScheme() == "file":
+        return _link_once(where.toUri().getPath(), text)
     try:
         stream = files.create(where, False)
     except Exception as error:
