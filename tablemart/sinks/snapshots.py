@@ -11,6 +11,7 @@ import json
 from pyspark.errors import AnalysisException
 
 from tablemart.storage import create_once, names_in, read_text
+from tablemart.table_notes import OWNER, describe, describe_column
 
 POINTER = "version bigint, run_id string, published_at_utc string, tables string"
 RUNS = (
@@ -66,13 +67,16 @@ def read_current(spark, root, name):
     return spark.read.parquet(table_folder(root, run_id, name)) if run_id else None
 
 
-def table_metadata(frames, contracts):
-    """Manifest rows: columns, partitioning, grain and contract version of each table."""
+def table_metadata(frames, contracts, owner=OWNER):
+    """Manifest rows: meaning, owner, columns with their meaning, partitioning, grain and contract
+    version of each table. A table without a contract has no grain and version 1."""
     for name, frame in sorted(frames.items()):
         contract = contracts.get(name)
         yield {
             "table_name": name,
-            "columns": ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in frame.schema),
+            "description": describe(name),
+            "owner": owner,
+            "columns": [(c.name, c.dataType.simpleString(), describe_column(c.name)) for c in frame.schema],
             "partition_by": ", ".join(contract.partition_by) if contract else "",
             "grain": ", ".join(contract.primary_key) if contract else "",
             "contract_version": contract.version if contract else 1,
@@ -80,7 +84,9 @@ def table_metadata(frames, contracts):
 
 
 MANIFEST = (
-    "table_name string, columns string, partition_by string, grain string, contract_version int"
+    "table_name string, description string, owner string,"
+    " columns array<struct<name:string,type:string,description:string>>, partition_by string,"
+    " grain string, contract_version int"
 )
 
 
@@ -89,6 +95,11 @@ def write_manifest(spark, root, run_id, rows):
     frame.write.mode("errorifexists").json(f"{run_folder(root, run_id)}/manifest")
 
 
+def manifest(spark, root, run_id):
+    """The manifest of a run, one row per table."""
+    return spark.read.schema(MANIFEST).json(f"{run_folder(root, run_id)}/manifest")
+
+
 class PublishConflict(RuntimeError):
     """Another writer published the version first; nothing was written."""
 

@@ -8,9 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from change_events import example, write
-from tablemart import jobs
+from tablemart import jobs, table_notes
+from tablemart.contracts import TABLES
 from tablemart.plans import cdc, outbox
-from tablemart.sinks import exports, tables
+from tablemart.sinks import exports, snapshots, tables
 from tablemart.sources import files, jdbc
 
 
@@ -33,6 +34,25 @@ def test_catalog_tables(spark, tmp_path):
         files.read_table(spark, "lending_cdc.loans; drop table x")
 
 
+def test_manifest_says_what_tables_and_columns_mean(spark, tmp_path):
+    frames = {name: spark.createDataFrame([], contract.schema) for name, contract in TABLES.items()}
+    frames["extra.notes"] = spark.createDataFrame([], "unknown_column int")
+    snapshots.write_manifest(spark, str(tmp_path), "run_1", snapshots.table_metadata(frames, TABLES))
+    rows = {r["table_name"]: r for r in snapshots.manifest(spark, str(tmp_path), "run_1").collect()}
+    assert set(rows) == set(frames) and {r["owner"] for r in rows.values()} == {table_notes.OWNER}
+    assert set(table_notes.TABLES) == set(TABLES)
+    daily = rows["gold.mart_taxi_demand_daily"]
+    assert (daily["grain"], daily["partition_by"], daily["contract_version"]) == ("trip_date", "trip_date", 1)
+    assert daily["columns"][1].asDict() == {"name": "trips", "type": "bigint", "description": "Number of trips"}
+    extra = rows["extra.notes"]
+    assert (extra["description"], extra["grain"]) == ("extra.notes", "")
+    assert extra["columns"][0]["description"] == "unknown_column"
+    published = {c.name for contract in TABLES.values() for c in contract.schema}
+    assert set(table_notes.COLUMNS) <= published
+    with pytest.raises(AnalysisException):
+        snapshots.write_manifest(spark, str(tmp_path), "run_1", snapshots.table_metadata(frames, TABLES))
+
+
 def box(spark, rows):
     return spark.createDataFrame(rows, (
         "event_id string, event_sequence bigint, source_schema string, source_table string, operation string,"
