@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from tablemart.contracts import CAPTURE_METHOD, DEFAULT_SOURCE, SOURCE_SCHEMA
+from tablemart.functions.settle import settle
 from tablemart.plans import enrichment, trips
 from tablemart.plans.outbox import derived_event_id
 from tablemart.sources.files import spread_scan
@@ -189,6 +190,8 @@ def change_event_text(spark, folder, faults=False):
             .when(number % 41 == 0, F.concat(value, F.lit(" x")))
             .otherwise(value)
         )
-    return events.select(
+    rows = events.select(
         value.alias("value"), F.concat(F.lit("events/"), number.cast("string")).alias("source_file")
     )
+    # A filter on the text would render it a second time.
+    return settle(rows, ["source_file"], ["value"]).select(*rows.columns)

@@ -54,15 +54,16 @@ def canonical_iso(column):
     """ISO text with +00:00 of extended ISO-8601 text that names its zone; NULL otherwise.
 
     Text in UTC with seconds, the usual case, only needs its zeros trimmed once it is known to
-    be a date that exists.
+    be a date that exists; without its Z that takes no look at zones.
     """
-    fraction = F.substring(column, F.lit(20), F.length(column) - 20)
-    trimmed = F.rtrim(F.rtrim(fraction, F.lit("0")), F.lit("."))
+    clock = F.substring(column, F.lit(1), F.length(column) - 1)
+    fraction = F.substring(clock, F.lit(20), F.length(clock))
+    trimmed = F.concat(F.substring(clock, 1, 19), F.rtrim(F.rtrim(fraction, F.lit("0")), F.lit(".")))
     return F.when(
         column.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?Z\z"),
         F.when(
-            column.try_cast("timestamp").isNotNull(),
-            F.concat(F.substring(column, 1, 19), trimmed, F.lit("+00:00")),
+            clock.try_cast("timestamp_ntz").isNotNull(),
+            F.concat(F.when(F.endswith(column, F.lit("0Z")), trimmed).otherwise(clock), F.lit("+00:00")),
         ),
     ).otherwise(iso_utc_text(utc_from_iso(column)))
 

@@ -60,5 +60,9 @@ def canonical_uuid(column):
 
 
 def integer_text(column):
-    """64-bit integer from its shortest decimal text; '+1', '01' and '1.0' give NULL."""
-    return F.when(column.rlike(r"^(0|-?[1-9][0-9]*)\z"), column.try_cast("bigint"))
+    """64-bit integer from its shortest decimal text; '+1', '01' and '1.0' give NULL.
+
+    The shortest text is the one that the number itself is written as.
+    """
+    number = column.try_cast("bigint")
+    return F.when(number.cast("string") == column, number)

@@ -33,9 +33,10 @@ _WHOLE = "BIGINT|STRING"
 _NUMBER = r"BIGINT|STRING|DOUBLE|FLOAT|DECIMAL\([0-9]+,[0-9]+\)"
 
 
-# All members as text, and both row images as maps, so that unknown members show.
+# All members as text, and both row images as maps, so that unknown members show. The version is a
+# bare whole number: text, fractions and truth values are none and give NULL.
 _ENVELOPE = (
-    "schema_version string, capture_method string, source_system string, source_schema string,"
+    "schema_version int, capture_method string, source_system string, source_schema string,"
     " source_table string, operation string, event_id string, event_sequence string,"
     " captured_at string, record_data map<string,string>, record_key map<string,string>"
 )
@@ -63,14 +64,16 @@ def _not(condition):
 def _money(text):
     """Amount of at most ten digits before and two after the point.
 
-    Other spellings (exponents, trailing zeros) are compared at a wider scale first, because a
+    Text that the amount itself is written as, the usual case, needs no look at its digits. Other
+    spellings (exponents, trailing zeros) are compared at a wider scale first, because a
     cast to two decimals rounds; digits beyond the wider scale are looked for in the text.
     """
+    usual = text.try_cast("decimal(12,2)")
     exact = text.try_cast("decimal(38,18)")
     long_tail = text.rlike(r"^[^eE]*\.[0-9]{2}[0-9]*[1-9]")
     fits = (F.abs(exact) < F.lit(MONEY_LIMIT).cast("decimal(38,18)")) & (exact == F.round(exact, 2))
-    return F.when(
-        text.rlike(r"^-?[0-9]{1,10}(\.[0-9]{1,2})?\z"), text.try_cast("decimal(12,2)")
+    return F.when(usual.cast("string") == text, usual).when(
+        text.rlike(r"^-?[0-9]{1,10}(\.[0-9]{1,2})?\z"), usual
     ).when(fits & ~long_tail, exact.try_cast("decimal(12,2)"))
 
 
@@ -84,10 +87,12 @@ def _text(name, kind):
     """Text of a field.
 
     That of the map is enough but for amounts: a bare number there has gone through a double,
-    so amounts come from the document, which keeps decimals exact.
+    so amounts come from the document, which keeps decimals exact. The way into the document is
+    dear and taken for the tables that have the field alone.
     """
     if kind.startswith("decimal"):
-        return member(F.col("_document"), f"record_data.{name}", "string")
+        tables = [table for table, contract in CDC_TABLES.items() if name in contract.fields]
+        return F.when(F.col("_table").isin(tables), member(F.col("_document"), f"record_data.{name}", "string"))
     return F.try_element_at("_data", F.lit(name))
 
 
@@ -151,9 +156,7 @@ def _envelope_rules(source):
     yield "envelope must be an object", F.col("_version").isNull() & ~F.startswith(
         kind_of(value_of(document)), F.lit("OBJECT")
     )
-    # The text '1' is also that of the string "1".
-    whole = kind_of(member(document, "schema_version")) == "BIGINT"
-    yield "unsupported schema_version", _not((F.col("_version") == str(SCHEMA_VERSION)) & whole)
+    yield "unsupported schema_version", _not(F.col("_version") == SCHEMA_VERSION)
     yield "unsupported capture_method", _not(F.col("_method") == CAPTURE_METHOD)
     yield "unexpected source_system", _not(F.col("_source") == source)
     yield "unsupported source_schema", _not(F.col("_schema") == SOURCE_SCHEMA)
@@ -227,8 +230,8 @@ def _stages(session, source, text):
     ]
     content = F.to_json(
         F.array(
-            F.lit(source), F.col("_id"), F.col("_sequence").cast("string"), F.col("_table"),
-            F.col("_operation"), F.col("_captured"), F.col("_payload"),
+            F.lit(source), F.col("event_id"), F.col("event_sequence").cast("string"), F.col("source_table"),
+            F.col("operation"), F.col("captured_at"), F.col("payload_json"),
         )
     )
     found = {
@@ -240,17 +243,19 @@ def _stages(session, source, text):
         "operation": F.col("_operation"),
         "captured_at": F.col("_captured"),
         "payload_json": F.col("_payload"),
-        "event_hash": F.sha2(content, 256),
     }
     valid = F.col("error").isNull()
     result = [F.col("error"), *[F.when(valid, column).alias(name) for name, column in found.items()]]
-    return parsed, opened, texts, values, judged, result
+    return parsed, opened, texts, values, judged, result, F.when(valid, F.sha2(content, 256)).alias(DECODED[-1])
 
 
 def decode_events(raw, source=DEFAULT_SOURCE, text="value"):
-    """The raw rows with either `error` or the normalised event columns."""
+    """The raw rows with either `error` or the normalised event columns.
+
+    The hash stands behind the settled columns, as no filter refers to it: without a reader it is not made.
+    """
     keep = [F.col(name) for name in raw.columns]
     session = raw.sparkSession.sparkContext.applicationId
-    parsed, opened, texts, values, judged, result = _stages(session, source, text)
+    parsed, opened, texts, values, judged, result, event_hash = _stages(session, source, text)
     rows = raw.select(*keep, *parsed).select(*keep, *opened).select("*", *texts).select("*", *values)
-    return settle(rows.select(*keep, *judged).select(*keep, *result), raw.columns, DECODED)
+    return settle(rows.select(*keep, *judged).select(*keep, *result), raw.columns, DECODED[:-1]).select("*", event_hash)

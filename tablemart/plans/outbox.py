@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tablemart.contracts import CAPTURE_METHOD, DEFAULT_SOURCE, SCHEMA_VERSION
 from tablemart.functions.times import outbox_text
-from tablemart.functions.values import canonical_uuid
 from tablemart.operators.merge import snapshot_changes
 from tablemart.operators.ranking import number_rows
 from tablemart.sinks.tables import write_partitioned
@@ -111,8 +110,15 @@ def deliver(outcomes, path, source=DEFAULT_SOURCE):
 
 
 def derived_event_id(*columns):
-    """UUID text that depends only on the named values, so a rerun gives the same id."""
-    return canonical_uuid(F.md5(F.concat_ws("/", *columns)))
+    """UUID text that depends only on the named values, so a rerun gives the same id.
+
+    An MD5 is 32 lower-case digits, so dashes at their places are all that its canonical spelling needs.
+    """
+    digest, at, parts = F.md5(F.concat_ws("/", *columns)), 1, []
+    for length in (8, 4, 4, 4, 12):
+        parts.append(F.substring(digest, at, length))
+        at += length
+    return F.concat_ws("-", *parts)
 
 
 def bootstrap_events(rows, schema, table, key, snapshot_name, markers):

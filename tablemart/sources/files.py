@@ -1,10 +1,14 @@
 """Scans with fixed schemas: nothing is inferred from the data."""
 
+from math import ceil
+
 from pyspark.sql import functions as F
 
 from tablemart.contracts import RAW_ENVELOPE
 
 DOCUMENT_GLOB = "*.json"
+#: Rows of a scan that one task renders or parses.
+ROWS_PER_TASK = 100_000
 
 
 def read_batches(spark, paths):
@@ -41,14 +45,14 @@ def read_parquet(spark, path, schema=None):
 
 
 def spread_scan(rows):
-    """The rows of a scan over all cores, where it has fewer tasks than there are cores.
+    """The rows of a scan over all cores and in tasks of at most ROWS_PER_TASK rows.
 
-    For narrow rows before dear work: a small file is one task however dear its rows are to parse. A
-    scan of many files has tasks enough and stays as it is. Only for plain scans: asking for the
-    tasks of a plan with shuffles would run them.
+    For narrow rows before dear work: a scan is cut by the bytes of its files, however dear the rows
+    are to parse. Parquet counts its rows without reading them. A scan that has tasks enough stays as
+    it is. Only for plain scans: asking for the tasks of a plan with shuffles would run them.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, ceil(rows.count() / ROWS_PER_TASK))
+    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
 
 
 def quoted(name):

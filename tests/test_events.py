@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from change_events import SOURCE, loan, transaction
+from registry.inputs import change_event_text
 from tablemart.plans.event_decode import decode_events
 
 
@@ -159,3 +160,27 @@ def test_session_zone_does_not_matter(spark, zone):
         assert decode(spark, [loan(1, 1001, "1000.00")])[0]["event_hash"] == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_hash_is_made_for_its_readers_alone(spark):
+    decoded = decode_events(spark.createDataFrame([("{}",)], "value string"))
+    for column, there in (("error", False), ("event_hash", True)):
+        plan = decoded.select(column)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("sha2" in plan) == there
+
+
+def test_usual_and_odd_spellings_agree(spark):
+    zero = [with_data(created_at=f"2026-02-03T04:05:{text}Z") for text in ("10", "10.5", "10.500000", "10.000000", "07.120")]
+    rows = decode(spark, zero)
+    stamps = [json.loads(row["payload_json"])["created_at"][17:] for row in rows]
+    assert stamps == ["10+00:00", "10.5+00:00", "10.5+00:00", "10+00:00", "07.12+00:00"]
+    signs = decode(spark, [with_data(loan_id=text) for text in ("-0", " 1001", "1001 ", "1e3", "1001L")])
+    assert [row["error"] for row in signs] == ["invalid bigint"] * 5
+
+
+def test_filter_on_the_text_does_not_render_it_again(spark, tmp_path):
+    spark.sql("SELECT id AS event_id, id AS user_id, timestamp'2024-01-01' AS ts, 'signup' AS event_type, 1.5D AS value FROM range(10)").write.parquet(f"{tmp_path}/events.parquet")
+    rows = change_event_text(spark, str(tmp_path)).filter(F.col("value").contains("loan"))
+    assert rows.count() == 10
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    assert not any("to_json" in line for line in plan.toString().splitlines() if line.strip(" +-:").startswith("Filter"))

@@ -142,3 +142,10 @@ def test_jdbc_options():
     assert options["partitionColumn"] == "bucket" and options["numPartitions"] == options["upperBound"] == "16"
     assert jdbc.single_read_options("jdbc:x", "t")["dbtable"] == "t"
     assert jdbc.write_options("jdbc:x", "stage.t")["batchsize"] == "5000"
+
+
+def test_scan_is_spread_by_its_rows(spark, tmp_path):
+    spark.range(2_000_000).coalesce(1).write.parquet(f"{tmp_path}/rows")
+    assert files.spread_scan(spark.read.parquet(f"{tmp_path}/rows")).rdd.getNumPartitions() == 20
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/few")
+    assert files.spread_scan(spark.read.parquet(f"{tmp_path}/few")).rdd.getNumPartitions() == 8
