@@ -121,7 +121,7 @@ def _with_copies(events):
 
 @query(f"WITH {EVENTS} SELECT event_id, event_sequence, operation FROM decoded")
 def cdc_dedupe(spark, folder):
-    events = _ledger(spark, folder)
+    events = _stored_ledger(spark, folder)
     copies = events.unionByName(events.filter((F.col(cdc.SEQUENCE) - 1) % 5 == 0))
     return cdc.one_per_event(copies).select("event_id", "event_sequence", "operation")
 
