@@ -1,6 +1,7 @@
 """Sources, sinks, quality checks and exports as queries over the given tables."""
 
 from datetime import date
+from math import ceil
 from uuid import uuid4
 
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tablemart.plans.naming import published, published_tables
 from tablemart.sinks import exports, snapshots, tables
 from tablemart.sources import areas as area_source
 from tablemart.sources import envelopes, files, paging, weather, windows
-from tablemart.storage import shared_folder, via_table
+from tablemart.storage import names_in, shared_folder, via_table
 from tablemart.streaming.events import stream_cdc
 
 QUERIES, ORACLES = {}, {}
@@ -307,9 +308,10 @@ def run_audit(spark, folder):
 # --- quality ----------------------------------------------------------------------------
 
 def _tables(spark, folder):
-    """A snapshot's fact, quarantine and marts, by working and by published name."""
-    typed = typed_trips(spark, folder, faults=True)
-    good = trips.with_keys(trips.accepted(typed))
+    """A snapshot's fact, quarantine and marts, by working and by published name. The checks read all of
+    them, so trips are parsed once and stored; without that every mart of every check parsed them again."""
+    typed = via_table(typed_trips(spark, folder, faults=True), "typed")
+    good = via_table(trips.with_keys(trips.accepted(typed)), "fact")
     found = {
         "silver.fct_trips": good,
         "silver.quarantine_trips": trips.quarantined(typed),
@@ -433,9 +435,12 @@ def cdc_job_portfolio(spark, folder):
 def cdc_stream(spark, folder):
     """The events as files, taken by the stream in several micro-batches; its stored loan state."""
     root = shared_folder(spark, "stream")
-    text = change_event_text(spark, folder).select(F.to_json(F.struct("value")).alias("line"))
-    text.repartition(4).select(F.get_json_object("line", "$.value").alias("value")).write.text(f"{root}/raw")
-    stream_cdc(spark, f"{root}/raw", f"{root}/lake", f"{root}/progress", files_per_batch=1, glob="part-*").awaitTermination()
+    text = change_event_text(spark, folder).select("value")
+    text.write.option("compression", "gzip").text(f"{root}/raw")
+    parts = len([name for name in names_in(spark, f"{root}/raw") if name.startswith("part-")])
+    stream_cdc(
+        spark, f"{root}/raw", f"{root}/lake", f"{root}/progress", files_per_batch=ceil(parts / 4), glob="part-*"
+    ).awaitTermination()
     return jobs.state(spark, f"{root}/lake", "loans").select(
         "loan_id", "status", "principal_amount", cdc.SEQUENCE, "is_deleted"
     )

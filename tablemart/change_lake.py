@@ -29,6 +29,7 @@ from tablemart.contracts import (
     portfolio_schema,
     state_schema,
 )
+from tablemart.operators.grain import duplicate_keys
 from tablemart.operators.merge import absent_rows, merge_newer
 from tablemart.plans import cdc
 from tablemart.plans.event_decode import decode_events
@@ -36,7 +37,7 @@ from tablemart.sinks.buckets import BucketTable, bucket_of
 from tablemart.sinks.snapshots import PublishConflict
 from tablemart.sinks.tables import write_partitioned
 from tablemart.sources.files import read_lines
-from tablemart.storage import create_once, names_in, read_text, remove, via_table
+from tablemart.storage import BETWEEN, create_once, names_in, read_text, remove, via_table
 
 #: Buckets of a new lake; a lake keeps the number it began with. About one per 256 MB of state.
 BUCKETS = 16
@@ -113,7 +114,8 @@ class ChangeLake:
     def write_down(self, rows, run_id, touched):
         """Store new ledger rows and open their batch; None without rows."""
         folder = f"{self.root}/_batches/rows-{run_id}"
-        rows.select(*StructType.fromDDL(LEDGER).names).write.mode("errorifexists").parquet(folder)
+        rows = rows.select(*StructType.fromDDL(LEDGER).names)
+        rows.write.mode("errorifexists").option("compression", BETWEEN).parquet(folder)
         count = self.spark.read.schema(LEDGER).parquet(folder).count()
         if not count:
             remove(self.spark, folder)
@@ -195,12 +197,21 @@ def admit_batch(spark, raw, root, source=DEFAULT_SOURCE, run_id=None, buckets=BU
     if not found["unique"]:
         return report, None
     touched = {t: sorted(r["b"] for r in found["records"] if r["source_table"] == t) for t in CDC_TABLES}
-    known = lake.index(found["events"]).join(events.select(*cdc.EVENT_KEY).distinct(), cdc.EVENT_KEY, "left_semi")
+    keys = events.select(*cdc.EVENT_KEY)
+    # Few events are known or come twice, so both sets are stored: small ones are sent to the rows of the
+    # batch, which then stay where they are.
+    index = lake.index(found["events"])
+    known = index.select(*cdc.EVENT_KEY).join(keys, cdc.EVENT_KEY, "left_semi")
+    known = via_table(index.join(via_table(known, "known"), cdc.EVENT_KEY, "left_semi").drop("bucket"), "index")
     history = lake.ledger(touched).join(events.select(*cdc.RECORD_KEY).distinct(), cdc.RECORD_KEY, "left_semi")
     cdc.require_consistent(
         cdc.identities(events).unionByName(cdc.event_identities(known)).unionByName(cdc.record_identities(history))
     )
-    fresh = cdc.one_per_event(events).join(known.select(*cdc.EVENT_KEY), cdc.EVENT_KEY, "left_anti")
+    fresh = events.join(known.select(*cdc.EVENT_KEY), cdc.EVENT_KEY, "left_anti")
+    if found["invalid"] + found["unique"] < found["input"]:
+        twice = via_table(duplicate_keys(keys, cdc.EVENT_KEY).drop("occurrences"), "twice")
+        copies = cdc.one_per_event(fresh.join(twice, cdc.EVENT_KEY, "left_semi"))
+        fresh = fresh.join(twice, cdc.EVENT_KEY, "left_anti").unionByName(copies)
     return report, lake.write_down(fresh, run_id, touched)
 
 

@@ -242,3 +242,15 @@ def test_numbering_is_consecutive_over_partitions(spark):
     rows = numbered.orderBy("n").collect()
     assert [r["n"] for r in rows] == list(range(10, 5010))
     assert [(r["k"], r["id"]) for r in rows] == sorted((r["k"], r["id"]) for r in rows)
+
+
+def test_rows_of_a_batch_are_written_down_once_each(spark, tmp_path):
+    """Known events and second deliveries are left out; hashes and ids do not take the room that snappy leaves them."""
+    root = str(tmp_path / "lake")
+    first = read_documents(spark, write(tmp_path / "raw", example()))
+    jobs.cdc_lake(spark, first.limit(2), root)
+    report, batch = change_lake.admit_batch(spark, first.unionByName(first), root)
+    assert report["input"] == 2 * first.count() and batch["rows"] == first.count() - 2
+    lake = change_lake.ChangeLake(spark, root)
+    assert change_lake.written_down(lake, batch).select("event_id").distinct().count() == batch["rows"]
+    assert all(".zstd." in name for name in change_lake.written_down(lake, batch).inputFiles())
