@@ -25,7 +25,7 @@ from tablemart.plans.enrichment import area_dimension, area_demand, enriched_tri
 from tablemart.plans.marts import trip_marts
 from tablemart.plans.naming import published, published_name
 from tablemart.sinks import snapshots
-from tablemart.sinks.tables import write_new, write_partitioned
+from tablemart.sinks.tables import gathered, write_new, write_partitioned
 
 BRONZE = ("taxi_trip_raw", "community_area_raw", "weather_hour_raw")
 
@@ -44,8 +44,9 @@ def _run_id():
 def build_trip_tables(bronze, write):
     """Every silver and gold table from the bronze frames, by published name.
 
-    `write(name, frame)` stores a published table and returns it as read back. The fact is
-    stored before the marts read it: each mart then scans only its own columns of it.
+    `write(name, frame, gather)` stores a published table and returns it as read back. The fact is
+    stored before the marts read it: each mart then scans only its own columns of it. Its rows move by
+    date before they get their keys, and marts of one row per trip are written as the fact's files are read.
     """
     raw = trips.trips_from_bronze(bronze["taxi_trip_raw"])
     typed = trips.typed(trips.decode(raw))
@@ -53,12 +54,13 @@ def build_trip_tables(bronze, write):
     hours = weather_dimension(bronze["weather_hour_raw"].select("payload"))
     stored = {}
 
-    def keep(name, frame):
+    def keep(name, frame, gather=True):
         table = published_name(name)
-        stored[table] = write(table, published(frame))
+        stored[table] = write(table, published(frame), gather)
         return working(stored[table])
 
-    fact = keep("silver.fct_trips", trips.with_keys(trips.accepted(typed)))
+    by_date = gathered(trips.accepted(typed), ["trip_date"])
+    fact = keep("silver.fct_trips", trips.with_keys(by_date), gather=False)
     keep("silver.quarantine_trips", trips.quarantined(typed))
     keep("silver.dim_date", trips.date_dimension(fact))
     for name in trips.DIMENSIONS:
@@ -66,8 +68,8 @@ def build_trip_tables(bronze, write):
     areas = keep("silver.dim_community_area", areas)
     hours = keep("silver.dim_weather_hour", hours)
     for name, mart in trip_marts(fact).items():
-        keep(name, mart)
-    keep("gold.mart_enriched_trips", enriched_trips(fact, areas, hours))
+        keep(name, mart, gather=name != "gold.mart_trip_distances")
+    keep("gold.mart_enriched_trips", enriched_trips(fact, areas, hours), gather=False)
     keep("gold.mart_weather_demand", weather_demand(fact, hours))
     keep("gold.mart_area_demand", area_demand(fact, areas))
     return stored
@@ -100,10 +102,10 @@ def trip_lake(spark, root, incoming, run_id=None, contracts=TABLES):
             write_new(consolidate(incoming[name], previous), path)
             bronze[name] = stored[table] = spark.read.parquet(path)
 
-        def write(name, frame):
+        def write(name, frame, gather):
             path = snapshots.table_folder(root, run_id, name)
             partition = contracts[name].partition_by if name in contracts else ()
-            write_partitioned(frame, path, list(partition))
+            write_partitioned(frame, path, list(partition), gather=gather)
             return spark.read.schema(frame.schema).parquet(path)
 
         stored.update(build_trip_tables(bronze, write))

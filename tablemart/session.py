@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # A task that holds rows of few partition values writes their files side by side, without a sort
+    # of its rows that could spill; from the ninth value on it sorts the rest.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Rows can be whole documents: a batch for a Python worker stays small in bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # The JVM never compiles a method above 8000 bytes of bytecode; the wide rule projections

@@ -11,15 +11,21 @@ def write_new(frame, path):
     frame.write.mode("errorifexists").parquet(path)
 
 
-def write_partitioned(frame, path, columns, mode="errorifexists"):
+def gathered(frame, columns):
+    """Rows brought together by their values of these columns. The rebalance is adaptive: a value that
+    holds a third of all rows is split over many tasks, small values share one."""
+    return frame.hint("rebalance", *columns) if columns else frame
+
+
+def write_partitioned(frame, path, columns, mode="errorifexists", gather=True):
     """A table in one folder per partition value.
 
     Rows are first brought together by partition value, so a value is written by few tasks and
-    the table has few files. The rebalance is adaptive: a value that holds a third of all rows
-    is split over many tasks, small values share one.
+    the table has few files. Without `gather` they are written where they are: for rows that were
+    gathered before wide columns were added, and for those of a table that is stored by the same values.
     """
-    if columns:
-        frame = frame.hint("rebalance", *columns)
+    if gather:
+        frame = gathered(frame, columns)
     writer = frame.write.mode(mode).option("compression", "snappy")
     if columns:
         writer = writer.partitionBy(*columns)

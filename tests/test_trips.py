@@ -209,6 +209,23 @@ def test_trip_job_publishes_replays_and_fails_safely(spark, tmp_path):
     assert sorted(statuses) == ["failed", "running", "running", "running", "success", "success"]
 
 
+def test_trips_move_once_by_date_and_without_their_keys(spark):
+    bronze, plans = incoming(spark, 1), {}
+
+    def write(name, frame, gather=True):
+        plans[name] = frame._jdf.queryExecution().optimizedPlan().toString().splitlines(), gather
+        return spark.createDataFrame(frame.collect(), frame.schema)
+
+    stored = jobs.build_trip_tables(bronze, write)
+    fact, gather = plans["silver.fact_taxi_trip"]
+    moved = next(n for n, line in enumerate(fact) if "RebalancePartitions [trip_date" in line)
+    keyed = [n for n, line in enumerate(fact) if "AS taxi_key" in line]
+    assert keyed and max(keyed) < moved and not gather
+    per_trip = [name for name, frame in stored.items() if "trip_id" in frame.columns and name.startswith("gold.")]
+    assert len(per_trip) == 2 and not any(plans[name][1] for name in per_trip)
+    assert stored["silver.fact_taxi_trip"].count() == 20
+
+
 def test_checks_find_faults(spark):
     frame = spark.createDataFrame([(1, None), (1, "x")], "k int, v string")
     contract = TABLES["silver.dim_taxi"]
