@@ -2,7 +2,6 @@
 
 import json
 import re
-from itertools import filterfalse
 
 import numpy as np
 
@@ -16,6 +15,8 @@ OTHER_SPACE = re.compile(" (?![!-~À-ÖØ-öø-ÿ])")
 SIMPLE = re.compile(rf"[!-~{LETTERS}]+(?:\n[!-~{LETTERS}]+)*")
 #: Stands between pieces: white space that no SIMPLE piece holds.
 FEED = "\x0c"
+#: SIMPLE pieces with feeds between them.
+ALL_SIMPLE = re.compile(rf"[!-~{LETTERS}]+(?:[\n{FEED}][!-~{LETTERS}]+)*")
 #: Fixed value: the word pattern of byte-level tokenizers.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 REMEMBERED = 1_000_000
@@ -133,6 +134,29 @@ class Merges:
         return [whole[a:b] for a, b in zip((4 * (ends - counts)).tolist(), (4 * ends).tolist())]
 
 
+class Words(dict):
+    """Ids of words. A word asked for the first time gets an array that `fill` fills, so one look at
+    each word of a text does, known or not. Words found in `older`, the memory before this one, are kept."""
+
+    def __init__(self, older=()):
+        super().__init__()
+        self.older, self.fresh = dict(older), {}
+
+    def __missing__(self, word):
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.fresh[word] = bytearray()
+        self[word] = ids
+        return ids
+
+    def fill(self, encode):
+        fresh, self.fresh = self.fresh, {}
+        known = encode(list(fresh))
+        for word, ids in fresh.items():
+            ids += known[word]
+        self.update(known)
+
+
 class Encoder:
     """The ids of whole texts, equal to Tokenizer.encode(text, add_special_tokens=False).
 
@@ -173,7 +197,7 @@ class Encoder:
             self.merges = Merges(model)
             self.mark, self.mark_id = added[0]["content"], added[0]["id"]
         self.special = [t["content"][:2] for t in added]
-        self.memory, self.older = {}, {}
+        self.memory = Words()
 
     def _library(self, texts):
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -206,11 +230,15 @@ class Encoder:
         return [data[a:b] for a, b in zip(starts, [*ends, len(data)])]
 
     def _by_word(self, words):
-        # Most words are printable ASCII without a space, which needs no pattern to be seen.
-        simple = [
-            w for w in words
-            if len(w) <= LONGEST and (w.isascii() and w.isprintable() and " " not in w and w or SIMPLE.fullmatch(w))
-        ]
+        simple = []
+        for low in range(0, len(words), JOINED):
+            block = words[low : low + JOINED]
+            joined = FEED.join(block)
+            # One look at the block tells that all its words are SIMPLE, as they are in most blocks.
+            if max(map(len, block)) <= LONGEST and joined.count(FEED) == len(block) - 1 and ALL_SIMPLE.fullmatch(joined):
+                simple += block
+            else:
+                simple += [w for w in block if len(w) <= LONGEST and SIMPLE.fullmatch(w)]
         known = dict(zip(simple, self._simple(simple), strict=True))
         if len(known) < len(words):
             rest = [w for w in words if w not in known]
@@ -220,15 +248,12 @@ class Encoder:
     def _ids_of(self, texts):
         """Ids of each word of these lists of words. Half of what is remembered is recent; when that
         half is full the other one goes, so frequent words stay."""
-        recent, fresh = self.memory, set()
-        for words in texts:
-            fresh.update(filterfalse(recent.__contains__, words))
-        again = {w: self.older[w] for w in fresh if w in self.older}
-        recent.update(again)
-        recent.update(self._by_word([w for w in fresh if w not in again]))
-        if len(recent) > REMEMBERED // 2:
-            self.older, self.memory = recent, {}
-        return recent
+        memory, self.memory = self.memory, Words()
+        made = [list(map(memory.__getitem__, words)) for words in texts]
+        memory.fill(self._by_word)
+        # Only a memory without empty arrays is kept: had a word failed, the next one would start anew.
+        self.memory = Words(memory) if len(memory) > REMEMBERED // 2 else memory
+        return made
 
     def encode(self, texts):
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -242,9 +267,8 @@ class Encoder:
         # Where every space ends a piece, splitting at spaces is the same and faster.
         cut = [CUT.split(texts[i]) if OTHER_SPACE.search(texts[i]) else texts[i].split(" ") for i in plain]
         heads = self._apart([words.pop(0) for words in cut])
-        memory = self._ids_of(cut)
-        for i, head, words in zip(plain, heads, cut):
-            out[i] = head + b"".join(map(memory.__getitem__, words))
+        for i, head, words in zip(plain, heads, self._ids_of(cut)):
+            out[i] = head + b"".join(words)
         return out
 
 

@@ -120,3 +120,29 @@ def test_plans_place_every_piece_once():
         assert sequences <= 1.2 * lengths.sum() / capacity + 2
     assert plan_packing({}) == ([], 0)
     assert packing.plan_packing({2048: 3})[1] == 3
+
+
+def test_words_are_asked_for_once_and_odd_ones_fall_out_of_their_block(word_path, monkeypatch):
+    odd = ["", "a\x0cb", "\x0c", "x\n", "\ny", "a\nb", "ä", "日本", "a\tb", "w" * 60, "d'été", "plain", "x.\nY"]
+    made = encoder.Encoder(word_path)
+    text = " ".join(["start", *odd, *odd, *(f"word{n}" for n in range(1500))])
+    want = np.array(made.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    assert made.encode([text, text]) == [want, want]
+
+    asked = []
+
+    class Counted(encoder.Words):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    made.memory = Counted()
+    words = ["one", "two", "one"]
+    assert [b"".join(ids) for ids in made._ids_of([words])] == [b"".join(made._by_word(words)[w] for w in words)]
+    assert asked == words
+
+    # Words that failed are not remembered as words without ids.
+    monkeypatch.setattr(made, "_by_word", lambda words: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        made._ids_of([["three"]])
+    assert "three" not in made.memory
