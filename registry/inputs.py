@@ -137,12 +137,13 @@ def hours(spark, folder):
 
 def change_event_text(spark, folder, faults=False):
     """(value JSON, source_file): events as loan and transaction changes."""
-    events = load_spread(spark, folder, "events")
-    number, user = F.col("event_id"), F.col("user_id")
+    stamped = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    # A column of its own: the documents name it several times and would format the time for each.
+    events = load_spread(spark, folder, "events").select("event_id", "user_id", "event_type", "value", stamped.alias("stamp"))
+    number, user, stamp = F.col("event_id"), F.col("user_id"), F.col("stamp")
     is_loan = number % 3 == 0
     transaction = user * 10 + number % 10
     amount = (F.col("value") + 1).cast("decimal(12,2)").cast("string")
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     operation = F.when(F.col("event_type") == "signup", "I").when(F.col("event_type") == "error", "D").otherwise("U")
     version, event_id, sequence = F.lit(1), derived_event_id(number.cast("string")), (number + 1).cast("string")
     captured, shift = stamp, F.lit(0)

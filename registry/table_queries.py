@@ -478,9 +478,10 @@ def catalog_state(spark, folder):
     """Catalog tables made from the contracts, filled by a fold, read through the views of current rows."""
     database = f"lending_{uuid4().hex}"
     tables.create_cdc_tables(spark, database)
-    events = via_table(cdc.valid_events(decode_events(change_event_text(spark, folder))), "ledger")
+    latest = via_table(cdc.latest_records(cdc.valid_events(decode_events(change_event_text(spark, folder)))), "latest")
     for name in CDC_TABLES:
-        tables.replace_table(cdc.fold(events, name), f"{database}.{name}_state")
+        rows = latest.filter(F.col("source_table") == name)
+        tables.replace_table(cdc.state_rows(rows, name), f"{database}.{name}_state")
     loans, moves = (files.read_table(spark, name) for name in tables.create_current_views(spark, database))
     return loans.select(
         F.lit("loans").alias("source_table"), F.col("loan_id").alias("record_id"), "loan_id", F.col("status").alias("kind"),
