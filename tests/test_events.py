@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from change_events import SOURCE, loan, transaction
 from registry.inputs import change_event_text
+from tablemart.contracts import CDC_TABLES
+from tablemart.plans import cdc
 from tablemart.plans.event_decode import decode_events
 
 
@@ -184,3 +186,44 @@ def test_filter_on_the_text_does_not_render_it_again(spark, tmp_path):
     assert rows.count() == 10
     plan = rows._jdf.queryExecution().optimizedPlan()
     assert not any("to_json" in line for line in plan.toString().splitlines() if line.strip(" +-:").startswith("Filter"))
+
+
+LEDGER = "source_system string, source_table string, record_id bigint, operation string, event_sequence bigint, payload_json string, event_id string, event_hash string, captured_at timestamp"
+
+
+def small_ledger(spark):
+    image = '{"loan_id":1,"principal_amount":"1.00","currency":"GBP","status":"active"}'
+    rows = [
+        ("loans", 1, "I", 1, image), ("loans", 1, "U", 5, image.replace("active", "closed")), ("loans", 2, "D", 2, image),
+        ("loan_transactions", 1, "I", 3, '{"transaction_id":1,"loan_id":1}'), ("loan_transactions", 1, "D", 9, '{"transaction_id":1,"loan_id":1}'),
+        ("loan_transactions", 2, "I", 4, '{"transaction_id":2,"loan_id":2}'), ("loan_transactions", 3, "U", 6, '{"transaction_id":3,"loan_id":1}'),
+    ]
+    return spark.createDataFrame([(SOURCE, t, r, o, s, p, str(s), str(s), None) for t, r, o, s, p in rows], LEDGER)
+
+
+def test_counts_are_aggregated_by_hash(spark):
+    counts = cdc.expected_counts(small_ledger(spark))
+    assert counts.first().asDict() == {
+        "ledger_events": 7, "current_loans": 1, "current_transactions": 2, "transaction_tombstones": 1,
+        "orphan_transactions": 1, "portfolio_loans": 1, "portfolio_transactions": 1,
+    }
+    assert "SortAggregate" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_pass_gives_the_states_of_all_tables(spark):
+    ledger = small_ledger(spark)
+    latest = cdc.latest_records(ledger)
+    assert latest.count() == 5
+    for name in CDC_TABLES:
+        rows = cdc.state_rows(latest.filter(F.col("source_table") == name), name)
+        want = cdc.fold(ledger, name).collect()
+        assert sorted(map(str, rows.collect())) == sorted(map(str, want)) and len(want) in (2, 3)
+
+
+def test_event_times_are_formatted_once(spark, tmp_path):
+    row = "SELECT 3L AS event_id, timestamp'2024-01-01 00:00:01.5' AS ts, 7L AS user_id, 'signup' AS event_type, 1.5D AS value"
+    spark.sql(row).write.parquet(str(tmp_path / "events.parquet"))
+    text = change_event_text(spark, str(tmp_path))
+    assert text._jdf.queryExecution().optimizedPlan().toString().count("date_format") == 1
+    item = json.loads(text.first()["value"])
+    assert item["captured_at"] == item["record_data"]["updated_at"] == "2024-01-01T00:00:01.500000Z"
