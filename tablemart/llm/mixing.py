@@ -79,61 +79,58 @@ def mix_sources(documents, most=MOST, steps=STEPS):
     step = F.lit(len(steps))
     for number, least in reversed(list(enumerate(steps))):
         step = F.when(F.col("size") >= least, F.lit(number)).otherwise(step)
-    ranked = number_rows(
+    # Stored with their places: each round and the result read them as they are.
+    ranked = via_table(number_rows(
         sizes.withColumn("step", step), ("_no_source", "_source", F.desc("size"), "doc_id"), "place", 1
+    ), "ranked")
+    # One row per source holds all that its rounds need and leave, so a round is one small table.
+    rounds = range(len(steps) + 1)
+    totals = ranked.groupBy(*SOURCE).agg(
+        F.sum("size").alias("source_size"),
+        *[F.min(F.when(F.col("step") == n, F.col("place"))).alias(f"first{n}") for n in rounds],
+        *[F.coalesce(F.sum(F.when(F.col("step") == n, F.col("size"))), F.lit(0)).alias(f"words{n}") for n in rounds],
     )
-    per_step = ranked.groupBy(*SOURCE, "step").agg(F.min("place").alias("first"), F.sum("size").alias("words"))
-    per_step = via_table(per_step, "steps")
-    totals = per_step.groupBy(*SOURCE).agg(F.sum("words").alias("source_size"))
-    state = target_shares(totals, most).withColumn("left_target", F.col("target")).withColumn(
-        "left_size", F.col("source_size").cast("double")
-    )
-    state = via_table(state, "targets")
-    done = []
-    for number in range(len(steps) + 1):
-        own = per_step.filter(F.col("step") == number)
-        rates = state.join(own, list(SOURCE)).withColumn("rate", tilt(F.col("left_target"), F.col("left_size"), most))
-        rates = via_table(
-            rates.select(*SOURCE, "source_size", "target", "left_target", "left_size", "rate", "first", "words"), "rates"
-        )
-        rows = ranked.filter(F.col("step") == number).select("doc_id", "size", *SOURCE, "place")
-        rank = F.col("place") - F.col("first") + 1
-
-        def taken(phase, rank=rank):
-            return (F.floor(F.col("rate") * rank + phase) - F.floor(F.col("rate") * (rank - 1) + phase)) * F.col("size")
-
-        used = rows.join(rates, list(SOURCE)).groupBy(*SOURCE).agg(
-            F.sum(taken(F.lit(0.5))).alias("near"), F.sum(taken(F.lit(0.0))).alias("below")
+    shares = target_shares(totals.select(*SOURCE, "source_size"), most)
+    state = shares.join(totals.drop("source_size"), list(SOURCE)).drop("weight").withColumn(
+        "left_target", F.col("target")
+    ).withColumn("left_size", F.col("source_size").cast("double"))
+
+    def rated(state, number):
+        """The sources with the rate of the round that begins, stored."""
+        rate = tilt(F.col("left_target"), F.col("left_size"), most)
+        return via_table(state.withColumn(f"rate{number}", rate), "targets")
+
+    def taken(rate, first, phase):
+        rank = F.col("place") - first + 1
+        return (F.floor(rate * rank + phase) - F.floor(rate * (rank - 1) + phase)) * F.col("size")
+
+    for number in rounds:
+        state, words = rated(state, number), F.col(f"words{number}")
+        own = F.col(f"rate{number}"), F.col(f"first{number}")
+        used = ranked.filter(F.col("step") == number).join(state, list(SOURCE)).groupBy(*SOURCE).agg(
+            F.sum(taken(*own, F.lit(0.5))).alias("near"), F.sum(taken(*own, F.lit(0.0))).alias("below")
         )
-        left = rates.join(used, list(SOURCE))
-        rest = F.col("left_size") - F.col("words")
+        rest = F.col("left_size") - words
 
         def missed(words, rest=rest):
             over = F.col("left_target") - words
             return F.greatest(-over, over - most * rest, F.lit(0.0))
 
         nearer = missed(F.col("near")) <= missed(F.col("below"))
-        left = via_table(
-            left.withColumn("phase", F.when(nearer, 0.5).otherwise(0.0)).withColumn(
-                "used", F.when(nearer, F.col("near")).otherwise(F.col("below"))
-            ), "rounded",
-        )
-        done.append(rows.join(left, list(SOURCE)).select(
-            "doc_id", "size", "source_size", "target", taken(F.col("phase")).alias("taken")
-        ))
-        if number < len(steps):
-            gone = left.select(*SOURCE, "used", F.col("words").alias("gone"))
-            state = via_table(
-                state.join(gone, list(SOURCE), "left").select(
-                    *SOURCE, "source_size", "target",
-                    (F.col("left_target") - F.coalesce("used", F.lit(0))).alias("left_target"),
-                    (F.col("left_size") - F.coalesce("gone", F.lit(0))).alias("left_size"),
-                ), "targets",
-            )
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+        state = state.join(used, list(SOURCE), "left").withColumn(
+            f"phase{number}", F.when(nearer, 0.5).otherwise(0.0)
+        ).withColumn("used", F.coalesce(F.when(nearer, F.col("near")).otherwise(F.col("below")), F.lit(0))).withColumn(
+            "left_target", F.col("left_target") - F.col("used")
+        ).withColumn("left_size", rest).drop("used", "near", "below")
+    state = via_table(state, "rounded")
+
+    def own_step(name):
+        return F.coalesce(*[F.when(F.col("step") == n, F.col(f"{name}{n}")) for n in rounds])
+
+    return ranked.join(state, list(SOURCE)).select(
+        "doc_id", "size", "source_size", "target",
+        taken(own_step("rate"), own_step("first"), own_step("phase")).alias("taken"),
+    )
 
 
 def mix_sql(table="documents", steps=STEPS, most=MOST):

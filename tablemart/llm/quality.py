@@ -74,7 +74,11 @@ def fit(labels, rows, epochs=EPOCHS):
     weights, bias = np.zeros(FEATURES), 0.0
     if len(set(signs)) < 2:
         return weights, ratio, float(signs[0]) if len(signs) else 1.0
-    values = [ratio[slots] / max(np.sqrt((ratio[slots] ** 2).sum()), 1e-12) for slots in rows]
+    # One array for all rows: its memory goes back when it is done with.
+    ends = np.cumsum([len(slots) for slots in rows])
+    values = np.split(np.empty(ends[-1]), ends[:-1])
+    for value, slots in zip(values, rows):
+        value[:] = ratio[slots] / max(np.sqrt((ratio[slots] ** 2).sum()), 1e-12)
     alpha, rng = np.zeros(len(rows)), np.random.default_rng(7)
     square = [float((v**2).sum()) + 1 for v in values]
     for _ in range(epochs):
@@ -128,7 +132,7 @@ def train(documents, labels, target="quality", sample=SAMPLE):
     rows = marked.join(wanted, ["doc_id", "mark"]).select("doc_id", "label", "text")
     rows = rows.mapInPandas(read, "doc_id long, label int, slots binary").dropDuplicates()
     rows = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["slots"]))
-    return fit([r["label"] for r in rows], [np.frombuffer(r["slots"], dtype="<u4").astype(np.int64) for r in rows])
+    return fit([r["label"] for r in rows], [np.frombuffer(r["slots"], dtype="<u4") for r in rows])
 
 
 def score_quality(documents, labels, target="quality", sample=SAMPLE):

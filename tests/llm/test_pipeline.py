@@ -131,6 +131,14 @@ def test_mix_meets_targets(spark):
     assert sorted(map(tuple, mix_sources(frame).collect())) == sorted(map(tuple, got))
 
 
+def test_mix_joins_its_rows_once(spark):
+    """What the rounds found comes to the rows in one join, however many rounds there are."""
+    rows = [(n, "w " * (n * 37 % 5000), f"s{n % 3}") for n in range(60)]
+    mixed = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Union" not in plan
+
+
 def test_mix_of_odd_rows(odd_documents, no_documents, spark):
     assert mix_sources(odd_documents).count() == odd_documents.count()
     assert mix_sources(no_documents).count() == 0
