@@ -3,12 +3,16 @@
 from pyspark.sql import functions as F
 
 LOCAL_ZONE = "America/Chicago"
+# The hour of day that a zone skips in spring, in all of its history. Times of other hours stay as they are.
+SKIPPED_HOUR = {LOCAL_ZONE: "02"}
 
 # A date, optionally with a time. Bare clock times ('10:00') and words ('now') depend on the
 # day of the run and are refused.
 _DATED = r"^\s*[0-9]{4}(-[0-9]{1,2}){0,2}(\s*$|[ T])"
 # A time that is followed by anything names its zone: Z, an offset or a region.
 ZONED = r"[0-9][ T][0-9]{1,2}(:[0-9]{1,2}){0,2}([.,][0-9]*)?\s*[A-Za-z+-]"
+# The usual text: date and time with seconds, without a zone.
+_PLAIN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?\z"
 _ZONED_ISO = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?"
     r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)\z"
@@ -25,16 +29,22 @@ def local_wall_clock(column, zone=LOCAL_ZONE):
     """Local wall-clock time of timestamp text; NULL when the text is not a timestamp.
 
     Text with an offset is moved to `zone`. A wall-clock time that the zone skips in spring is
-    moved forward by the length of the gap, as every zone-aware reader does.
+    moved forward by the length of the gap, as every zone-aware reader does. Plain text of an hour that
+    the zone never skips, nearly all text, is the time it says and asks neither patterns nor zone rules.
     """
     local = F.lit(zone)
     instant = utc_wall_clock(column.try_cast("timestamp"))
-    return F.when(
+    said = column.try_cast("timestamp_ntz")
+    judged = F.when(
         column.rlike(_DATED),
         F.when(column.rlike(ZONED), F.convert_timezone(F.lit("UTC"), local, instant)).otherwise(
-            F.convert_timezone(local, local, column.try_cast("timestamp_ntz"))
+            F.convert_timezone(local, local, said)
         ),
     )
+    if zone not in SKIPPED_HOUR:
+        return judged
+    usual = column.rlike(_PLAIN) & (F.substring(column, 12, 2) != SKIPPED_HOUR[zone])
+    return F.when(usual, said).otherwise(judged)
 
 
 def utc_from_iso(column):

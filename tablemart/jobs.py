@@ -4,9 +4,12 @@ A job writes a stage as Parquet and the next stage reads those files, so a lost
 the tasks it ran and nothing is kept in executor memory between stages.
 """
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import partial
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from tablemart.change_lake import (  # noqa: F401
@@ -28,6 +31,9 @@ from tablemart.sinks import snapshots
 from tablemart.sinks.tables import gathered, write_new, write_partitioned
 
 BRONZE = ("taxi_trip_raw", "community_area_raw", "weather_hour_raw")
+#: Spark actions of one run at a time. Earlier ones come first; the cores that their last tasks leave
+#: idle, and the time their plans take, go to the next ones.
+SIDE_BY_SIDE = 4
 
 
 def _now():
@@ -38,15 +44,27 @@ def _run_id():
     return "run_" + uuid4().hex
 
 
+def at_once(spark, actions):
+    """Results of Spark actions that do not read each other, in their order, a few at a time.
+
+    After the first error no further action starts; it is raised when those under way have ended.
+    """
+    # Each action gets its own copy of the session's properties.
+    actions = [inheritable_thread_target(spark)(action) for action in actions]
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return list(pool.map(lambda action: action(), actions))
+
+
 # --- trips ------------------------------------------------------------------------------
 
 
 def build_trip_tables(bronze, write):
     """Every silver and gold table from the bronze frames, by published name.
 
-    `write(name, frame, gather)` stores a published table and returns it as read back. The fact is
-    stored before the marts read it: each mart then scans only its own columns of it. Its rows move by
-    date before they get their keys, and marts of one row per trip are written as the fact's files are read.
+    `write(name, frame, gather)` stores a published table and returns it as read back; it is called from
+    several threads. The fact is stored before the marts read it: each mart then scans only its own
+    columns of it. Its rows move by date before they get their keys, and marts of one row per trip are
+    written as the fact's files are read. Tables that do not read each other are written side by side.
     """
     raw = trips.trips_from_bronze(bronze["taxi_trip_raw"])
     typed = trips.typed(trips.decode(raw))
@@ -54,24 +72,30 @@ def build_trip_tables(bronze, write):
     hours = weather_dimension(bronze["weather_hour_raw"].select("payload"))
     stored = {}
 
-    def keep(name, frame, gather=True):
-        table = published_name(name)
-        stored[table] = write(table, published(frame), gather)
-        return working(stored[table])
+    def keep(tables, ungathered=()):
+        def action(name, frame):
+            return lambda: write(published_name(name), published(frame), name not in ungathered)
+
+        frames = at_once(raw.sparkSession, [action(name, frame) for name, frame in tables.items()])
+        stored.update(zip(map(published_name, tables), frames))
+        return [working(frame) for frame in frames]
 
     by_date = gathered(trips.accepted(typed), ["trip_date"])
-    fact = keep("silver.fct_trips", trips.with_keys(by_date), gather=False)
-    keep("silver.quarantine_trips", trips.quarantined(typed))
-    keep("silver.dim_date", trips.date_dimension(fact))
-    for name in trips.DIMENSIONS:
-        keep(f"silver.dim_{name}", trips.dimension(fact, name))
-    areas = keep("silver.dim_community_area", areas)
-    hours = keep("silver.dim_weather_hour", hours)
-    for name, mart in trip_marts(fact).items():
-        keep(name, mart, gather=name != "gold.mart_trip_distances")
-    keep("gold.mart_enriched_trips", enriched_trips(fact, areas, hours), gather=False)
-    keep("gold.mart_weather_demand", weather_demand(fact, hours))
-    keep("gold.mart_area_demand", area_demand(fact, areas))
+    fact, _, areas, hours = keep({
+        "silver.fct_trips": trips.with_keys(by_date),
+        "silver.quarantine_trips": trips.quarantined(typed),
+        "silver.dim_community_area": areas,
+        "silver.dim_weather_hour": hours,
+    }, ungathered=["silver.fct_trips"])
+    # The largest first, so that none of them is left alone at the end.
+    keep({
+        "gold.mart_enriched_trips": enriched_trips(fact, areas, hours),
+        **trip_marts(fact),
+        "gold.mart_weather_demand": weather_demand(fact, hours),
+        "gold.mart_area_demand": area_demand(fact, areas),
+        "silver.dim_date": trips.date_dimension(fact),
+        **{f"silver.dim_{name}": trips.dimension(fact, name) for name in trips.DIMENSIONS},
+    }, ungathered=["gold.mart_enriched_trips", "gold.mart_trip_distances"])
     return stored
 
 
@@ -92,7 +116,8 @@ def trip_lake(spark, root, incoming, run_id=None, contracts=TABLES):
     try:
         bronze, stored = {}, {}
         version, previous_run = snapshots.current_version(spark, root), snapshots.current_run(spark, root)
-        for name in BRONZE:
+
+        def store_raw(name):
             table = f"bronze.{name}"
             previous = None
             if previous_run:
@@ -100,7 +125,10 @@ def trip_lake(spark, root, incoming, run_id=None, contracts=TABLES):
                 previous = spark.read.schema(RAW_ENVELOPE).parquet(folder)
             path = snapshots.table_folder(root, run_id, table)
             write_new(consolidate(incoming[name], previous), path)
-            bronze[name] = stored[table] = spark.read.parquet(path)
+            return spark.read.parquet(path)
+
+        for name, frame in zip(BRONZE, at_once(spark, [partial(store_raw, name) for name in BRONZE])):
+            bronze[name] = stored[f"bronze.{name}"] = frame
 
         def write(name, frame, gather):
             path = snapshots.table_folder(root, run_id, name)
@@ -109,12 +137,15 @@ def trip_lake(spark, root, incoming, run_id=None, contracts=TABLES):
             return spark.read.schema(frame.schema).parquet(path)
 
         stored.update(build_trip_tables(bronze, write))
-        checks = quality.trip_checks(bronze["taxi_trip_raw"], stored)
-        checks.append(quality.table_set(spark, stored, contracts))
-        for name, frame in stored.items():
-            if name in contracts:
-                checks += quality.contract_checks(spark, name, frame, contracts[name])
-        quality.require_passed(quality.report(checks))
+        # A plan per table, made where it runs: one plan of all checks takes the driver as long as its tasks do.
+        checks = [partial(quality.trip_checks, bronze["taxi_trip_raw"], stored)]
+        checks += [
+            partial(quality.contract_checks, spark, name, frame, contracts[name])
+            for name, frame in stored.items() if name in contracts
+        ]
+        failed = at_once(spark, [lambda made=made: quality.failures(quality.report(made())) for made in checks])
+        failed.append(quality.failures(quality.table_set(spark, stored, contracts)))
+        quality.require_none([row for rows in failed for row in rows])
         summary = quality.summary(
             bronze["taxi_trip_raw"], stored["silver.fact_taxi_trip"], stored["silver.quarantine_taxi_trip"]
         ).first().asDict()

@@ -28,7 +28,7 @@ def schema_drift(spark, name, frame, contract):
     not count; nothing is read."""
     actual = {c.name: c.dataType.simpleString() for c in frame.schema}
     wrong = [k for k in {**actual, **contract.types} if actual.get(k) != contract.types.get(k)]
-    return spark.createDataFrame([("schema", name, len(wrong), not wrong)], RESULT)
+    return spark.createDataFrame([("schema", name, len(wrong), not wrong)], RESULT).coalesce(1)
 
 
 def unique_grain(name, frame, keys):
@@ -111,7 +111,7 @@ def conversion_exact(fact, miles="trip_distance_miles", km="trip_distance_km", t
 def table_set(spark, published, contracts):
     """The published tables are exactly the contracted ones."""
     odd = set(published) ^ set(contracts)
-    return spark.createDataFrame([("table set", "all", len(odd), not odd)], RESULT)
+    return spark.createDataFrame([("table set", "all", len(odd), not odd)], RESULT).coalesce(1)
 
 
 def contract_checks(spark, name, frame, contract):
@@ -152,9 +152,17 @@ def report(checks):
     return reduce(lambda a, b: a.unionByName(b), checks)
 
 
+def failures(results):
+    """The rows of failed checks; their number is bounded by the number of tables."""
+    return results.filter(~F.col("passed")).collect()
+
+
 def require_passed(results):
-    """Raise with the failed checks; their number is bounded by the number of tables."""
-    failed = results.filter(~F.col("passed")).collect()
+    """Raise with the failed checks."""
+    require_none(failures(results))
+
+
+def require_none(failed):
     if failed:
         raise QualityError("; ".join(f"{r['check']}: {r['table']} ({r['violations']})" for r in failed))
 

@@ -1,6 +1,8 @@
 """Trips: golden cases of cleaning, replay, weather and enrichment; the trip job."""
 
 import json
+import threading
+import time
 from datetime import date
 from decimal import Decimal
 
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tablemart import jobs
 from tablemart.contracts import RAW_ENVELOPE, TABLES
+from tablemart.functions import times
 from tablemart.functions.times import local_wall_clock
 from tablemart.functions.values import number_or_null, whole_number_text
 from tablemart.operators.latest import consolidate
@@ -226,6 +229,60 @@ def test_trips_move_once_by_date_and_without_their_keys(spark):
     assert stored["silver.fact_taxi_trip"].count() == 20
 
 
+def test_usual_local_times_equal_those_by_zone_rules(spark, monkeypatch):
+    # The middle of every hour of 220 years.
+    stamp = spark.range(220 * 366 * 24).select(F.expr("timestamp_ntz'1880-01-01 00:30:00' + make_interval(0, 0, 0, 0, id)").alias("at"))
+    text = stamp.select(F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("t"))
+    odd = [
+        "2024-03-10T02:30:00", "2024-03-10T03:00:00", "2024-11-03T01:30:00.5", "2024-13-01T00:00:00", "2024-02-30T05:00:00",
+        "2024-01-01T24:00:00", "2024-01-01T10:00:00.1234567", "2024-01-01T10:00:00.", "2024-01-01T10:00:00\n", "2024-01-01T10:00:00Z",
+        "2024-01-01T10:00:00.5+02:00", "2024-01-01 10:00:00", " 2024-01-01T10:00:00", "2024-1-1T1:2:3", "0000-01-01T00:00:00",
+        "9999-12-31T23:59:59.999999", "10:00:00", "now", "", None,
+    ]
+    text = text.unionByName(spark.createDataFrame([(t,) for t in odd], "t string"))
+    usual = local_wall_clock(F.col("t"))
+    monkeypatch.setattr(times, "SKIPPED_HOUR", {})
+    by_rules = local_wall_clock(F.col("t"))
+    pairs = text.select("t", usual.alias("usual"), by_rules.alias("by_rules"))
+    assert pairs.filter(~F.col("usual").eqNullSafe(F.col("by_rules"))).limit(5).collect() == []
+    moved = values(spark, lambda _: usual, ["2024-03-10T02:30:00", "2024-03-10T01:30:00"])
+    assert [m.hour for m in moved] == [3, 1]
+
+
+def test_tables_of_a_run_are_written_side_by_side(spark, tmp_path):
+    bronze, order, meet = incoming(spark, 1), [], threading.Barrier(jobs.SIDE_BY_SIDE)
+
+    def write(name, frame, gather):
+        order.append(name)
+        if len(order) <= jobs.SIDE_BY_SIDE:
+            meet.wait(60)
+        path = f"{tmp_path}/{name}"
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    stored = jobs.build_trip_tables(bronze, write)
+    assert set(order) == set(stored) == {name for name in TABLES if not name.startswith("bronze.")}
+    assert stored["silver.fact_taxi_trip"].count() == 20 and stored["silver.quarantine_taxi_trip"].count() == 1
+
+
+def test_after_an_error_no_further_action_starts(spark):
+    started = []
+
+    def action(number):
+        def run():
+            started.append(number)
+            if number == 1:
+                raise ValueError("second action")
+            time.sleep(0.2)
+            return number
+        return run
+
+    with pytest.raises(ValueError, match="second action"):
+        jobs.at_once(spark, [action(n) for n in range(40)])
+    assert len(started) < 20
+    assert jobs.at_once(spark, [action(n) for n in (5, 4, 3, 2, 0, 7)]) == [5, 4, 3, 2, 0, 7]
+
+
 def test_checks_find_faults(spark):
     frame = spark.createDataFrame([(1, None), (1, "x")], "k int, v string")
     contract = TABLES["silver.dim_taxi"]
