@@ -35,10 +35,15 @@ def unique_grain(name, frame, keys):
     return _result("unique key", name, duplicate_keys(frame, keys).agg(F.count("*").alias("n")), F.col("n"))
 
 
-def required_values(name, frame, columns):
-    """All NULLs of all required columns in one pass."""
-    counted = null_counts(frame, columns)
-    return _result("required values", name, counted, reduce(lambda a, b: a + b, [F.col(c) for c in columns]))
+def required_values(name, frame, columns, partition_by=()):
+    """All NULLs of all required columns; those of partition columns are counted apart, from the folders."""
+    parts = []
+    for group in ([c for c in columns if c not in partition_by], [c for c in columns if c in partition_by]):
+        if group:
+            counts = reduce(lambda a, b: a + b, [F.col(c) for c in group])
+            parts.append(null_counts(frame, group).select(counts.alias("n")))
+    counted = reduce(lambda a, b: a.unionByName(b), parts).agg(F.sum("n").alias("n"))
+    return _result("required values", name, counted, F.col("n"))
 
 
 def split_complete(raw, accepted, quarantined):
@@ -118,7 +123,7 @@ def contract_checks(spark, name, frame, contract):
     """Schema, key and required values of one published table."""
     checks = [schema_drift(spark, name, frame, contract), unique_grain(name, frame, contract.primary_key)]
     if contract.required:
-        checks.append(required_values(name, frame, contract.required))
+        checks.append(required_values(name, frame, contract.required, contract.partition_by))
     return checks
 
 

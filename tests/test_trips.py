@@ -283,6 +283,21 @@ def test_after_an_error_no_further_action_starts(spark):
     assert jobs.at_once(spark, [action(n) for n in (5, 4, 3, 2, 0, 7)]) == [5, 4, 3, 2, 0, 7]
 
 
+def test_required_values_skip_files_without_nulls(spark, tmp_path):
+    rows = [(n, None if n == 7 else "x", None if n in (7, 9) else Decimal(n), n % 2 if n else None) for n in range(20)]
+    frame = spark.createDataFrame(rows, "k int, v string, d decimal(20,6), p int")
+    path = f"{tmp_path}/t"
+    frame.coalesce(1).write.partitionBy("p").parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    found = quality.required_values("t", table, ["k", "v", "d", "p"], ["p"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "IsNull(v)" in plan.split("PushedFilters")[1] and "isnull(p" in plan.split("PartitionFilters", 2)[2]
+    # Three in the files, and the one row without a partition value.
+    assert [(r["violations"], r["passed"]) for r in found.collect()] == [(4, False)]
+    whole = quality.required_values("t", table.filter("k not in (0, 7, 9)"), ["k", "v", "d", "p"], ["p"])
+    assert [(r["violations"], r["passed"]) for r in whole.collect()] == [(0, True)]
+
+
 def test_checks_find_faults(spark):
     frame = spark.createDataFrame([(1, None), (1, "x")], "k int, v string")
     contract = TABLES["silver.dim_taxi"]
