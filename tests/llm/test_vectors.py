@@ -1,13 +1,16 @@
 """Exact top-k and near-duplicate vectors against all pairs."""
 
 import numpy as np
+import pandas as pd
+import pytest
 
 from pyspark.sql import functions as F
 
-from tablemart.llm import near_vectors
+from tablemart.llm import near_vectors, topk
 from tablemart.llm.components import components
 from tablemart.llm.near_vectors import near_duplicate_vectors
 from tablemart.llm.topk import top_k
+from tablemart.llm.vectors import unpack
 
 ODD = [
     (1, [1.0, 0.0, 0.0], 1), (2, [2.0, 0.0, 0.0], 1), (3, [1.0, 0.0, 0.0], 2), (4, None, 1), (5, [0.0, 0.0, 0.0], 1),
@@ -46,6 +49,75 @@ def test_top_k_of_odd_rows(spark):
     assert top_k(frame, frame.limit(0), k=3).count() == 0
 
 
+def best_of_all(ids, points, asked, floors, k):
+    """The k best rows of each query, from whole numbers of any length."""
+    want = []
+    for (own, query), floor in zip(asked, floors):
+        scores = [max(1 - 2**63, min(2**63 - 1, sum(a * b for a, b in zip(row, query)))) for row in points]
+        found = sorted((-score, i) for i, score in zip(ids, scores) if i != own)[:k]
+        want += [(own, i, -score) for score, i in found if -score >= floor]
+    return sorted(want)
+
+
+@pytest.mark.parametrize("size", [2, 300, 2**22, 2**40])
+def test_search_of_a_shard_with_ties_and_long_numbers(size):
+    rng = np.random.default_rng(size)
+    points = rng.integers(-size, size, (700, 6), endpoint=True).astype(np.float64)
+    points[100:400] = points[100]  # a common vector: its ties go to the smaller ids
+    ids = rng.permutation(690)[np.arange(700) % 690]  # ten ids are given twice
+    shard = dict(unpack(topk._pack_shard(1)((0, 6), pd.DataFrame({"id": ids, "vector": list(points)}))["blob"][0]))
+    asked = [*range(90, 130), 695]
+    floors = np.where(np.arange(41) % 3, -topk.LONGEST, 2 * size**2 if size < 2**30 else 2**62)
+    queries = {"ids": ids[asked], "points": points[asked], "floors": floors}
+    got = topk.search_block(queries, shard, 5)
+    whole = [[int(x) for x in row] for row in points]
+    want = best_of_all(ids.tolist(), whole, [(int(ids[n]), whole[n]) for n in asked], floors.tolist(), 5)
+    assert sorted(got.itertuples(index=False, name=None)) == want
+
+
+def test_queries_meet_a_leaf_together(monkeypatch):
+    rng = np.random.default_rng(1)
+    points, ids, calls, products = rng.integers(-99, 99, (2000, 16)).astype(np.float64), np.arange(2000), [], topk._products
+    shard = dict(unpack(topk._pack_shard(1)((0, 16), pd.DataFrame({"id": ids, "vector": list(points)}))["blob"][0]))
+    monkeypatch.setattr(topk, "_products", lambda *args: calls.append(1) or products(*args))
+    queries = {"ids": ids[:400], "points": points[:400], "floors": np.full(400, -topk.LONGEST)}
+    assert len(topk.search_block(queries, shard, 5)) == 2000 and len(calls) < 100  # one by one: over 400
+
+
+def test_top_k_hands_over_one_tree_and_one_band_at_a_time(embeddings, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(topk, "BAND_BLOCKS", 2)
+    searcher = topk._searcher
+
+    def watched(k):
+        search = searcher(k)
+
+        def one_band(trees, blocks):
+            assert len(trees) <= 1 and len(blocks) <= 2
+            return search(trees, blocks)
+
+        return one_band
+
+    monkeypatch.setattr(topk, "_searcher", watched)
+    # 25 shards: the blocks meet 1 of them, then 15, then the rest.
+    got = top_k(embeddings, embeddings.filter("vec_id % 25 = 0"), shard_rows=20).collect()
+    rows = embeddings.collect()
+    points = np.floor(256 * np.array([r["embedding"] for r in rows], dtype=np.float64)).astype(np.int64).tolist()
+    ids = [r["vec_id"] for r in rows]
+    asked = [(i, p) for i, p in zip(ids, points) if i % 25 == 0]
+    want = best_of_all(ids, points, asked, [-topk.LONGEST] * len(asked), 5)
+    assert sorted((r["query_id"], r["vec_id"], r["score"]) for r in got) == want
+    assert all(r["rank"] in range(1, 6) for r in got) and len(got) == 5 * len(asked) > 50
+
+
+def test_shards_of_top_k_stay_bounded():
+    shards = topk._shards_for
+    assert [shards(n, 64 * n, 4096) for n in (0, 1, 4097, 500_000, 600_000)] == [1, 1, 2, 123, 128]
+    for rows, width in ((10**6, 64), (16 * 10**6, 64), (10**9, 64), (10**7, 4096), (300, 10**6)):
+        number = shards(rows, rows * width, 4096)
+        assert rows <= 16 * 4096 * number and 8 * rows * width <= topk.SHARD_BYTES * number
+
+
 def brute(rows, least=0.98):
     links = {}
     for label in {r["label"] for r in rows}:
